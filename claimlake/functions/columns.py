@@ -112,11 +112,11 @@ def label_upto(value: str | Column, cuts: Sequence[tuple[str, float]], otherwise
 
 
 def cost_tier(monthly_cost: str | Column, high: float = 830.0, moderate: float = 100.0) -> Column:
-    """BI calculated field: >high High, >moderate Moderate, else Low."""
+    """BI calculated field: > high "High Cost", > moderate "Moderate", else "Low Cost"."""
     v = col(monthly_cost)
-    return (F.when(v > F.lit(high), F.lit("High"))
+    return (F.when(v > F.lit(high), F.lit("High Cost"))
             .when(v > F.lit(moderate), F.lit("Moderate"))
-            .otherwise(F.lit("Low")))
+            .otherwise(F.lit("Low Cost")))
 
 
 def legend_bin(value: str | Column, low: float, high: float, bins: int) -> Column:

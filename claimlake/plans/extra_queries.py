@@ -1,5 +1,327 @@
-"""Registered queries beyond the 23 models (operators, checks, reports)."""
+"""Registered queries beyond the 23 models: inputs, ingest filters, generic operators,
+checks, history, governance, semantic-layer explores and dashboard reports.
+
+Every query reads the driver tables (through the fixture adapter and the models).
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.columns import cost_tier, legend_bin, suppress_small_cells
+from ..operators import access, quality
+from ..operators.history import as_of, scd2_apply
+from ..operators.measures import VIEWS, explore, measure_query
+from ..operators.windows import year_over_year
+from ..sources import ingest
+from ..sources.raw import INPUTS
+from .project import MODELS, Project, _ensure_loaded
+from .reports import REPORTS
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _prj(spark, sf_dir) -> Project:
+    from .catalog import project
+    return project(spark, sf_dir)
+
+
+def query(fn: Callable[[Project], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from .catalog import comparable
+        return comparable(fn(_prj(spark, sf_dir)))
+    run.__name__ = fn.__name__
+    QUERIES[fn.__name__] = run
+    return fn
+
+
+# ------------------------------------------------------------------ inputs and ingest
+
+def _input_query(name: str):
+    def fn(prj: Project) -> DataFrame:
+        return prj.raw(name)
+    fn.__name__ = name
+    return query(fn)
+
+
+for _n in INPUTS:
+    _input_query(_n)
+
+# Fixture analogue of the ingest specialty list (prescriber types are market segments).
+FIXTURE_TARGET_SEGMENTS = ("AUTOMOBILE", "BUILDING", "MACHINERY")
+
+
+@query
+def ingest_prescribers_by_specialty(prj):
+    """Normalised column names, specialty column found by candidates, value-list filter."""
+    raw = ingest.normalise_columns(prj.raw("raw_prescribers"))
+    return ingest.filter_values(raw, ingest.SPECIALTY_CANDIDATES, FIXTURE_TARGET_SEGMENTS)
+
+
+@query
+def ingest_prescriber_drugs_in_map(prj):
+    """Prescriber-drug rows whose generic name is in the therapeutic-area map."""
+    raw = ingest.normalise_columns(prj.raw("raw_prescribers_drug"))
+    return ingest.filter_to_reference(raw, ingest.GENERIC_CANDIDATES,
+                                      prj.raw("seed_therapeutic_area_map"), "generic_name")
+
+
+# ------------------------------------------------------------------ generic operators
+
+@query
+def suppressed_cells_drug_spending(prj):
+    """Cell-form suppression: counts below the threshold blanked, rows kept."""
+    t = prj.params.min_beneficiaries
+    d = prj.model("int_drug_enriched")
+    return d.select("drug_spending_key", "drug_year", "generic_name", "brand_name",
+                    "manufacturer_name",
+                    suppress_small_cells("total_beneficiaries", t).alias("total_beneficiaries"),
+                    suppress_small_cells("total_claims", t).alias("total_claims"))
+
+
+@query
+def spending_trends_yoy(prj):
+    """Year-over-year spending change per area and focus flag (previous year only)."""
+    t = prj.model("mart_drug_spending_trends").select(
+        "drug_year", "therapeutic_area", "is_focus_area", "total_spending")
+    return year_over_year(t, ["therapeutic_area", "is_focus_area"], "drug_year",
+                          "total_spending", "prev_year_spending", "yoy_change_pct", 1)
+
+
+# ------------------------------------------------------------------------------ checks
+
+def staging_checks(prj: Project) -> list[quality.Check]:
+    years = tuple(prj.params.analysis_years)
+    C = quality.Check
+    return [
+        C("not_null", "stg_drug_spending", "generic_name"),
+        C("not_null", "stg_drug_spending", "total_spending"),
+        C("not_null", "stg_drug_spending", "total_claims"),
+        C("not_null", "stg_drug_spending", "drug_year"),
+        C("accepted_values", "stg_drug_spending", "drug_year", values=years),
+        C("not_null", "stg_prescribers", "npi"),
+        C("unique", "stg_prescribers", "npi"),
+        C("not_null", "stg_prescribers", "specialty"),
+        C("not_null", "stg_prescribers", "total_claims"),
+        C("not_null", "stg_prescriber_drugs", "npi"),
+        C("not_null", "stg_prescriber_drugs", "generic_name"),
+        C("not_null", "stg_prescriber_drugs", "total_claims"),
+    ]
+
+
+# Extra not-null columns declared on marts (besides every mart key).
+MART_NOT_NULL = (("mart_drug_spending_trends", "total_spending"),
+                 ("mart_specialty_vs_generic", "spending_rank"),
+                 ("mart_prescriber_engagement", "npi"),
+                 ("mart_cost_per_claim", "cost_per_claim"))
+
+
+def mart_checks() -> list[quality.Check]:
+    _ensure_loaded()
+    out = []
+    for spec in MODELS.values():
+        if spec.layer != "marts":
+            continue
+        key = spec.key or ("drug_year" if spec.name == "mart_kpi_scorecard" else None)
+        if key:
+            out.append(quality.Check("unique", spec.name, key))
+            out.append(quality.Check("not_null", spec.name, key))
+        out += [quality.Check("not_null", m, c) for m, c in MART_NOT_NULL if m == spec.name]
+    return out
+
+
+def _run_checks(prj: Project, checks: list[quality.Check]) -> DataFrame:
+    out = None
+    for model in dict.fromkeys(c.model for c in checks):
+        part = quality.run_column_checks(prj.model(model), [c for c in checks if c.model == model])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def checks_staging(prj):
+    return _run_checks(prj, staging_checks(prj))
+
+
+@query
+def checks_marts(prj):
+    return _run_checks(prj, mart_checks())
+
+
+@query
+def check_negative_spending(prj):
+    """Bad rows: negative total spending (severity error)."""
+    return (prj.model("stg_drug_spending").where(F.col("total_spending") < 0)
+            .select("generic_name", "brand_name", "total_spending"))
+
+
+@query
+def check_brand_generic_sum(prj):
+    """Bad rows (severity warn): brand + generic claims off total by more than 20 %."""
+    p = prj.model("stg_prescribers")
+    bg = F.col("brand_claims") + F.col("generic_claims")
+    diff = F.abs(F.col("total_claims") - bg)
+    return (p.where((F.col("total_claims") > 100) & F.col("brand_claims").isNotNull()
+                    & F.col("generic_claims").isNotNull()
+                    & (diff * 5 > F.col("total_claims")))
+            .select("npi", "total_claims", "brand_claims", "generic_claims",
+                    bg.alias("computed_total"), diff.alias("diff")))
+
+
+@query
+def checks_custom(prj):
+    return quality.custom_check(QUERY_FNS["check_negative_spending"](prj),
+                                "assert_no_negative_spending", "stg_drug_spending").unionByName(
+        quality.custom_check(QUERY_FNS["check_brand_generic_sum"](prj),
+                             "assert_brand_generic_sum", "stg_prescribers", "warn"))
+
+
+# ----------------------------------------------------------------------------- history
+
+SNAPSHOT_KEYS = ("generic_name", "brand_name", "manufacturer_name", "drug_year")
+SNAPSHOT_CHECK_COLS = ("avg_spending_per_claim", "avg_spending_per_beneficiary", "total_spending")
+SNAPSHOT_COLS = SNAPSHOT_KEYS + ("total_claims", "total_beneficiaries", "total_spending",
+                                 "avg_spending_per_claim", "avg_spending_per_beneficiary")
+# Fixture loads: the first omits one noun, the second omits another and re-prices a third.
+FIRST_LOAD_AT, SECOND_LOAD_AT = "2024-01-01 00:00:00", "2025-01-01 00:00:00"
+FIRST_LOAD_DROPS, SECOND_LOAD_DROPS, SECOND_LOAD_REPRICED = "WIDGET", "ROD", "RING"
+
+
+def snapshot_loads(prj: Project) -> tuple[DataFrame, DataFrame]:
+    s = prj.model("stg_drug_spending").select(*SNAPSHOT_COLS)
+    noun = F.element_at(F.split(F.col("generic_name"), " "), -1)
+    first = s.where(noun != FIRST_LOAD_DROPS)
+    second = (s.where(noun != SECOND_LOAD_DROPS)
+              .withColumn("total_spending",
+                          F.when(noun == SECOND_LOAD_REPRICED,
+                                 (F.col("total_spending") * F.lit(1.1).cast("decimal(2,1)"))
+                                 .cast("decimal(18,2)"))
+                          .otherwise(F.col("total_spending"))))
+    return first, second
+
+
+def snapshot_history(prj: Project) -> DataFrame:
+    first, second = snapshot_loads(prj)
+    h1 = scd2_apply(None, first, SNAPSHOT_KEYS, SNAPSHOT_CHECK_COLS, F.lit(FIRST_LOAD_AT))
+    return scd2_apply(h1, second, SNAPSHOT_KEYS, SNAPSHOT_CHECK_COLS, F.lit(SECOND_LOAD_AT))
+
+
+@query
+def snapshot_drug_spending(prj):
+    return snapshot_history(prj)
+
+
+@query
+def snapshot_drug_spending_as_of(prj):
+    """State between the two loads (as-of read on the history)."""
+    return as_of(snapshot_history(prj), "2024-06-30 00:00:00")
+
+
+# -------------------------------------------------------------------------- governance
+
+# Fixed values of the fixture: partner -> contracted therapeutic areas.
+PARTNER_ASSIGNMENTS = (("A", "Alpha"), ("A", "Beta"), ("B", "Gamma"))
+PII_SALT = "claimlake"
+
+
+def partner_assignments(prj: Project) -> DataFrame:
+    return prj.spark.createDataFrame(list(PARTNER_ASSIGNMENTS), "partner_id string, therapeutic_area string")
+
+
+@query
+def partner_area_report(prj):
+    """Partner A: rows of its areas only, aggregated (no drug-level detail)."""
+    access.require_access("partner_manufacturer", "enterprise")
+    m = prj.model("mart_manufacturer_performance_report")
+    rows = access.row_filter(m, partner_assignments(prj), "A", "therapeutic_area")
+    return access.aggregated_only(rows, ["drug_year", "therapeutic_area", "brand_generic_flag"],
+                                  ["total_claims", "total_spending"])
+
+
+@query
+def engagement_without_pii(prj):
+    """Column filter for a role without personal-data access."""
+    return access.columns_for_role(prj.model("mart_prescriber_engagement"), "analyst_commercial")
+
+
+@query
+def engagement_pii_protected(prj):
+    """Names masked, NPI replaced by a salted SHA-256."""
+    m = prj.model("mart_prescriber_engagement").select(
+        "npi", "last_name_or_org", "specialty", "state", "engagement_tier", "total_claims")
+    return access.hash_columns(access.mask_columns(m, ["last_name_or_org"]), ["npi"], PII_SALT)
+
+
+@query
+def engagement_for_region_group(prj):
+    """Row filter by state for a user group (states of one census region)."""
+    m = prj.model("mart_prescriber_engagement")
+    states = (prj.raw("seed_state_region_map").where(F.col("census_region") == "AMERICA")
+              .select(F.col("census_region").alias("group_id"),
+                      F.col("state_abbrev").alias("state")))
+    return access.row_filter(m, states, "AMERICA", "state", "group_id", "state")
+
+
+@query
+def retained_spending_trends(prj):
+    """Retention: the current year and five years before it."""
+    return access.retention_filter(prj.model("mart_drug_spending_trends"), "drug_year",
+                                   prj.params.prescriber_release_year, 5)
+
+
+# ---------------------------------------------------------------------- semantic layer
+
+@query
+def explore_drug_spending(prj):
+    """Drug view measures by year x area, joined to area KPI measures at that grain."""
+    return explore(prj.model("mart_cost_per_claim"), ["drug_year", "therapeutic_area"],
+                   VIEWS["drug_spending"], prj.model("mart_therapeutic_area_kpis"),
+                   {"drug_year": "drug_year", "therapeutic_area": "therapeutic_area"},
+                   VIEWS["therapeutic_area_kpis"], "ta_")
+
+
+@query
+def explore_prescriber_geography(prj):
+    """Prescriber view measures by year x state x tier, joined to geography measures."""
+    return explore(prj.model("mart_prescriber_engagement"),
+                   ["prescriber_year", "state", "engagement_tier"],
+                   VIEWS["prescriber_engagement"], prj.model("mart_geographic_distribution"),
+                   {"prescriber_year": "drug_year", "state": "state"},
+                   VIEWS["geographic_distribution"], "geo_")
+
+
+@query
+def bi_drug_spending_source(prj):
+    """Published source: default filters (current year, >= 11 beneficiaries) and
+    calculated fields (specialty label, cost tier, legend bucket)."""
+    m = prj.model("mart_cost_per_claim")
+    yr = prj.params.prescriber_release_year
+    return (m.where((F.col("drug_year") == yr)
+                    & (F.col("total_beneficiaries") >= prj.params.min_beneficiaries))
+            .select("cost_claim_key", "generic_name", "therapeutic_area", "total_spending",
+                    "cost_per_beneficiary_monthly",
+                    F.when(F.col("is_specialty_drug"), F.lit("Specialty"))
+                    .otherwise(F.lit("Non-Specialty")).alias("specialty_flag_label"),
+                    cost_tier("cost_per_beneficiary_monthly").alias("cost_tier"),
+                    legend_bin("cost_per_beneficiary_monthly", 0.0, 2500.0, 10)
+                    .alias("cost_bucket")))
+
+
+@query
+def measures_drug_by_flag(prj):
+    """A single-view measure query with a filter (brand rows only)."""
+    return measure_query(prj.model("mart_cost_per_claim"),
+                         ["drug_year", "is_specialty_drug"], VIEWS["drug_spending"],
+                         F.col("brand_generic_flag") == "Brand")
+
+
+# ---------------------------------------------------------------------------- reports
+
+for _name, _fn in REPORTS.items():
+    query(_fn)
+
+QUERY_FNS = {"check_negative_spending": check_negative_spending,
+             "check_brand_generic_sum": check_brand_generic_sum}

@@ -14,16 +14,22 @@ SPECIALTY_COST = 830
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
 
+def _dec(x: str) -> str:
+    # double -> decimal through the shortest decimal text of the double (as Spark does),
+    # so a quotient that is an exact half (1724143.505) rounds away from zero.
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))"
+
+
 def R(num: str, den: str, n: int, scale: str | None = None) -> str:
-    """round(num/den [*scale], n) through the shared double -> decimal(28,10) recipe."""
+    """round(num/den [*scale], n): double quotient, decimal rounding half away from zero."""
     q = f"(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0))"
     if scale:
         q = f"({q} * {scale})"
-    return f"CAST(ROUND(CAST({q} AS DECIMAL(28,10)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND({_dec(q)}, {n}) AS DOUBLE)"
 
 
 def RD(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,10)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND({_dec(x)}, {n}) AS DOUBLE)"
 
 
 def MEAN(x: str, n: int) -> str:
