@@ -79,18 +79,28 @@ def _manufacturers(t: DriverTables) -> DataFrame:
             .select("s_suppkey", F.col("r_name").alias("mftr_name")))
 
 
-def drug_spending_long(t: DriverTables) -> DataFrame:
-    """Per drug x brand x manufacturer x year measures (before pivoting wide)."""
+def line_base(t: DriverTables) -> DataFrame:
+    """Order lines with everything the three extracts need: customer, year, part name,
+    generic / brand names and manufacturer. Built once per ingest and written to the
+    shared folder; each extract then aggregates that table."""
     p = F.col("p_partkey")
     parts = t.part.select(
-        "p_partkey",
+        "p_partkey", "p_name",
         F.when(p % NULL_GENERIC_MOD == 0, F.lit(None).cast("string"))
         .when(p % BLANK_GENERIC_MOD == 0, F.lit("  "))
         .otherwise(F.col("p_name")).alias("gnrc_name"),
         _brand_of(p, F.col("p_name")).alias("brnd_name"))
-    rows = (_order_lines(t)
+    return (_order_lines(t)
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .join(_manufacturers(t), F.col("l_suppkey") == F.col("s_suppkey")))
+            .join(_manufacturers(t), F.col("l_suppkey") == F.col("s_suppkey"))
+            .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                    "l_returnflag", "l_linestatus", "ship_year", "o_custkey", "o_orderkey",
+                    "p_name", "gnrc_name", "brnd_name", "mftr_name"))
+
+
+def drug_spending_long(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
+    """Per drug x brand x manufacturer x year measures (before pivoting wide)."""
+    rows = base if base is not None else line_base(t)
     spend = _money(F.sum(_money(F.col("l_extendedprice"))) * F.lit(SPENDING_FACTOR))
     benes = F.count_distinct("o_custkey")
     units = F.sum("l_quantity")
@@ -110,13 +120,14 @@ def drug_spending_long(t: DriverTables) -> DataFrame:
         "outlier_flag")
 
 
-def drug_spending_wide(t: DriverTables, years=FIXTURE_YEARS) -> DataFrame:
+def drug_spending_wide(t: DriverTables, years=FIXTURE_YEARS,
+                       base: DataFrame | None = None) -> DataFrame:
     """raw_part_d_spending: one row per drug x brand x manufacturer, measures by year.
 
     The pivot is a conditional aggregation over explicit years (no extra pass to find
     them); ``tot_mftr`` counts the manufacturers of the drug x brand.
     """
-    long = drug_spending_long(t)
+    long = drug_spending_long(t, base)
     cells = []
     for y in years:
         hit = F.col("ship_year") == F.lit(y)
@@ -137,9 +148,9 @@ def _customers(t: DriverTables) -> DataFrame:
             .select("c_custkey", "c_name", "c_mktsegment", "n_name"))
 
 
-def prescribers(t: DriverTables) -> DataFrame:
+def prescribers(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
     """raw_prescribers: one row per customer with at least one order line."""
-    lines = _order_lines(t)
+    lines = base if base is not None else _order_lines(t)
     brand = (F.col("l_partkey") % 3) == 2
     price = _money(F.col("l_extendedprice"))
     opioid = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -176,11 +187,14 @@ def prescribers(t: DriverTables) -> DataFrame:
         "antbtc_tot_clms", "bene_avg_age", "bene_feml_cnt", "bene_male_cnt")
 
 
-def prescriber_drugs(t: DriverTables) -> DataFrame:
+def prescriber_drugs(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
     """raw_prescribers_drug: one row per customer x part name x brand."""
-    parts = t.part.select("p_partkey", "p_name",
-                          _brand_of(F.col("p_partkey"), F.col("p_name")).alias("brnd_name"))
-    rows = _order_lines(t).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    if base is not None:
+        rows = base
+    else:
+        parts = t.part.select("p_partkey", "p_name",
+                              _brand_of(F.col("p_partkey"), F.col("p_name")).alias("brnd_name"))
+        rows = _order_lines(t).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     per = rows.groupBy("o_custkey", "p_name", "brnd_name").agg(
         F.count(F.lit(1)).alias("tot_clms"),
         F.count_distinct("o_orderkey").alias("tot_benes"),

@@ -45,6 +45,24 @@ class RawSources:
             "seed_state_region_map": lambda: fixtures.state_region_map(t),
         }, origin=sf_dir)
 
+    @classmethod
+    def from_driver_tables_via(cls, spark: SparkSession, sf_dir: str, base_path: str) -> "RawSources":
+        """As ``from_driver_tables``, but the shared order-line join is written once to
+        ``base_path`` (a shared folder) and the three extracts aggregate that table."""
+        t = DriverTables(spark, sf_dir)
+        base = fixtures.line_base(t)
+        base.repartition(spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(base_path)
+
+        def b():
+            return spark.read.parquet(base_path)
+        return cls(spark, {
+            "raw_part_d_spending": lambda: fixtures.drug_spending_wide(t, base=b()),
+            "raw_prescribers": lambda: fixtures.prescribers(t, base=b()),
+            "raw_prescribers_drug": lambda: fixtures.prescriber_drugs(t, base=b()),
+            "seed_therapeutic_area_map": lambda: fixtures.therapeutic_area_map(t),
+            "seed_state_region_map": lambda: fixtures.state_region_map(t),
+        }, origin=sf_dir)
+
     @classmethod
     def from_directory(cls, spark: SparkSession, path: str, fmt: str = "parquet") -> "RawSources":
         """Inputs previously written as tables (``<path>/<name>``)."""
