@@ -1,0 +1 @@
+"""Incremental (file-drop) refresh with Structured Streaming."""
