@@ -21,11 +21,17 @@ _UNB = Window.unboundedPreceding
 def ranked_running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column],
                          value: str, rank_col: str = "rank", cum_col: str = "cumulative",
                          total_col: str = "partition_total", slices: int | None = None,
-                         method: str = "range") -> DataFrame:
+                         method: str = "range", broadcast_offsets: bool = True) -> DataFrame:
     """Add ``row_number``, running sum of ``value`` and the ``by`` total to every row.
 
     ``order`` must make rows unique inside ``by`` (add tie-breakers), so the result is
     deterministic. ``by`` columns must be non-null.
+
+    Slices come from one range repartition; like ``RDD.zipWithIndex`` the per-slice
+    counts are taken in a second pass over the same deterministic input. Range slices are
+    contiguous in the sort order, so the offsets table has at most ``slices + distinct by
+    keys - 1`` rows: broadcast it for low-cardinality keys (years); for keys with many
+    values pass ``broadcast_offsets=False`` and let the planner choose the join.
     """
     by = list(by)
     if method == "window":
@@ -50,7 +56,7 @@ def ranked_running_total(df: DataFrame, by: Sequence[str], order: Sequence[Colum
         F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_soff"),
         F.sum("_s").over(Window.partitionBy(*by)).alias(total_col))
     # offsets: one row per (slice, key) present, at most slices + distinct keys rows.
-    out = local.join(F.broadcast(offsets), ["_slice", *by])
+    out = local.join(F.broadcast(offsets) if broadcast_offsets else offsets, ["_slice", *by])
     cols = [c for c in df.columns]
     return out.select(*cols,
                       (F.col("_lrank") + F.col("_noff")).cast("int").alias(rank_col),

@@ -11,11 +11,11 @@ import os
 import time
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..params import FIXTURE, Params
 from ..sources.raw import INPUTS, RawSources
-from ..sources.sinks import write_table
+from ..sources.sinks import AUDIT_COLUMN, write_table
 from .project import MODELS, Project, _ensure_loaded, select_models
 
 
@@ -35,7 +35,8 @@ def ingest(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, float]:
 
 
 def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FIXTURE,
-          tags: Sequence[str] = (), register_views: bool = True) -> tuple[Project, dict[str, float]]:
+          tags: Sequence[str] = (), register_views: bool = True,
+          run_checks: bool = True) -> tuple[Project, dict[str, float]]:
     """Run every selected model in dependency order; return the project and seconds per model."""
     _ensure_loaded()
     prj = Project(spark, RawSources.from_directory(spark, raw_dir), params)
@@ -51,7 +52,20 @@ def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FI
             if layer == "intermediate":
                 prj.materialize([spec.name], os.path.join(warehouse, layer))
             else:
-                write_table(prj.model(spec.name), os.path.join(warehouse, layer, spec.name),
-                            audit=True)
+                path = os.path.join(warehouse, layer, spec.name)
+                write_table(prj.model(spec.name), path, audit=True)
+                prj.use_table(spec.name, spark.read.parquet(path).drop(AUDIT_COLUMN))
             times[spec.name] = time.time() - t0
+    if run_checks and not tags:
+        t0 = time.time()
+        write_table(check_results(prj), os.path.join(warehouse, "_check_results"))
+        times["checks"] = time.time() - t0
     return prj, times
+
+
+def check_results(prj: Project) -> DataFrame:
+    """All declared checks (12 staging, 34 mart, 2 custom) as one result table, reading
+    the written tables (marts) and the staging views."""
+    from .extra_queries import _run_checks, checks_custom, mart_checks, staging_checks
+    return (_run_checks(prj, staging_checks(prj) + mart_checks())
+            .unionByName(checks_custom(prj)))

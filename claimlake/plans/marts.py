@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
 from ..operators.aggregates import count_distinct_if, percentile, sum_if, top_label
 from ..operators.reshape import metrics_to_rows
-from ..operators.windows import pareto_tier, ranked_running_total, share_of_total
+from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
+                                 share_of_total)
 from .project import Project, model
 
 OTHER_AREA = "Other"
@@ -283,7 +284,7 @@ def mart_manufacturer_performance_report(prj: Project) -> DataFrame:
     totals = d.groupBy("drug_year", "therapeutic_area").agg(
         F.sum("total_spending").alias("ta_total_spending"),
         F.sum("total_claims").alias("ta_total_claims"))
-    j = d.join(F.broadcast(totals), ["drug_year", "therapeutic_area"], "left")
+    j = share_of_group(d, totals, ["drug_year", "therapeutic_area"])
     out = j.select(
         "drug_year", "brand_name", "generic_name", "manufacturer_name", "therapeutic_area",
         "is_focus_area", "is_specialty_drug", "brand_generic_flag", "total_claims",

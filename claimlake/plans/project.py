@@ -91,6 +91,10 @@ class Project:
             self._models[name] = MODELS[name].fn(self)
         return self._models[name]
 
+    def use_table(self, name: str, df: DataFrame) -> None:
+        """Serve ``name`` from an already written table from now on."""
+        self._models[name] = df
+
     def materialize(self, names: Sequence[str], path: str, fmt: str = "parquet") -> dict[str, str]:
         """Write models as tables under ``path`` and read them back from there.
 

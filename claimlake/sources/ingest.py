@@ -75,17 +75,20 @@ def filter_values(df: DataFrame, candidates: Sequence[str], values: Sequence[str
 
 
 def filter_to_reference(df: DataFrame, candidates: Sequence[str], reference: DataFrame,
-                        reference_col: str) -> DataFrame:
+                        reference_col: str, max_rows: int = 1_000_000) -> DataFrame:
     """Keep rows whose name is in a reference map, comparing strip+upper on both sides.
 
-    A ``left_semi`` join against the (small, broadcast) distinct reference names.
+    A ``left_semi`` join against the distinct reference names, broadcast once their count
+    is shown to be within ``max_rows``.
     """
+    from ..operators.joins import checked_broadcast
     col = first_present(df, candidates)
     if col is None:
         warnings.warn(f"none of {list(candidates)} present; keeping all rows", stacklevel=2)
         return df
     names = reference.select(strip_upper(reference_col).alias("_ref")).distinct()
-    return df.join(F.broadcast(names), strip_upper(col) == F.col("_ref"), "left_semi")
+    names = checked_broadcast(names, ["_ref"], max_rows, "reference names")
+    return df.join(names, strip_upper(col) == F.col("_ref"), "left_semi")
 
 
 def rename_like(df: DataFrame, pattern: str, repl: str) -> DataFrame:
