@@ -59,9 +59,19 @@ def _money(c: Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
-def _order_lines(t: DriverTables) -> DataFrame:
-    """Order lines with their customer and ship year (one join on orderkey)."""
-    lines = t.lineitem.select(
+def _order_lines(t: DriverTables, spread: bool = False) -> DataFrame:
+    """Order lines with their customer and ship year (one join on orderkey).
+
+    ``spread``: when the line scan yields fewer input splits than the default
+    parallelism (one-row-group files), round-robin it once so the joins after it run in
+    parallel. Real multi-file input already splits widely, and then nothing changes.
+    """
+    lineitem = t.lineitem
+    if spread:
+        target = t.spark.sparkContext.defaultParallelism
+        if lineitem.rdd.getNumPartitions() < target:
+            lineitem = lineitem.repartition(target)
+    lines = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus",
         F.year("l_shipdate").cast("int").alias("ship_year"))
@@ -69,17 +79,25 @@ def _order_lines(t: DriverTables) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
 
 
-def _manufacturers(t: DriverTables) -> DataFrame:
-    """Supplier -> manufacturer name (the supplier's region)."""
+def _manufacturers(t: DriverTables, max_rows: int = 1_000_000) -> DataFrame:
+    """Supplier -> manufacturer name (the supplier's region).
+
+    The planner estimates a join's size as the product of its inputs, so this map would
+    never be broadcast on its own; one bounded job checks its size (and key uniqueness)
+    and broadcasts it while it is small. A supplier table beyond ``max_rows`` is joined
+    by shuffle instead.
+    """
+    from ..operators.joins import checked_broadcast
     nation = F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
     region = F.broadcast(t.region.select("r_regionkey", "r_name"))
-    return (t.supplier.select("s_suppkey", "s_nationkey")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select("s_suppkey", F.col("r_name").alias("mftr_name")))
+    m = (t.supplier.select("s_suppkey", "s_nationkey")
+         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+         .select("s_suppkey", F.col("r_name").alias("mftr_name")))
+    return checked_broadcast(m, ["s_suppkey"], max_rows, "supplier manufacturers")
 
 
-def line_base(t: DriverTables) -> DataFrame:
+def line_base(t: DriverTables, spread: bool = False) -> DataFrame:
     """Order lines with everything the three extracts need: customer, year, part name,
     generic / brand names and manufacturer. Built once per ingest and written to the
     shared folder; each extract then aggregates that table."""
@@ -90,7 +108,7 @@ def line_base(t: DriverTables) -> DataFrame:
         .when(p % BLANK_GENERIC_MOD == 0, F.lit("  "))
         .otherwise(F.col("p_name")).alias("gnrc_name"),
         _brand_of(p, F.col("p_name")).alias("brnd_name"))
-    return (_order_lines(t)
+    return (_order_lines(t, spread)
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .join(_manufacturers(t), F.col("l_suppkey") == F.col("s_suppkey"))
             .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
