@@ -15,10 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..params import FIXTURE, Params
 from ..sources.raw import INPUTS, RawSources
-from ..sources.sinks import AUDIT_COLUMN, write_table
+from ..sources.sinks import AUDIT_COLUMN, with_audit, write_table
 from .project import MODELS, Project, _ensure_loaded, select_models
 
 
+# Physical layout of the large, year-grained tables: year partitions (pruned by the
+# reports' year filters) and a clustering sort inside each file (row-group skipping).
+LAYOUT = {
+    "int_drug_enriched": (("drug_year",), ("therapeutic_area", "generic_name")),
+    "mart_cost_per_claim": (("drug_year",), ("therapeutic_area", "generic_name")),
+    "mart_specialty_vs_generic": (("drug_year",), ("spending_rank",)),
+    "mart_manufacturer_performance_report": (("drug_year",), ("therapeutic_area", "generic_name")),
+    "mart_dq_anomalies": (("drug_year",), ("therapeutic_area",)),
+    "mart_day_supply_efficiency": ((), ("drug_year", "state")),
+    "mart_geographic_distribution": ((), ("drug_year", "state")),
+    "mart_brand_generic_ratio": ((), ("drug_year", "state")),
+}
+
+
 def ingest(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, float]:
     """Derive the five inputs from the driver tables and write them as tables.
 
@@ -49,12 +63,15 @@ def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FI
                 if register_views:
                     prj.model(spec.name).createOrReplaceTempView(spec.name)
                 continue
-            if layer == "intermediate":
-                prj.materialize([spec.name], os.path.join(warehouse, layer))
-            else:
-                path = os.path.join(warehouse, layer, spec.name)
-                write_table(prj.model(spec.name), path, audit=True)
-                prj.use_table(spec.name, spark.read.parquet(path).drop(AUDIT_COLUMN))
+            part, sort = LAYOUT.get(spec.name, ((), ()))
+            path = os.path.join(warehouse, layer, spec.name)
+            audit = layer == "marts"
+            df = prj.model(spec.name)
+            write_table(df, path, partition_by=part, sort_within=sort, audit=audit)
+            # Read back with the known schema (an empty partitioned table has no files).
+            schema = with_audit(df).schema if audit else df.schema
+            back = spark.read.schema(schema).parquet(path)
+            prj.use_table(spec.name, back.drop(AUDIT_COLUMN).select(*df.columns))
             times[spec.name] = time.time() - t0
     if run_checks and not tags:
         t0 = time.time()
