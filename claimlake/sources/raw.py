@@ -62,6 +62,34 @@ class RawSources:
             "seed_state_region_map": lambda: fixtures.state_region_map(t),
         }, origin=sf_dir)
 
+    @classmethod
+    def from_csv(cls, spark: SparkSession, paths: dict[str, str], years) -> "RawSources":
+        """Delivered CSV extracts and seed files, read with explicit schemas.
+
+        ``paths`` maps each input name to a file or folder; header names are cleaned
+        (strip, lower, ' ' and '/' -> '_') before the schema's names are applied, so
+        extracts whose headers differ only in case or spacing read the same.
+        """
+        from . import schemas
+        from .fixtures import SPENDING_STUBS
+        from .ingest import normalise_columns, read_csv
+
+        def reader(name, schema):
+            def build():
+                df = normalise_columns(read_csv(spark, paths[name], schema))
+                return df.select(*[f.name for f in schema.fields])
+            return build
+
+        return cls(spark, {
+            "raw_part_d_spending": reader("raw_part_d_spending",
+                                          schemas.spending_schema(years, SPENDING_STUBS)),
+            "raw_prescribers": reader("raw_prescribers", schemas.prescribers_schema()),
+            "raw_prescribers_drug": reader("raw_prescribers_drug", schemas.prescriber_drugs_schema()),
+            "seed_therapeutic_area_map": reader("seed_therapeutic_area_map",
+                                                schemas.area_map_schema()),
+            "seed_state_region_map": reader("seed_state_region_map", schemas.region_map_schema()),
+        }, origin=",".join(sorted(paths.values())))
+
     @classmethod
     def from_directory(cls, spark: SparkSession, path: str, fmt: str = "parquet") -> "RawSources":
         """Inputs previously written as tables (``<path>/<name>``)."""
