@@ -29,7 +29,8 @@ def main() -> None:
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-", dir="/tmp"))
     root = shared_dir(spark, f"bench-{int(time.time())}")
     t_all = time.time()
-    ing = ingest(spark, sf_dir, os.path.join(root, "raw"))
+    rows: dict[str, int] = {}
+    ing = ingest(spark, sf_dir, os.path.join(root, "raw"), rows)
     prj, times = build(spark, os.path.join(root, "raw"), os.path.join(root, "warehouse"))
     # Dashboard path: every report over the written marts (small results, collected).
     from claimlake.plans.reports import REPORTS
@@ -42,7 +43,7 @@ def main() -> None:
     queries.update({k: round(v, 3) for k, v in times.items()})
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "full_build_seconds", "value": round(total, 3), "unit": "sec",
-                      "queries": queries, "sf": sf, "cpus": cpus,
+                      "queries": queries, "sf": sf, "cpus": cpus, "input_rows": rows,
                       "spark": spark.version}))
     spark.stop()
 

@@ -33,18 +33,25 @@ LAYOUT = {
 }
 
 
-def ingest(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, float]:
+def ingest(spark: SparkSession, sf_dir: str, out_dir: str,
+           rows: dict[str, int] | None = None) -> dict[str, float]:
     """Derive the five inputs from the driver tables and write them as tables.
 
-    The order-line join shared by the three extracts is written once (``_line_base``)."""
+    The order-line join shared by the three extracts is written once (``_line_base``).
+    Row counts are observed while each table is written (no extra pass) into ``rows``.
+    """
+    from ..operators.quality import observe_counts
     times = {}
     t0 = time.time()
     src = RawSources.from_driver_tables_via(spark, sf_dir, os.path.join(out_dir, "_line_base"))
     times["_line_base"] = time.time() - t0
     for name in INPUTS:
         t0 = time.time()
-        write_table(src[name], os.path.join(out_dir, name))
+        df, obs = observe_counts(src[name], name)
+        write_table(df, os.path.join(out_dir, name))
         times[name] = time.time() - t0
+        if rows is not None:
+            rows[name] = obs.get["rows_read"]
     return times
 
 
