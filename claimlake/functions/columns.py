@@ -101,15 +101,6 @@ def label_tiers(value: str | Column, cuts: Sequence[tuple[str, float]], otherwis
     return expr.otherwise(F.lit(otherwise)) if expr is not None else F.lit(otherwise)
 
 
-def label_upto(value: str | Column, cuts: Sequence[tuple[str, float]], otherwise: str) -> Column:
-    """Searched CASE on upper bounds: first ``(label, cut)`` with value <= cut wins."""
-    v = col(value)
-    expr = None
-    for label, cut in cuts:
-        cond = v <= F.lit(cut)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(otherwise))
-
 
 def cost_tier(monthly_cost: str | Column, high: float = 830.0, moderate: float = 100.0) -> Column:
     """BI calculated field: > high "High Cost", > moderate "Moderate", else "Low Cost"."""

@@ -4,7 +4,6 @@ value-list and reference-map filters, and read/kept row metrics.
 
 from __future__ import annotations
 
-import re
 import warnings
 from collections.abc import Sequence
 
@@ -89,7 +88,3 @@ def filter_to_reference(df: DataFrame, candidates: Sequence[str], reference: Dat
     names = reference.select(strip_upper(reference_col).alias("_ref")).distinct()
     names = checked_broadcast(names, ["_ref"], max_rows, "reference names")
     return df.join(names, strip_upper(col) == F.col("_ref"), "left_semi")
-
-
-def rename_like(df: DataFrame, pattern: str, repl: str) -> DataFrame:
-    return df.toDF(*[re.sub(pattern, repl, c) for c in df.columns])

@@ -41,12 +41,6 @@ def SK(*cols: str) -> str:
     return f"md5(concat_ws('-', {parts}))"
 
 
-def D(x: str) -> str:
-    return f"CAST({x} AS DOUBLE)"
-
-
-def B(x: str) -> str:
-    return f"CAST({x} AS BIGINT)"
 
 
 STUBS = ("tot_spndng", "tot_clms", "tot_benes", "tot_dsg_unts", "avg_spnd_per_clm",
