@@ -15,9 +15,16 @@ def sum_if(cond: Column, value: str | Column, otherwise=0) -> Column:
     return F.sum(F.when(cond, col(value)).otherwise(F.lit(otherwise)))
 
 
-def count_distinct_if(cond: Column, value: str | Column) -> Column:
+def distinct_count(value: str | Column, rsd: float | None = None) -> Column:
+    """``count(distinct value)``; with ``rsd`` a HyperLogLog estimate (BIGINT either way)."""
+    if rsd:
+        return F.approx_count_distinct(col(value), rsd).cast("bigint")
+    return F.count_distinct(col(value))
+
+
+def count_distinct_if(cond: Column, value: str | Column, rsd: float | None = None) -> Column:
     """``count(distinct case when cond then value end)``."""
-    return F.count_distinct(F.when(cond, col(value)))
+    return distinct_count(F.when(cond, col(value)), rsd)
 
 
 def percentile(value: str | Column, p: float, accuracy: int | None = None) -> Column:

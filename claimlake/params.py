@@ -23,6 +23,9 @@ class Params:
     tiers_by_year: bool = False
     # Exact percentile (default) or percentile_approx with this accuracy.
     approx_percentile_accuracy: int | None = None
+    # Exact count(distinct) (default) or HyperLogLog approx_count_distinct with this
+    # relative standard deviation: no Expand of the input, fixed-size sketches per group.
+    approx_distinct_rsd: float | None = None
     # Anomaly detection: minimum group size for stats, warning and anomaly cuts.
     anomaly_min_group: int = 5
     anomaly_warning_z: float = 2.0

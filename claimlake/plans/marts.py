@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
-from ..operators.aggregates import count_distinct_if, percentile, sum_if, top_label
+from ..operators.aggregates import (count_distinct_if, distinct_count, percentile, sum_if,
+                                    top_label)
 from ..operators.reshape import metrics_to_rows
 from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
                                  share_of_total)
@@ -39,6 +40,10 @@ def _with_key(df: DataFrame, key: str, *cols: str) -> DataFrame:
     return df.select(surrogate_key(*cols).alias(key), *df.columns)
 
 
+def _distinct(prj: Project, c: str) -> F.Column:
+    return distinct_count(c, prj.params.approx_distinct_rsd)
+
+
 def _zero() -> F.Column:
     return F.lit(0).cast("decimal(18,2)")
 
@@ -52,7 +57,7 @@ def mart_drug_spending_trends(prj: Project) -> DataFrame:
     d = _suppressed_drugs(prj)
     spec, brand = F.col("is_specialty_drug"), F.col("brand_generic_flag")
     agg = d.groupBy("drug_year", _area_or_other(), "is_focus_area").agg(
-        F.count_distinct("generic_name").alias("distinct_drugs"),
+        _distinct(prj, "generic_name").alias("distinct_drugs"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         F.sum("total_spending").alias("total_spending"),
@@ -77,7 +82,7 @@ def mart_drug_spending_trends(prj: Project) -> DataFrame:
 def mart_therapeutic_area_mix(prj: Project) -> DataFrame:
     d = _suppressed_drugs(prj)
     agg = d.groupBy("drug_year", _area_or_other(), "brand_generic_flag").agg(
-        F.count_distinct("generic_name").alias("drug_count"),
+        _distinct(prj, "generic_name").alias("drug_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_spending").alias("total_spending"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
@@ -139,13 +144,14 @@ def mart_specialty_adoption_funnel(prj: Project) -> DataFrame:
     agg = d.groupBy(F.col("prescriber_drug_year").alias("drug_year"),
                     F.col("specialty").alias("prescriber_specialty"),
                     "therapeutic_area", "is_focus_area").agg(
-        F.count_distinct("npi").alias("prescriber_count"),
+        _distinct(prj, "npi").alias("prescriber_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_drug_cost").alias("total_drug_cost"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         F.sum("total_day_supply").alias("total_day_supply"),
-        F.count_distinct("generic_name").alias("distinct_drugs_prescribed"),
-        count_distinct_if(spec, "npi").alias("prescribers_with_specialty_rx"),
+        _distinct(prj, "generic_name").alias("distinct_drugs_prescribed"),
+        count_distinct_if(spec, "npi", prj.params.approx_distinct_rsd)
+        .alias("prescribers_with_specialty_rx"),
         sum_if(spec, "total_claims").alias("specialty_claims"),
         sum_if(spec, "total_drug_cost", _zero()).alias("specialty_drug_cost"))
     out = agg.select(
@@ -165,7 +171,7 @@ def mart_prescriber_retention_cohort(prj: Project) -> DataFrame:
     p = prj.model("int_prescriber_summary").where(F.col("total_claims") > 0)
     acc = prj.params.approx_percentile_accuracy
     agg = p.groupBy("prescriber_year", "specialty", "census_region", "engagement_tier").agg(
-        F.count_distinct("npi").alias("prescriber_count"),
+        _distinct(prj, "npi").alias("prescriber_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_drug_cost").alias("total_drug_cost"),
         mean("total_claims", 0).alias("avg_claims_per_prescriber"),
@@ -189,7 +195,7 @@ def mart_fill_volume_trends(prj: Project) -> DataFrame:
     d = _suppressed_drugs(prj)
     agg = d.groupBy("drug_year", _area_or_other(), "is_focus_area", "is_specialty_drug",
                     "brand_generic_flag").agg(
-        F.count_distinct("generic_name").alias("distinct_drugs"),
+        _distinct(prj, "generic_name").alias("distinct_drugs"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_30day_fills").alias("total_30day_fills"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
@@ -232,7 +238,7 @@ def mart_day_supply_efficiency(prj: Project) -> DataFrame:
     agg = d.groupBy(F.col("prescriber_drug_year").alias("drug_year"), "generic_name",
                     "therapeutic_area", "is_specialty_drug", "is_focus_area", "state",
                     "census_region").agg(
-        F.count_distinct("npi").alias("prescriber_count"),
+        _distinct(prj, "npi").alias("prescriber_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_day_supply").alias("total_day_supply"),
         F.sum("total_drug_cost").alias("total_drug_cost"),
@@ -261,7 +267,7 @@ def mart_brand_generic_ratio(prj: Project) -> DataFrame:
         sum_if(is_generic, "total_claims").alias("generic_claims"),
         sum_if(is_brand, "total_drug_cost", _zero()).alias("brand_cost"),
         sum_if(is_generic, "total_drug_cost", _zero()).alias("generic_cost"),
-        F.count_distinct("npi").alias("prescriber_count"))
+        _distinct(prj, "npi").alias("prescriber_count"))
     out = agg.select(
         "*",
         ratio_or("generic_claims", "total_claims", 1, 0.0, 100).alias("generic_dispensing_rate_pct"),
@@ -303,8 +309,9 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
     d = _suppressed_drugs(prj)
     spend = F.sum("total_spending")
     agg = d.groupBy("drug_year", _area_or_other(), "is_focus_area").agg(
-        F.count_distinct("generic_name").alias("drug_count"),
-        count_distinct_if(F.col("brand_name") != "", "brand_name").alias("brand_count"),
+        _distinct(prj, "generic_name").alias("drug_count"),
+        count_distinct_if(F.col("brand_name") != "", "brand_name", prj.params.approx_distinct_rsd)
+        .alias("brand_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         F.sum("total_30day_fills").alias("total_30day_fills"),
@@ -325,11 +332,11 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
 def mart_geographic_distribution(prj: Project) -> DataFrame:
     d = prj.model("int_prescriber_drug_detail").where(
         (F.col("total_claims") > 0) & F.col("state").isNotNull())
-    npis = F.count_distinct("npi")
+    npis = _distinct(prj, "npi")
     agg = d.groupBy(F.col("prescriber_drug_year").alias("drug_year"), "state", "census_region",
                     _area_or_other(), "is_focus_area").agg(
         npis.alias("prescriber_count"),
-        F.count_distinct("generic_name").alias("distinct_drugs"),
+        _distinct(prj, "generic_name").alias("distinct_drugs"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_drug_cost").alias("total_drug_cost"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
@@ -350,16 +357,16 @@ def mart_executive_summary(prj: Project) -> DataFrame:
         F.sum("total_spending").alias("total_spending"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
-        F.count_distinct("generic_name").alias("drug_count"),
+        _distinct(prj, "generic_name").alias("drug_count"),
         mean("cost_per_claim", 2).alias("avg_cost_per_claim"),
         mean("cost_per_beneficiary_monthly", 2).alias("avg_monthly_cost"))
     p = (prj.model("int_prescriber_drug_detail")
          .where((F.col("total_claims") > 0) & F.col("therapeutic_area").isNotNull())
          .groupBy(F.col("prescriber_drug_year").alias("drug_year"), "therapeutic_area").agg(
-             F.count_distinct("npi").alias("prescriber_count"),
+             _distinct(prj, "npi").alias("prescriber_count"),
              F.sum("total_claims").alias("prescriber_claims"),
              F.sum("total_drug_cost").alias("prescriber_drug_cost"),
-             F.count_distinct("state").alias("state_reach")))
+             _distinct(prj, "state").alias("state_reach")))
     j = s.join(p, ["drug_year", "therapeutic_area"], "left")
     out = j.select(
         "drug_year", "therapeutic_area", "is_focus_area", "drug_count", "total_spending",
@@ -377,7 +384,7 @@ def mart_kpi_scorecard(prj: Project) -> DataFrame:
     spend = F.sum("total_spending")
     focus = F.col("is_focus_area")
     return d.groupBy("drug_year").agg(
-        F.count_distinct("generic_name").alias("total_drugs"),
+        _distinct(prj, "generic_name").alias("total_drugs"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         spend.alias("total_spending"),
@@ -389,7 +396,7 @@ def mart_kpi_scorecard(prj: Project) -> DataFrame:
               spend, 1, 100).alias("brand_spending_pct"),
         sum_if(focus, "total_spending", _zero()).alias("focus_area_spending"),
         sum_if(focus, "total_claims").alias("focus_area_claims"),
-        F.count_distinct("therapeutic_area").alias("therapeutic_area_count"))
+        _distinct(prj, "therapeutic_area").alias("therapeutic_area_count"))
 
 
 # ----------------------------------------------------------------------- data quality

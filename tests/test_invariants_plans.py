@@ -71,3 +71,16 @@ def test_scan_prunes_columns_and_pushes_filters(spark, capsys):
     assert "PushedFilters: [IsNotNull(total_beneficiaries), GreaterThanOrEqual(total_beneficiaries,11)]" in plan
     read = [ln for ln in plan.splitlines() if ln.strip().startswith("ReadSchema")][0]
     assert "manufacturer_count" not in read and "total_spending" in read
+
+
+def test_approx_distinct_switch_removes_expand(spark, capsys):
+    from dataclasses import replace
+    from claimlake.params import FIXTURE
+    exact = project(spark, SF_SMALL).model("mart_specialty_adoption_funnel")
+    approx_prj = project(spark, SF_SMALL, replace(FIXTURE, approx_distinct_rsd=0.02))
+    approx = approx_prj.model("mart_specialty_adoption_funnel")
+    assert "Expand" in _plan(exact, capsys) and "Expand" not in _plan(approx, capsys)
+    e = {r.adoption_key: r.prescriber_count for r in exact.collect()}
+    a = {r.adoption_key: r.prescriber_count for r in approx.collect()}
+    assert e.keys() == a.keys()
+    assert all(abs(a[k] - e[k]) <= max(2, 0.1 * e[k]) for k in e)
