@@ -167,27 +167,45 @@ def _customers(t: DriverTables) -> DataFrame:
 
 
 def prescribers(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
-    """raw_prescribers: one row per customer with at least one order line."""
+    """raw_prescribers: one row per customer with at least one order line.
+
+    Two-level aggregation: lines -> orders -> customers. An order belongs to one customer,
+    so "distinct orders" (patients) is the number of order rows and "distinct orders with
+    an opioid line" counts orders with one; no Expand of the line data is needed, and the
+    line level is reduced to orders before the customer shuffle.
+    """
     lines = base if base is not None else _order_lines(t)
     brand = (F.col("l_partkey") % 3) == 2
     price = _money(F.col("l_extendedprice"))
     opioid = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     zero = F.lit(0).cast("decimal(18,2)")
-    per = lines.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("claims"),
-        F.count_if(brand).alias("brnd_tot_clms"),
-        F.count_if(~brand).alias("gnrc_tot_clms"),
-        _money(F.sum(price)).alias("tot_drug_cst"),
-        _money(F.sum(F.when(brand, price).otherwise(zero))).alias("brnd_tot_drug_cst"),
-        _money(F.sum(F.when(~brand, price).otherwise(zero))).alias("gnrc_tot_drug_cst"),
-        F.count_distinct("o_orderkey").alias("tot_benes"),
-        ratio(F.sum("l_quantity"), F.lit(30), 2).alias("tot_30day_fills"),
-        F.count_if(opioid).alias("opioid_tot_clms"),
-        F.count_distinct(F.when(opioid, F.col("o_orderkey"))).alias("opioid_tot_benes"),
-        F.count_if(F.col("l_returnflag") == "A").alias("antbtc_tot_clms"),
-        ratio(F.sum("l_quantity"), F.count(F.lit(1)), 1).alias("bene_avg_age"),
-        F.count_if(F.col("l_linenumber") % 2 == 1).alias("bene_feml_cnt"),
-        F.count_if(F.col("l_linenumber") % 2 == 0).alias("bene_male_cnt"))
+    orders = lines.groupBy("o_custkey", "o_orderkey").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(brand).alias("nb"),
+        F.count_if(~brand).alias("ng"),
+        F.sum(price).alias("cost"),
+        F.sum(F.when(brand, price).otherwise(zero)).alias("bcost"),
+        F.sum(F.when(~brand, price).otherwise(zero)).alias("gcost"),
+        F.sum("l_quantity").alias("qty"),
+        F.count_if(opioid).alias("nop"),
+        F.count_if(F.col("l_returnflag") == "A").alias("nab"),
+        F.count_if(F.col("l_linenumber") % 2 == 1).alias("nf"),
+        F.count_if(F.col("l_linenumber") % 2 == 0).alias("nm"))
+    per = orders.groupBy("o_custkey").agg(
+        F.sum("n").alias("claims"),
+        F.sum("nb").alias("brnd_tot_clms"),
+        F.sum("ng").alias("gnrc_tot_clms"),
+        _money(F.sum("cost")).alias("tot_drug_cst"),
+        _money(F.sum("bcost")).alias("brnd_tot_drug_cst"),
+        _money(F.sum("gcost")).alias("gnrc_tot_drug_cst"),
+        F.count(F.lit(1)).alias("tot_benes"),
+        ratio(F.sum("qty"), F.lit(30), 2).alias("tot_30day_fills"),
+        F.sum("nop").alias("opioid_tot_clms"),
+        F.count_if(F.col("nop") > 0).alias("opioid_tot_benes"),
+        F.sum("nab").alias("antbtc_tot_clms"),
+        ratio(F.sum("qty"), F.sum("n"), 1).alias("bene_avg_age"),
+        F.sum("nf").alias("bene_feml_cnt"),
+        F.sum("nm").alias("bene_male_cnt"))
     c = _customers(t)
     return per.join(c, per.o_custkey == c.c_custkey).select(
         F.col("c_custkey").cast("string").alias("prscrbr_npi"),
