@@ -164,6 +164,17 @@ def report_focus_geography(prj):
             .orderBy(F.col("total_drug_cost").desc(), "state"))
 
 
+@report
+def report_focus_geography_exact(prj):
+    """Exact distinct prescribers per state in focus areas, recounted from the detail
+    (the summed mart column above counts a prescriber once per area)."""
+    return (_m(prj, "int_prescriber_drug_detail")
+            .where((F.col("total_claims") > 0) & F.col("state").isNotNull()
+                   & F.col("is_focus_area"))
+            .groupBy("state").agg(F.count_distinct("npi").alias("prescriber_count"))
+            .orderBy(F.col("prescriber_count").desc(), "state"))
+
+
 @report
 def report_manufacturer_focus(prj):
     return (_m(prj, "mart_manufacturer_performance_report")

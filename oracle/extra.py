@@ -363,6 +363,11 @@ q("report_focus_geography", f"""
     FROM mart_geographic_distribution WHERE is_focus_area = true GROUP BY 1""",
   marts=("mart_geographic_distribution",), doubles=("total_drug_cost",),
   bigints=("total_claims", "prescriber_count"))
+q("report_focus_geography_exact", """
+    SELECT state, count(DISTINCT npi) AS prescriber_count
+    FROM int_prescriber_drug_detail
+    WHERE total_claims > 0 AND state IS NOT NULL AND is_focus_area = true
+    GROUP BY 1""")
 q("report_manufacturer_focus", f"""
     SELECT generic_name, brand_name, manufacturer_name, therapeutic_area, total_spending,
            total_claims, total_beneficiaries, cost_per_claim, cost_per_beneficiary_monthly,

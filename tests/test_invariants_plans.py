@@ -84,3 +84,27 @@ def test_approx_distinct_switch_removes_expand(spark, capsys):
     a = {r.adoption_key: r.prescriber_count for r in approx.collect()}
     assert e.keys() == a.keys()
     assert all(abs(a[k] - e[k]) <= max(2, 0.1 * e[k]) for k in e)
+
+
+def test_tier_options(spark):
+    from dataclasses import replace
+    from claimlake.params import FIXTURE
+    base = {r.npi: r.engagement_tier for r in
+            project(spark, SF_SMALL).model("int_prescriber_summary").collect()}
+    by_year = {r.npi: r.engagement_tier for r in project(
+        spark, SF_SMALL, replace(FIXTURE, tiers_by_year=True)).model("int_prescriber_summary").collect()}
+    assert by_year == base  # one release year: same cut points
+    approx = project(spark, SF_SMALL, replace(FIXTURE, approx_percentile_accuracy=10000))
+    tiers = {r.engagement_tier for r in approx.model("int_prescriber_summary").collect()}
+    assert tiers <= {"High", "Medium", "Low"}
+
+
+def test_exact_recount_never_exceeds_summed_count(spark):
+    prj = project(spark, SF_CHECK)
+    summed = {r.state: r.prescriber_count for r in
+              __import__("claimlake.plans.reports", fromlist=["REPORTS"]).REPORTS[
+                  "report_focus_geography"](prj).collect()}
+    exact = {r.state: r.prescriber_count for r in
+             __import__("claimlake.plans.reports", fromlist=["REPORTS"]).REPORTS[
+                 "report_focus_geography_exact"](prj).collect()}
+    assert exact.keys() == summed.keys() and all(exact[k] <= summed[k] for k in exact)
