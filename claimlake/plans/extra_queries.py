@@ -148,6 +148,8 @@ def checks_staging(prj):
 
 @query
 def checks_marts(prj):
+    # 15 marts read the three intermediate models: compute those once.
+    prj.checkpoint(["int_drug_enriched", "int_prescriber_summary", "int_prescriber_drug_detail"])
     return _run_checks(prj, mart_checks())
 
 

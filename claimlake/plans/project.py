@@ -95,6 +95,14 @@ class Project:
         """Serve ``name`` from an already written table from now on."""
         self._models[name] = df
 
+    def checkpoint(self, names: Sequence[str]) -> None:
+        """Cut lineage of models read by many consumers: reliable checkpoint into the
+        shared folder named by ``spark.checkpoint.dir`` (set only when unset)."""
+        from ..session import shared_dir
+        shared_dir(self.spark)
+        for n in names:
+            self._models[n] = self.model(n).checkpoint(eager=True)
+
     def materialize(self, names: Sequence[str], path: str, fmt: str = "parquet") -> dict[str, str]:
         """Write models as tables under ``path`` and read them back from there.
 
