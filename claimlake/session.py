@@ -47,5 +47,8 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="claimlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
+    try:
+        spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
+        pass
     return os.path.join(base, sub) if sub else base
