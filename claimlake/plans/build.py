@@ -73,7 +73,8 @@ def ingest(spark: SparkSession, sf_dir: str, out_dir: str,
 
 def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FIXTURE,
           tags: Sequence[str] = (), register_views: bool = True,
-          run_checks: bool = True, threads: int = 4) -> tuple[Project, dict[str, float]]:
+          run_checks: bool = True, threads: int = 4,
+          snapshot_at: str | None = None) -> tuple[Project, dict[str, float]]:
     """Run every selected model layer by layer; return the project and seconds per model."""
     _ensure_loaded()
     prj = Project(spark, RawSources.from_directory(spark, raw_dir), params)
@@ -95,6 +96,11 @@ def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FI
         t0 = time.time()
         write_table(check_results(prj), os.path.join(warehouse, "_check_results"))
         times["checks"] = time.time() - t0
+    if snapshot_at and not tags:
+        from .snapshots import run_snapshot
+        t0 = time.time()
+        run_snapshot(prj, os.path.join(warehouse, "snapshots", "snap_drug_spending"), snapshot_at)
+        times["snapshot"] = time.time() - t0
     return prj, times
 
 

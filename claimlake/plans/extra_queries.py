@@ -19,7 +19,9 @@ from ..operators.windows import year_over_year
 from ..sources import ingest
 from ..sources.raw import INPUTS
 from .project import MODELS, Project, _ensure_loaded
+from .governance import governed_view
 from .reports import REPORTS
+from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, snapshot_source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -183,17 +185,13 @@ def checks_custom(prj):
 
 # ----------------------------------------------------------------------------- history
 
-SNAPSHOT_KEYS = ("generic_name", "brand_name", "manufacturer_name", "drug_year")
-SNAPSHOT_CHECK_COLS = ("avg_spending_per_claim", "avg_spending_per_beneficiary", "total_spending")
-SNAPSHOT_COLS = SNAPSHOT_KEYS + ("total_claims", "total_beneficiaries", "total_spending",
-                                 "avg_spending_per_claim", "avg_spending_per_beneficiary")
 # Fixture loads: the first omits one noun, the second omits another and re-prices a third.
 FIRST_LOAD_AT, SECOND_LOAD_AT = "2024-01-01 00:00:00", "2025-01-01 00:00:00"
 FIRST_LOAD_DROPS, SECOND_LOAD_DROPS, SECOND_LOAD_REPRICED = "WIDGET", "ROD", "RING"
 
 
 def snapshot_loads(prj: Project) -> tuple[DataFrame, DataFrame]:
-    s = prj.model("stg_drug_spending").select(*SNAPSHOT_COLS)
+    s = snapshot_source(prj)
     noun = F.element_at(F.split(F.col("generic_name"), " "), -1)
     first = s.where(noun != FIRST_LOAD_DROPS)
     second = (s.where(noun != SECOND_LOAD_DROPS)
@@ -236,11 +234,17 @@ def partner_assignments(prj: Project) -> DataFrame:
 @query
 def partner_area_report(prj):
     """Partner A: rows of its areas only, aggregated (no drug-level detail)."""
-    access.require_access("partner_manufacturer", "enterprise")
-    m = prj.model("mart_manufacturer_performance_report")
-    rows = access.row_filter(m, partner_assignments(prj), "A", "therapeutic_area")
-    return access.aggregated_only(rows, ["drug_year", "therapeutic_area", "brand_generic_flag"],
-                                  ["total_claims", "total_spending"])
+    return governed_view(prj, "partner_manufacturer", "mart_manufacturer_performance_report",
+                         "A", partner_assignments(prj),
+                         aggregate_by=["drug_year", "therapeutic_area", "brand_generic_flag"],
+                         sums=["total_claims", "total_spending"])
+
+
+@query
+def partner_area_kpis(prj):
+    """Partner B: the area KPI mart restricted to its contracted areas."""
+    return governed_view(prj, "partner_manufacturer", "mart_therapeutic_area_kpis", "B",
+                         partner_assignments(prj))
 
 
 @query

@@ -210,6 +210,13 @@ q("partner_area_report", """
     GROUP BY 1, 2, 3""", marts=("mart_manufacturer_performance_report",),
   doubles=("total_spending",), bigints=("total_claims",))
 
+q("partner_area_kpis", """
+    SELECT * FROM mart_therapeutic_area_kpis
+    WHERE therapeutic_area IN (SELECT ta FROM (VALUES ('A', 'Alpha'), ('A', 'Beta'), ('B', 'Gamma'))
+                               AS pa(partner_id, ta) WHERE partner_id = 'B')""",
+  marts=("mart_therapeutic_area_kpis",), doubles=("total_spending",),
+  bigints=("total_claims", "total_beneficiaries", "total_30day_fills"))
+
 q("engagement_without_pii", """
     SELECT * EXCLUDE (npi, last_name_or_org, first_name, credentials, prescriber_key)
     FROM mart_prescriber_engagement""", marts=("mart_prescriber_engagement",),
