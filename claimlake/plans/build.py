@@ -63,7 +63,9 @@ def ingest(spark: SparkSession, sf_dir: str, out_dir: str,
     src = RawSources.from_driver_tables_via(spark, sf_dir, os.path.join(out_dir, "_line_base"))
     times["_line_base"] = time.time() - t0
     observed = {name: observe_counts(src[name], name) for name in INPUTS}
-    jobs = {name: (lambda df=df, name=name: write_table(df, os.path.join(out_dir, name)))
+    # Each raw table carries its load time (the source freshness check reads it).
+    jobs = {name: (lambda df=df, name=name: write_table(df, os.path.join(out_dir, name),
+                                                         audit=True))
             for name, (df, _) in observed.items()}
     times.update(_run_concurrently(jobs, threads))
     if rows is not None:
@@ -95,6 +97,7 @@ def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FI
     if run_checks and not tags:
         t0 = time.time()
         write_table(check_results(prj), os.path.join(warehouse, "_check_results"))
+        write_table(source_freshness(prj), os.path.join(warehouse, "_source_freshness"))
         times["checks"] = time.time() - t0
     if snapshot_at and not tags:
         from .snapshots import run_snapshot
@@ -115,6 +118,25 @@ def _write_model(prj: Project, layer: str, name: str, df: DataFrame, warehouse:
     prj.use_table(name, back.drop(AUDIT_COLUMN).select(*df.columns))
 
 
+def source_freshness(prj: Project) -> DataFrame:
+    """Freshness of each raw extract from its load timestamp (warn / error thresholds from
+    the project parameters); a source without the column is reported as skipped."""
+    from pyspark.sql import functions as F
+
+    from ..operators.quality import freshness
+    from ..sources.raw import RAW_TABLES
+    out = None
+    for name in RAW_TABLES:
+        src = prj.raw(name)
+        if AUDIT_COLUMN not in src.columns:
+            src = src.withColumn(AUDIT_COLUMN, F.lit(None).cast("string"))
+        part = freshness(src, AUDIT_COLUMN, prj.params.freshness_warn_days,
+                         prj.params.freshness_error_days).select(
+            F.lit(name).alias("source"), "max_loaded_at", "age_days", "status")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def check_results(prj: Project) -> DataFrame:
     """All declared checks (12 staging, 34 mart, 2 custom) as one result table, reading
     the written tables (marts) and the staging views."""

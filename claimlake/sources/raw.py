@@ -30,9 +30,6 @@ class RawSources:
             self._frames[name] = self._builders[name]()
         return self._frames[name]
 
-    def names(self) -> tuple[str, ...]:
-        return tuple(self._builders)
-
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "RawSources":
         """Inputs derived from the driver's TPC-H style tables (see ``fixtures``)."""
