@@ -48,15 +48,21 @@ def percentile_tiers(df: DataFrame, value: str, out: str, cuts: Sequence[tuple[s
                      accuracy: int | None = None) -> DataFrame:
     """Label every row by percentile cut points of ``value`` (computed on ``where`` rows).
 
-    Global cut points are one row joined to every row (broadcast nested-loop join of a
-    single row, no shuffle of ``df``); per-group cut points are one row per group.
+    Global cut points are one scalar subquery (a struct of all cut points) used as values:
+    ``df`` is neither joined nor shuffled, and no cross join is planned. Per-group cut
+    points are one row per group, broadcast-joined on the group keys.
     """
     base = df.where(where) if where is not None else df
     names = [f"_p{i}" for i in range(len(cuts))]
     stats = base.groupBy(*by).agg(*[percentile(value, p, accuracy).alias(n)
                                     for n, (_, p) in zip(names, cuts)])
-    joined = (df.crossJoin(F.broadcast(stats)) if not by
-              else df.join(F.broadcast(stats), list(by), "left"))
+    if not by:
+        cuts_col = stats.select(F.struct(*names).alias("_cuts")).scalar()
+        bounds = [F.col("_cuts").getField(n) for n in names]
+        label = label_tiers(F.col(value), [(lab, b) for b, (lab, _) in zip(bounds, cuts)],
+                            otherwise)
+        return df.withColumn("_cuts", cuts_col).withColumn(out, label).drop("_cuts")
+    joined = df.join(F.broadcast(stats), list(by), "left")
     label = label_tiers(F.col(value), [(lab, F.col(n)) for n, (lab, _) in zip(names, cuts)],
                         otherwise)
     return joined.withColumn(out, label).drop(*names)
