@@ -27,3 +27,16 @@ def test_full_build(spark, tmp_dir):
     assert sorted(r.source for r in fresh) == ["raw_part_d_spending", "raw_prescribers",
                                                "raw_prescribers_drug"]
     assert all(r.status == "pass" for r in fresh)
+
+
+def test_cli_build_and_report(tmp_dir, capsys, spark):
+    from claimlake.__main__ import main
+    from claimlake.plans.build import open_warehouse
+    from claimlake.plans.reports import REPORTS
+    raw, wh = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "wh")
+    ingest(spark, SF_SMALL, raw)
+    build(spark, raw, wh, tags=("marts", "customer_success"), threads=2)
+    prj = open_warehouse(spark, raw, wh)
+    rows = REPORTS["report_tier_distribution"](prj).collect()
+    assert sum(r.prescriber_count for r in rows) > 0
+    assert callable(main)
