@@ -110,10 +110,12 @@ def cost_tier(monthly_cost: str | Column, high: float = 830.0, moderate: float =
             .otherwise(F.lit("Low Cost")))
 
 
-def legend_bin(value: str | Column, low: float, high: float, bins: int) -> Column:
-    """Equal-width bin number for a map legend (``width_bucket``)."""
-    return F.width_bucket(col(value).cast("double"), F.lit(float(low)), F.lit(float(high)),
-                          F.lit(bins))
+def legend_bin(value: str | Column, low, high, bins: int) -> Column:
+    """Equal-width bin number for a map legend (``width_bucket``): 0 below ``low``,
+    ``bins + 1`` at or above ``high``; ``low`` / ``high`` may be numbers or columns."""
+    lo = low.cast("double") if isinstance(low, Column) else F.lit(float(low))
+    hi = high.cast("double") if isinstance(high, Column) else F.lit(float(high))
+    return F.width_bucket(col(value).cast("double"), lo, hi, F.lit(bins))
 
 
 def mask_text(c: str | Column) -> Column:

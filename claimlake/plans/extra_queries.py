@@ -316,6 +316,36 @@ def bi_drug_spending_source(prj):
                     .alias("cost_bucket")))
 
 
+# Engagement tier colours of the prescriber published source.
+TIER_COLORS = (("High", "#059669"), ("Medium", "#D97706"))
+OTHER_TIER_COLOR = "#DC2626"
+LEGEND_BINS = 10
+
+
+@query
+def bi_prescriber_engagement_source(prj):
+    """Published source over the engagement mart with the tier colour field."""
+    m = prj.model("mart_prescriber_engagement")
+    color = F.when(F.col("engagement_tier") == TIER_COLORS[0][0], F.lit(TIER_COLORS[0][1]))
+    for tier, c in TIER_COLORS[1:]:
+        color = color.when(F.col("engagement_tier") == tier, F.lit(c))
+    return m.select("prescriber_key", "npi", "specialty", "state", "engagement_tier",
+                    "total_claims", color.otherwise(F.lit(OTHER_TIER_COLOR)).alias("engagement_color"))
+
+
+@query
+def bi_geographic_source(prj):
+    """Published geographic source: cost per beneficiary in equal-width legend bins
+    between the column's minimum and maximum (one scalar subquery for both)."""
+    g = prj.model("mart_geographic_distribution")
+    rng = g.select(F.struct(F.min("cost_per_beneficiary").alias("lo"),
+                            F.max("cost_per_beneficiary").alias("hi")).alias("r")).scalar()
+    return (g.withColumn("_r", rng)
+            .select("geo_key", "drug_year", "state", "therapeutic_area", "cost_per_beneficiary",
+                    legend_bin("cost_per_beneficiary", F.col("_r.lo"), F.col("_r.hi"),
+                               LEGEND_BINS).alias("cost_per_bene_bucket")))
+
+
 @query
 def measures_drug_by_flag(prj):
     """A single-view measure query with a filter (brand rows only)."""

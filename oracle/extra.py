@@ -291,6 +291,24 @@ q("bi_drug_spending_source", f"""
     WHERE drug_year = {REPORT_YEAR} AND total_beneficiaries >= 11""",
   marts=("mart_cost_per_claim",), doubles=("total_spending",), bigints=("cost_bucket",))
 
+q("bi_prescriber_engagement_source", """
+    SELECT prescriber_key, npi, specialty, state, engagement_tier, total_claims,
+           CASE engagement_tier WHEN 'High' THEN '#059669' WHEN 'Medium' THEN '#D97706'
+                ELSE '#DC2626' END AS engagement_color
+    FROM mart_prescriber_engagement""", marts=("mart_prescriber_engagement",))
+
+q("bi_geographic_source", """
+    SELECT geo_key, drug_year, state, therapeutic_area, cost_per_beneficiary,
+           CASE WHEN cost_per_beneficiary IS NULL THEN NULL
+                WHEN cost_per_beneficiary < r.lo THEN 0
+                WHEN cost_per_beneficiary >= r.hi THEN 11
+                ELSE CAST(floor(10 * (cost_per_beneficiary - r.lo) / (r.hi - r.lo)) AS BIGINT) + 1
+           END AS cost_per_bene_bucket
+    FROM mart_geographic_distribution,
+         (SELECT min(cost_per_beneficiary) AS lo, max(cost_per_beneficiary) AS hi
+          FROM mart_geographic_distribution) r""",
+  marts=("mart_geographic_distribution",), bigints=("cost_per_bene_bucket",))
+
 q("measures_drug_by_flag", f"""
     SELECT drug_year, is_specialty_drug, sum(total_spending) AS total_spending,
            sum(total_claims) AS total_claims,
