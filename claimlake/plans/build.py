@@ -29,7 +29,7 @@ LAYOUT = {
     "mart_cost_per_claim": (("drug_year",), ("therapeutic_area", "generic_name")),
     "mart_specialty_vs_generic": (("drug_year",), ("spending_rank",)),
     "mart_manufacturer_performance_report": (("drug_year",), ("therapeutic_area", "generic_name")),
-    "mart_dq_anomalies": (("drug_year",), ("therapeutic_area",)),
+    "mart_dq_anomalies": (("drug_year",), ("therapeutic_area", "generic_name")),
     "mart_day_supply_efficiency": ((), ("drug_year", "state")),
     "mart_geographic_distribution": ((), ("drug_year", "state")),
     "mart_brand_generic_ratio": ((), ("drug_year", "state")),

@@ -22,12 +22,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
     ``partition_by=("drug_year",)`` lets year filters prune whole directories;
     ``sort_within`` clusters rows (for example by area or state) inside each file so
-    min/max statistics skip row groups.
+    min/max statistics skip row groups. Rows are range-partitioned on the partition
+    columns followed by the clustering columns (or a row hash), so a year holding a third
+    of the table is written by many tasks, each producing its own file in that year's
+    folder, instead of by one.
     """
     out = with_audit(df) if audit else df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
-    if sort_within:
+        tail = [F.col(c) for c in sort_within] or [F.xxhash64(*[F.col(c) for c in df.columns])]
+        out = out.repartitionByRange(*[F.col(c) for c in partition_by], *tail)
+        out = out.sortWithinPartitions(*partition_by, *sort_within)
+    elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
