@@ -93,3 +93,20 @@ def test_csv_extracts_give_same_staging(spark, tmp_dir):
               "int_prescriber_drug_detail"):
         x, y = a.model(m), b.model(m).select(*a.model(m).columns)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, m
+
+
+def test_hot_year_is_written_by_many_tasks(spark, tmp_dir):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # tiny test data would otherwise be merged into one task
+    try:
+        df = spark.range(4000).select(
+            F.when(F.col("id") < 3600, F.lit(2001)).otherwise(F.lit(2000)).alias("drug_year"),
+            F.col("id").alias("k"))
+        path = os.path.join(tmp_dir, "hot")
+        sinks.write_table(df, path, partition_by=("drug_year",), sort_within=("k",))
+        hot = [f for f in os.listdir(os.path.join(path, "drug_year=2001")) if f.endswith(".parquet")]
+        assert len(hot) > 1
+        assert spark.read.parquet(path).count() == 4000
+    finally:
+        spark.conf.set(key, old)
