@@ -28,10 +28,24 @@ def dimension_profile(dim: DataFrame, keys: Sequence[str], max_rows: int) -> tup
     return int(row["rows"]), int(row["dups"])
 
 
+_PROFILES: dict[tuple, tuple[int, int]] = {}
+
+
 def checked_broadcast(dim: DataFrame, keys: Sequence[str], max_rows: int = 1_000_000,
-                      name: str = "dimension", unique: bool = True) -> DataFrame:
-    """Broadcast hint on ``dim`` if it is provably small; raise on duplicate keys."""
-    rows, dups = dimension_profile(dim, keys, max_rows)
+                      name: str = "dimension", unique: bool = True,
+                      cache_key: tuple | None = None) -> DataFrame:
+    """Broadcast hint on ``dim`` if it is provably small; raise on duplicate keys.
+
+    ``cache_key`` (for example the source location and map name) lets repeated plans
+    over the same input in one session reuse the profile instead of re-running the job.
+    """
+    memo = (id(dim.sparkSession), cache_key, tuple(keys), max_rows) if cache_key else None
+    if memo in _PROFILES:
+        rows, dups = _PROFILES[memo]
+    else:
+        rows, dups = dimension_profile(dim, keys, max_rows)
+        if memo is not None:
+            _PROFILES[memo] = (rows, dups)
     if unique and dups:
         raise FanOutError(f"{name}: {dups} duplicated key(s) on {list(keys)}")
     if rows > max_rows:

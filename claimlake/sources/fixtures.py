@@ -94,7 +94,8 @@ def _manufacturers(t: DriverTables, max_rows: int = 1_000_000) -> DataFrame:
          .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
          .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
          .select("s_suppkey", F.col("r_name").alias("mftr_name")))
-    return checked_broadcast(m, ["s_suppkey"], max_rows, "supplier manufacturers")
+    return checked_broadcast(m, ["s_suppkey"], max_rows, "supplier manufacturers",
+                             cache_key=(t.root, "supplier manufacturers"))
 
 
 def line_base(t: DriverTables, spread: bool = False) -> DataFrame:
