@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
@@ -147,13 +147,20 @@ def drug_spending_wide(t: DriverTables, years=FIXTURE_YEARS,
     them); ``tot_mftr`` counts the manufacturers of the drug x brand.
     """
     long = drug_spending_long(t, base)
+    # Pivot a numeric code for the string outlier flag, so every pivoted cell has a
+    # fixed-width aggregation buffer (hash aggregate, no sort); decode after the pivot.
+    flag_code = (F.when(F.col("outlier_flag") == "1", F.lit(2))
+                 .when(F.col("outlier_flag") == " ", F.lit(1)))
     cells = []
     for y in years:
         hit = F.col("ship_year") == F.lit(y)
         for stub in SPENDING_STUBS:
-            cells.append(F.max(F.when(hit, F.col(stub))).alias(f"{stub}_{y}"))
+            src = flag_code if stub == "outlier_flag" else F.col(stub)
+            cells.append(F.max(F.when(hit, src)).alias(f"{stub}_{y}"))
     wide = long.groupBy("gnrc_name", "brnd_name", "mftr_name").agg(*cells)
-    from pyspark.sql import Window
+    wide = wide.withColumns({
+        f"outlier_flag_{y}": F.when(F.col(f"outlier_flag_{y}") == 2, F.lit("1"))
+        .when(F.col(f"outlier_flag_{y}") == 1, F.lit(" ")) for y in years})
     w = Window.partitionBy("gnrc_name", "brnd_name")
     return wide.select("brnd_name", "gnrc_name", "mftr_name",
                        F.count(F.lit(1)).over(w).cast("int").alias("tot_mftr"),
