@@ -43,6 +43,19 @@ def top_label(label: str, measure: str) -> Column:
     return F.max_by(F.col(label), F.struct(F.col(measure), F.col(label)))
 
 
+def top_labels(df: DataFrame, keys: Sequence[str], label: str, measure: str,
+               out: str) -> DataFrame:
+    """One row per ``keys`` group with the ``label`` of its largest ``measure``.
+
+    Two steps: a hash aggregate of the largest measure per (group, label) reduces the rows
+    to one per label, then the top label is taken over those few rows. Same answer as
+    ``top_label`` (ties to the largest label) without sorting the full input.
+    """
+    per_label = df.groupBy(*keys, label).agg(F.max(measure).alias("_m"))
+    return per_label.groupBy(*keys).agg(
+        F.max_by(F.col(label), F.struct(F.col("_m"), F.col(label))).alias(out))
+
+
 def percentile_tiers(df: DataFrame, value: str, out: str, cuts: Sequence[tuple[str, float]],
                      otherwise: str, where: Column | None = None, by: Sequence[str] = (),
                      accuracy: int | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
 from ..operators.aggregates import (count_distinct_if, distinct_count, percentile, sum_if,
-                                    top_label)
+                                    top_labels)
 from ..operators.reshape import metrics_to_rows
 from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
                                  share_of_total)
@@ -306,9 +306,10 @@ def mart_manufacturer_performance_report(prj: Project) -> DataFrame:
 @model("marts", "enterprise", grain=("drug_year", "therapeutic_area", "is_focus_area"),
        key="ta_kpi_key", description="Summary KPIs per therapeutic area for partner reporting")
 def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
-    d = _suppressed_drugs(prj)
+    d = _suppressed_drugs(prj).withColumn("therapeutic_area", _area_or_other())
+    keys = ["drug_year", "therapeutic_area", "is_focus_area"]
     spend = F.sum("total_spending")
-    agg = d.groupBy("drug_year", _area_or_other(), "is_focus_area").agg(
+    agg = d.groupBy(*keys).agg(
         _distinct(prj, "generic_name").alias("drug_count"),
         count_distinct_if(F.col("brand_name") != "", "brand_name", prj.params.approx_distinct_rsd)
         .alias("brand_count"),
@@ -321,9 +322,11 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
         ratio(sum_if(F.col("is_specialty_drug"), "total_spending", _zero()), spend, 1, 100)
         .alias("specialty_spending_pct"),
         ratio(sum_if(F.col("brand_generic_flag") == "Brand", "total_spending", _zero()),
-              spend, 1, 100).alias("brand_spending_pct"),
-        top_label("generic_name", "total_spending").alias("top_drug_by_spending"))
-    return _with_key(agg, "ta_kpi_key", "drug_year", "therapeutic_area", "is_focus_area")
+              spend, 1, 100).alias("brand_spending_pct"))
+    # Both sides are aggregates keyed by year x area x focus (bounded by the area map).
+    top = top_labels(d, keys, "generic_name", "total_spending", "top_drug_by_spending")
+    out = agg.join(top, keys, "left")
+    return _with_key(out, "ta_kpi_key", "drug_year", "therapeutic_area", "is_focus_area")
 
 
 @model("marts", "enterprise",

@@ -98,3 +98,11 @@ def test_count_distinct_if_and_sum_if(spark):
     r = df.agg(A.count_distinct_if(F.col("s"), "npi").alias("n"), A.sum_if(F.col("s"), "c").alias("t")).first()
     assert (r.n, r.t) == (2, 10)
     _ = Window
+
+
+def test_top_labels_matches_single_pass(spark):
+    rows = [("g", "B", 5.0), ("g", "A", 5.0), ("g", "C", 1.0), ("g", "C", 6.0), ("h", "X", 2.0)]
+    df = spark.createDataFrame(rows, "k string, name string, s double")
+    one = {r.k: r.t for r in df.groupBy("k").agg(A.top_label("name", "s").alias("t")).collect()}
+    two = {r.k: r.t for r in A.top_labels(df, ["k"], "name", "s", "t").collect()}
+    assert one == two == {"g": "C", "h": "X"}
