@@ -61,20 +61,24 @@ def percentile_tiers(df: DataFrame, value: str, out: str, cuts: Sequence[tuple[s
                      accuracy: int | None = None) -> DataFrame:
     """Label every row by percentile cut points of ``value`` (computed on ``where`` rows).
 
-    Global cut points are one scalar subquery (a struct of all cut points) used as values:
-    ``df`` is neither joined nor shuffled, and no cross join is planned. Per-group cut
-    points are one row per group, broadcast-joined on the group keys.
+    Global cut points are one scalar subquery (an array of all cut points, referenced
+    once, so it runs once): ``df`` is neither joined nor shuffled and no cross join is
+    planned. Per-group cut points are one row per group, broadcast-joined on the keys.
     """
     base = df.where(where) if where is not None else df
     names = [f"_p{i}" for i in range(len(cuts))]
     stats = base.groupBy(*by).agg(*[percentile(value, p, accuracy).alias(n)
                                     for n, (_, p) in zip(names, cuts)])
     if not by:
-        cuts_col = stats.select(F.struct(*names).alias("_cuts")).scalar()
-        bounds = [F.col("_cuts").getField(n) for n in names]
-        label = label_tiers(F.col(value), [(lab, b) for b, (lab, _) in zip(bounds, cuts)],
-                            otherwise)
-        return df.withColumn("_cuts", cuts_col).withColumn(out, label).drop("_cuts")
+        # The cut points are referenced once, so the subquery runs once: test every cut
+        # (first hit wins, as in CASE), NULL value or cut -> no hit -> ``otherwise``.
+        cut_values = stats.select(F.array(*names).alias("_c")).scalar()
+        hits = F.transform(F.col("_cuts"), lambda b: F.col(value) >= b)
+        first = F.coalesce(F.nullif(F.array_position(hits, True), F.lit(0)),
+                           F.lit(len(cuts) + 1))
+        labels = F.array(*[F.lit(lab) for lab, _ in cuts], F.lit(otherwise))
+        return (df.withColumn("_cuts", cut_values)
+                .withColumn(out, F.element_at(labels, first.cast("int"))).drop("_cuts"))
     joined = df.join(F.broadcast(stats), list(by), "left")
     label = label_tiers(F.col(value), [(lab, F.col(n)) for n, (lab, _) in zip(names, cuts)],
                         otherwise)
