@@ -148,3 +148,20 @@ def test_pareto_ranking_ties_are_deterministic(spark):
     got = sorted((r.spending_rank, r.generic_name, r.cumulative_spending_pct, r.pareto_tier)
                  for r in prj.model("mart_specialty_vs_generic").collect())
     assert got == [(1, "C", 50.0, "Top 80%"), (2, "A", 75.0, "Top 80%"), (3, "B", 100.0, "Long Tail")]
+
+
+def test_zero_and_null_denominators(spark):
+    rows = [_wide_row("z0", "", "M", D("100.00"), 4, 0), _wide_row("zn", "", "M", D("100.00"), 4, None)]
+    prj = _project(spark, rows)
+    got = {r.generic_name: (r.cost_per_claim, r.cost_per_beneficiary,
+                            r.cost_per_beneficiary_monthly, r.is_specialty_drug)
+           for r in prj.model("int_drug_enriched").collect()}
+    assert got == {"Z0": (25.0, None, None, False), "ZN": (25.0, None, None, False)}
+
+
+def test_completeness_of_empty_table_fails(spark):
+    prj = _project(spark, [_wide_row(None, "", "M", D("1.00"), 1, 12)])  # dropped in staging
+    rows = [r for r in prj.model("mart_dq_completeness").collect()
+            if r.source_model == "stg_drug_spending"]
+    assert rows and all(r.total_rows == 0 and r.completeness_pct is None and r.status == "Fail"
+                        for r in rows)
