@@ -93,6 +93,45 @@ def freshness(df: DataFrame, loaded_at: str, warn_days: int = 90, error_days: in
         .otherwise(F.lit("pass")).alias("status"))
 
 
+def group_zscores(df: DataFrame, group_cols: Sequence[str], values: dict[str, str],
+                  min_group: int = 5, digits: int = 2, where: Column | None = None) -> DataFrame:
+    """Rows of groups with >= ``min_group`` rows, with a rounded z-score per value column.
+
+    ``values`` maps value column -> output z column. Group statistics (exact decimal mean,
+    sample standard deviation, row count) are one small row per group, broadcast back, so
+    detail rows are not shuffled on a (possibly skewed) group key; sd 0 gives z 0.
+    """
+    from ..functions.columns import round_to
+    base = df.where(where) if where is not None else df
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, v in enumerate(values):
+        c = F.col(v)
+        aggs += [(F.sum(c.cast("decimal(38,4)")).cast("double")
+                  / F.count(c).cast("double")).alias(f"_m{i}"),
+                 F.stddev_samp(c).alias(f"_s{i}")]
+    stats = base.groupBy(*group_cols).agg(*aggs).where(F.col("_n") >= min_group)
+    joined = df.join(F.broadcast(stats), list(group_cols), "inner")
+    zs = [F.when(F.col(f"_s{i}") > 0,
+                 round_to((F.col(v) - F.col(f"_m{i}")) / F.col(f"_s{i}"), digits))
+          .otherwise(F.lit(0.0)).alias(out) for i, (v, out) in enumerate(values.items())]
+    return joined.select(*df.columns, *zs)
+
+
+def any_abs_above(z_cols: Sequence[str], threshold: float) -> Column:
+    """True when any of the z columns is strictly beyond ``threshold`` in absolute value."""
+    cond = None
+    for z in z_cols:
+        e = F.abs(F.col(z)) > F.lit(threshold)
+        cond = e if cond is None else (cond | e)
+    return cond
+
+
+def anomaly_status(z_cols: Sequence[str], warning: float = 2.0, anomaly: float = 3.0) -> Column:
+    """'Anomaly' if any |z| > anomaly, 'Warning' if any |z| > warning, else 'Normal'."""
+    return (F.when(any_abs_above(z_cols, anomaly), F.lit("Anomaly"))
+            .when(any_abs_above(z_cols, warning), F.lit("Warning")).otherwise(F.lit("Normal")))
+
+
 def observe_counts(df: DataFrame, name: str, kept: Column | None = None):
     """Attach row metrics (rows read, rows matching ``kept``) collected as the job runs."""
     from pyspark.sql import Observation

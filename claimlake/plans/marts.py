@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
 from ..operators.aggregates import (count_distinct_if, distinct_count, percentile, sum_if,
                                     top_labels)
+from ..operators.quality import anomaly_status, any_abs_above, group_zscores
 from ..operators.reshape import metrics_to_rows
 from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
                                  share_of_total)
@@ -450,30 +451,13 @@ def mart_dq_anomalies(prj: Project) -> DataFrame:
     d = _suppressed_drugs(prj).where(F.col("total_claims") > 0).select(
         "drug_year", "generic_name", "brand_name", _area_or_other(), "total_spending",
         "cost_per_claim", "cost_per_beneficiary_monthly", "total_claims", "total_beneficiaries")
-    cpc, mon = F.col("cost_per_claim"), F.col("cost_per_beneficiary_monthly")
-
-    def exact_mean(c):
-        return (F.sum(c.cast("decimal(38,4)")).cast("double") / F.count(c).cast("double"))
-
-    # One row per year x area with >= min_group rows: small and broadcast, so the detail
-    # rows are never shuffled on the (skewed) area key.
-    stats = (d.where(cpc.isNotNull()).groupBy("drug_year", "therapeutic_area").agg(
-        exact_mean(cpc).alias("_m1"), F.stddev_samp(cpc).alias("_s1"),
-        exact_mean(mon).alias("_m2"), F.stddev_samp(mon).alias("_s2"),
-        F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= prm.anomaly_min_group))
-    j = d.join(F.broadcast(stats), ["drug_year", "therapeutic_area"], "inner")
-
-    def z(x, m, s):
-        return F.when(F.col(s) > 0, round_to((x - F.col(m)) / F.col(s), 2)).otherwise(F.lit(0.0))
-
-    z1 = z(cpc, "_m1", "_s1").alias("cost_per_claim_zscore")
-    z2 = z(mon, "_m2", "_s2").alias("monthly_cost_zscore")
-    out = j.select(*d.columns, z1, z2)
-    a1, a2 = F.abs(F.col("cost_per_claim_zscore")), F.abs(F.col("monthly_cost_zscore"))
-    status = (F.when((a1 > prm.anomaly_z) | (a2 > prm.anomaly_z), F.lit("Anomaly"))
-              .when((a1 > prm.anomaly_warning_z) | (a2 > prm.anomaly_warning_z), F.lit("Warning"))
-              .otherwise(F.lit("Normal")))
-    return (out.withColumn("anomaly_status", status)
-            .where((a1 > prm.anomaly_warning_z) | (a2 > prm.anomaly_warning_z)))
+    # Stats come from rows with a cost per claim; one small row per year x area.
+    z = group_zscores(d, ["drug_year", "therapeutic_area"],
+                      {"cost_per_claim": "cost_per_claim_zscore",
+                       "cost_per_beneficiary_monthly": "monthly_cost_zscore"},
+                      prm.anomaly_min_group, where=F.col("cost_per_claim").isNotNull())
+    zcols = ["cost_per_claim_zscore", "monthly_cost_zscore"]
+    flagged = anomaly_status(zcols, prm.anomaly_warning_z, prm.anomaly_z)
+    return (z.withColumn("anomaly_status", flagged)
+            .where(any_abs_above(zcols, prm.anomaly_warning_z)))
 

@@ -148,3 +148,20 @@ def test_governed_view(spark):
         governed_view(prj, "partner_manufacturer", "mart_prescriber_engagement", "A", asg)
     eng = governed_view(prj, "analyst_customer_success", "mart_prescriber_engagement")
     assert "npi" in eng.columns
+
+
+def test_anomaly_status_cuts(spark):
+    df = spark.createDataFrame([(2.00, 0.0), (2.01, 0.0), (3.00, 0.0), (3.01, 0.0), (0.0, -3.5),
+                                (-2.5, 1.0)], "z1 double, z2 double")
+    out = df.select(quality.anomaly_status(["z1", "z2"]).alias("s"),
+                    quality.any_abs_above(["z1", "z2"], 2.0).alias("kept")).collect()
+    assert [(r.s, r.kept) for r in out] == [("Normal", False), ("Warning", True),
+                                            ("Warning", True), ("Anomaly", True),
+                                            ("Anomaly", True), ("Warning", True)]
+
+
+def test_group_zscores_min_group_and_zero_sd(spark):
+    rows = [("a", float(v)) for v in (1, 1, 1, 1, 1)] + [("b", float(v)) for v in (1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    out = quality.group_zscores(df, ["g"], {"x": "z"}, min_group=5).collect()
+    assert len(out) == 5 and all(r.g == "a" and r.z == 0.0 for r in out)
