@@ -93,6 +93,26 @@ def freshness(df: DataFrame, loaded_at: str, warn_days: int = 90, error_days: in
         .otherwise(F.lit("pass")).alias("status"))
 
 
+def completeness(df: DataFrame, source: str, columns: dict[str, Column | None],
+                 digits: int = 1) -> DataFrame:
+    """Percent of rows with a value, per column, from one aggregate pass over ``df``.
+
+    ``columns`` maps output column name -> condition counted as "present" (``None``: the
+    column is not null). Rows: ``source_model, total_rows, column_name, completeness_pct``
+    (NULL percent for an empty table).
+    """
+    from ..functions.columns import ratio
+    from .reshape import metrics_to_rows
+    n = F.count(F.lit(1))
+    aggs = [n.alias("total_rows")]
+    for name, cond in columns.items():
+        present = F.count(F.col(name)) if cond is None else F.count_if(cond)
+        aggs.append(ratio(present, n, digits, 100).alias(name))
+    one = df.agg(*aggs).withColumn("source_model", F.lit(source))
+    return metrics_to_rows(one, ["source_model", "total_rows"], {c: c for c in columns},
+                           "column_name", "completeness_pct")
+
+
 def group_zscores(df: DataFrame, group_cols: Sequence[str], values: dict[str, str],
                   min_group: int = 5, digits: int = 2, where: Column | None = None) -> DataFrame:
     """Rows of groups with >= ``min_group`` rows, with a rounded z-score per value column.

@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
 from ..operators.aggregates import (count_distinct_if, distinct_count, percentile, sum_if,
                                     top_labels)
-from ..operators.quality import anomaly_status, any_abs_above, group_zscores
-from ..operators.reshape import metrics_to_rows
+from ..operators.quality import anomaly_status, any_abs_above, completeness, group_zscores
 from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
                                  share_of_total)
 from .project import Project, model
@@ -409,35 +408,14 @@ def mart_kpi_scorecard(prj: Project) -> DataFrame:
        description="Percent non-null of key columns per staging model")
 def mart_dq_completeness(prj: Project) -> DataFrame:
     prm = prj.params
-    n = F.count(F.lit(1))
-
-    def pct(c):
-        return ratio(c, n, 1, 100)
-
-    s = prj.model("stg_drug_spending").agg(
-        n.alias("total_rows"),
-        pct(F.count("generic_name")).alias("generic_name"),
-        pct(F.count_if(F.col("brand_name") != "")).alias("brand_name"),
-        pct(F.count("total_spending")).alias("total_spending"),
-        pct(F.count("total_claims")).alias("total_claims"),
-        pct(F.count("total_beneficiaries")).alias("total_beneficiaries"))
-    p = prj.model("stg_prescribers").agg(
-        n.alias("total_rows"),
-        pct(F.count("npi")).alias("npi"),
-        pct(F.count("specialty")).alias("specialty"),
-        pct(F.count("state")).alias("state"),
-        pct(F.count("total_claims")).alias("total_claims"),
-        pct(F.count("total_drug_cost")).alias("total_drug_cost"))
-
-    def rows(agg, source, cols):
-        return metrics_to_rows(agg.withColumn("source_model", F.lit(source)),
-                               ["source_model", "total_rows"], {c: c for c in cols},
-                               "column_name", "completeness_pct")
-
-    res = rows(s, "stg_drug_spending", ["generic_name", "brand_name", "total_spending",
-                                        "total_claims", "total_beneficiaries"]).unionByName(
-        rows(p, "stg_prescribers", ["npi", "specialty", "state", "total_claims",
-                                    "total_drug_cost"]))
+    res = completeness(prj.model("stg_drug_spending"), "stg_drug_spending", {
+        "generic_name": None,
+        "brand_name": F.col("brand_name").isNotNull() & (F.col("brand_name") != ""),
+        "total_spending": None, "total_claims": None, "total_beneficiaries": None,
+    }).unionByName(completeness(prj.model("stg_prescribers"), "stg_prescribers", {
+        "npi": None, "specialty": None, "state": None, "total_claims": None,
+        "total_drug_cost": None,
+    }))
     v = F.col("completeness_pct")
     return res.withColumn("status", F.when(v >= prm.completeness_pass_pct, F.lit("Pass"))
                           .when(v >= prm.completeness_warn_pct, F.lit("Warning"))
