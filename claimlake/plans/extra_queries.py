@@ -340,10 +340,13 @@ def bi_geographic_source(prj):
     g = prj.model("mart_geographic_distribution")
     rng = g.select(F.struct(F.min("cost_per_beneficiary").alias("lo"),
                             F.max("cost_per_beneficiary").alias("hi")).alias("r")).scalar()
+    # The range is referenced once (through a one-element array) so its subquery runs once.
+    bucket = F.transform(F.array(F.col("_r")),
+                         lambda r: legend_bin("cost_per_beneficiary", r["lo"], r["hi"],
+                                              LEGEND_BINS))[0]
     return (g.withColumn("_r", rng)
             .select("geo_key", "drug_year", "state", "therapeutic_area", "cost_per_beneficiary",
-                    legend_bin("cost_per_beneficiary", F.col("_r.lo"), F.col("_r.hi"),
-                               LEGEND_BINS).alias("cost_per_bene_bucket")))
+                    bucket.alias("cost_per_bene_bucket")))
 
 
 @query
