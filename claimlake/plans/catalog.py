@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
 from ..params import FIXTURE, Params
 from .project import MODELS, Project, _ensure_loaded
@@ -23,10 +23,15 @@ def project(spark: SparkSession, sf_dir: str, params: Params = FIXTURE) -> Proje
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Money leaves as DOUBLE (exact decimals inside, one conversion at the edge)."""
-    cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    """Money leaves as DOUBLE (exact decimals inside, one conversion at the edge);
+    timestamps leave as ISO text ('YYYY-MM-DD HH:MM:SS'), independent of time units."""
+    def edge(f):
+        if isinstance(f.dataType, DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, (TimestampNTZType, TimestampType)):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[edge(f) for f in df.schema.fields])
 
 
 def _model_query(name: str) -> QueryFn:

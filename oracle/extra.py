@@ -193,9 +193,11 @@ _SNAPSHOT = f"""
     FROM load2 c LEFT JOIN h1 h ON {_ON}
     WHERE h.generic_name IS NULL OR NOT ({_SAME})"""
 _SNAP_D = ("total_spending", "avg_spending_per_claim", "avg_spending_per_beneficiary")
-q("snapshot_drug_spending", _SNAPSHOT, doubles=_SNAP_D)
+_TS_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("updated_at", "valid_from", "valid_to"))
+q("snapshot_drug_spending", f"SELECT * REPLACE ({_TS_TEXT}) FROM ({_SNAPSHOT}) s",
+  doubles=_SNAP_D)
 q("snapshot_drug_spending_as_of", f"""
-    SELECT * FROM ({_SNAPSHOT}) s
+    SELECT * REPLACE ({_TS_TEXT}) FROM ({_SNAPSHOT}) s
     WHERE valid_from <= TIMESTAMP '2024-06-30 00:00:00'
       AND (valid_to IS NULL OR TIMESTAMP '2024-06-30 00:00:00' < valid_to)""", doubles=_SNAP_D)
 
