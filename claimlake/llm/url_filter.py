@@ -22,16 +22,16 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 #: The small labelled table: 1 for junk, 0 for ordinary sites (twice as many: unknown hosts are let through).
 LABELLED_URLS = tuple((u, 1) for u in (
-    "http://www.cheap-pills.example.com/en/450", "http://pills-online.example.net/order?id=1",
+    "http://www.cheap-pills.example.com/en/450", "http://blog.pills-online.example.net/order?id=1",
     "https://buy-cheap-meds.example.org/discount/pills", "http://best-casino.example.com/en/12",
-    "https://casino-royal.example.net/free-spins", "http://online-poker.example.org/win/cash",
-    "http://spam-farm.example.org/en/728", "http://link-farm.example.com/spam/page2",
-    "https://seo-links.example.net/backlinks/buy", "http://free-money.example.com/en/831",
+    "https://blog.casino-royal.example.net/en/340", "http://m.online-poker.example.org/win/cash",
+    "http://spam-farm.example.org/en/728", "http://blog.link-farm.example.com/spam/page2",
+    "https://m.seo-links.example.net/en/905.html", "http://free-money.example.com/en/831",
     "http://adult-dating.example.org/hot/singles", "http://xxx-videos.example.com/free/watch",
-    "https://payday-loans.example.net/apply/fast", "http://quick-loan.example.com/cheap/credit",
+    "https://payday-loans.example.net/apply/fast", "http://blog.quick-loan.example.com/de/118",
     "http://replica-watches.example.org/sale", "http://cheap-handbags.example.com/discount/sale",
-    "http://crack-serial.example.net/keygen/download", "http://warez.example.com/torrent/download",
-    "http://miracle-diet.example.org/lose/weight", "http://win-lottery.example.net/claim/prize",
+    "http://crack-serial.example.net/keygen/download", "http://www.warez.example.com/fr/663",
+    "http://miracle-diet.example.org/lose/weight", "http://blog.win-lottery.example.net/es/27",
 )) + tuple((u, 0) for u in (
     "https://www.university.example.com/en/17", "https://library.example.net/catalogue/12",
     "https://news.daily.example.org/en/204", "https://blog.gardener.example.com/en/roses",
