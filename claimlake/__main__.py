@@ -3,7 +3,7 @@
     python -m claimlake ingest --sf-dir /root/testdata/sf0.01 --out /data/raw
     python -m claimlake ingest --csv raw_prescribers=/x.csv ... --years 2019-2023 --out /data/raw
     python -m claimlake build --raw /data/raw --warehouse /data/wh [--select marts commercial]
-    python -m claimlake report report_top_drugs --raw /data/raw --warehouse /data/wh
+    python -m claimlake report report_top_drugs --raw /data/raw --warehouse /data/wh [--out /data/export]
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     ing = sub.add_parser("ingest", help="write the five inputs as tables")
     ing.add_argument("--sf-dir", help="driver tables folder (fixture inputs)")
     ing.add_argument("--csv", nargs="*", default=[], help="name=path for delivered CSV files")
-    ing.add_argument("--years", default="1995-2001", help="year span of the spending file")
+    ing.add_argument("--years", type=_years, default=(), help="year span of the spending file (--csv)")
     ing.add_argument("--out", required=True)
     b = sub.add_parser("build", help="staging views, intermediate and mart tables, checks")
     b.add_argument("--raw", required=True)
@@ -38,40 +38,43 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--raw", required=True)
     r.add_argument("--warehouse", required=True)
     r.add_argument("--rows", type=int, default=50)
+    r.add_argument("--out", help="export as CSV to this folder instead of showing (partner reports)")
+    for p in (b, r):
+        p.add_argument("--years", type=_years, default=(),
+                       help="year span to analyse (default: every year the spending extract has)")
+        p.add_argument("--release-year", type=int, default=None,
+                       help="year of the prescriber extracts (default: the last analysed)")
     for p in (ing, b, r):
         p.add_argument("--master", default=os.environ.get("SPARK_MASTER"))
-        p.add_argument("--release-year", type=int, default=None)
     args = ap.parse_args(argv)
 
-    from dataclasses import replace
-
-    from .params import FIXTURE
+    from .plans.build import build, ingest, ingest_csv, open_warehouse, params_for
     from .session import build_session
 
     spark = build_session(args.master)
-    params = FIXTURE if args.release_year is None else replace(
-        FIXTURE, prescriber_release_year=args.release_year)
     if args.cmd == "ingest":
-        from .plans.build import ingest
-        from .sources.raw import RawSources
-        from .sources.sinks import write_table
         if args.sf_dir:
             print(json.dumps(ingest(spark, args.sf_dir, args.out)))
         else:
-            src = RawSources.from_csv(spark, dict(kv.split("=", 1) for kv in args.csv),
-                                      _years(args.years))
-            for name in src._builders:
-                write_table(src[name], os.path.join(args.out, name), audit=True)
-    elif args.cmd == "build":
-        from .plans.build import build
+            if not args.years:
+                ap.error("--csv needs --years, the year span of the spending file")
+            paths = dict(kv.split("=", 1) for kv in args.csv)
+            print(json.dumps(ingest_csv(spark, paths, args.years, args.out)))
+        spark.stop()
+        return 0
+    params = params_for(spark, args.raw, args.years, args.release_year)
+    if args.cmd == "build":
         _, times = build(spark, args.raw, args.warehouse, params, tags=tuple(args.select),
                          threads=args.threads, snapshot_at=args.snapshot_at)
         print(json.dumps({k: round(v, 3) for k, v in times.items()}))
     else:
-        from .plans.build import open_warehouse
         from .plans.reports import REPORTS
-        prj = open_warehouse(spark, args.raw, args.warehouse, params)
-        REPORTS[args.name](prj).show(args.rows, truncate=False)
+        from .sources.sinks import write_csv
+        out = REPORTS[args.name](open_warehouse(spark, args.raw, args.warehouse, params))
+        if args.out:
+            write_csv(out, args.out)
+        else:
+            out.show(args.rows, truncate=False)
     spark.stop()
     return 0
 

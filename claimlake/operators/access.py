@@ -1,7 +1,7 @@
 """Row- and column-level access filters, masking, hashing and retention.
 
 Row filters are ``left_semi`` joins against an assignment table (the IN-subquery of a
-row access policy); the assignment side is tiny and broadcast.
+row access policy); the planner broadcasts the assignment side while it is small.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ ROLE_DOMAINS = {
 PII_COLUMNS = ("npi", "last_name_or_org", "first_name", "credentials", "prescriber_key")
 ROLES_WITHOUT_PII = ("analyst_commercial", "partner_manufacturer", "viewer_executive")
 AGGREGATED_ONLY_ROLES = ("partner_manufacturer", "viewer_executive")
+# Columns that show a partner its competitors' products.
+COMPETITOR_COLUMNS = ("manufacturer_name", "brand_name", "generic_name", "mfr_report_key",
+                      "top_drug_by_spending")
 
 
 def can_read(role: str, domain: str, layer: str = "marts") -> bool:
@@ -49,7 +52,7 @@ def row_filter(df: DataFrame, assignments: DataFrame, principal: str, df_col: st
     """Keep rows whose ``df_col`` is assigned to ``principal`` (IN-subquery as semi join)."""
     allowed = assignments.where(F.col(principal_col) == F.lit(principal)).select(
         F.col(value_col).alias("_allowed"))
-    return df.join(F.broadcast(allowed), F.col(df_col) == F.col("_allowed"), "left_semi")
+    return df.join(allowed, F.col(df_col) == F.col("_allowed"), "left_semi")
 
 
 def exclude_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -58,7 +61,10 @@ def exclude_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def columns_for_role(df: DataFrame, role: str) -> DataFrame:
-    """Column-level filter: drop personal columns for roles without PII access."""
+    """Column-level filter: drop personal columns for roles without PII access, and a partner's
+    competitors' columns."""
+    if role == "partner_manufacturer":
+        df = exclude_columns(df, COMPETITOR_COLUMNS)
     return exclude_columns(df, PII_COLUMNS) if role in ROLES_WITHOUT_PII else df
 
 
@@ -76,8 +82,10 @@ def retention_filter(df: DataFrame, year_col: str, current_year: int, keep_years
 
 
 def aggregated_only(df: DataFrame, dims: Sequence[str], sums: Sequence[str],
-                    min_rows: int = 1) -> DataFrame:
-    """Aggregated view (no row-level detail); groups with fewer rows than ``min_rows`` dropped."""
+                    min_people: int = 11, people: str = "total_beneficiaries") -> DataFrame:
+    """Aggregated view (no row-level detail). Small groups are suppressed: those that describe
+    fewer than ``min_people`` people, or, where rows carry no such count, of fewer rows."""
+    size = F.sum(people) if people in df.columns else F.count(F.lit(1))
     agg = df.groupBy(*dims).agg(F.count(F.lit(1)).alias("row_count"),
-                                *[F.sum(c).alias(c) for c in sums])
-    return agg.where(F.col("row_count") >= F.lit(min_rows))
+                                *[F.sum(c).alias(c) for c in sums], size.alias("_people"))
+    return agg.where(F.col("_people") >= F.lit(min_people)).drop("_people")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, label_tiers
@@ -27,6 +27,39 @@ def count_distinct_if(cond: Column, value: str | Column, rsd: float | None = Non
     return distinct_count(F.when(cond, col(value)), rsd)
 
 
+def distinct_per_group(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """One row per ``keys`` group with its number of distinct non-null ``value``s: two plain
+    aggregates, so a hot group is spread over its values and no row is expanded."""
+    return df.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias(out))
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two aggregates of the same rows side by side; null keys match."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+
+
+def percentile_cuts(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact interpolated percentiles, one row per ``by`` group (one in all without): rows are
+    counted per value, and the running counts of that small table locate each cut."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by)
+    upto = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("_upto", upto).withColumn("_all", F.sum("_n").over(w))
+    cuts = []
+    for p in ps:
+        pos = (F.col("_all") - 1) * F.lit(float(p))
+        low, high = (F.min(F.when(F.col("_upto") > f(pos), F.col(value))) for f in (F.floor, F.ceil))
+        part = F.max(pos - F.floor(pos))
+        cuts.append(F.when(part == 0, low.cast("double"))
+                    .otherwise((F.lit(1.0) - part) * low + part * high))
+    return ranked.groupBy(*by).agg(*[c.alias(f"_p{i}") for i, c in enumerate(cuts)])
+
+
 def percentile(value: str | Column, p: float, accuracy: int | None = None) -> Column:
     """Continuous (interpolated) percentile; ``percentile_approx`` when ``accuracy`` is set.
 
@@ -63,12 +96,15 @@ def percentile_tiers(df: DataFrame, value: str, out: str, cuts: Sequence[tuple[s
 
     Global cut points are one scalar subquery (an array of all cut points, referenced
     once, so it runs once): ``df`` is neither joined nor shuffled and no cross join is
-    planned. Per-group cut points are one row per group, broadcast-joined on the keys.
+    planned. Per-group cut points are one row per group, joined on the keys.
     """
     base = df.where(where) if where is not None else df
     names = [f"_p{i}" for i in range(len(cuts))]
-    stats = base.groupBy(*by).agg(*[percentile(value, p, accuracy).alias(n)
-                                    for n, (_, p) in zip(names, cuts)])
+    if accuracy:
+        stats = base.groupBy(*by).agg(*[percentile(value, p, accuracy).alias(n)
+                                        for n, (_, p) in zip(names, cuts)])
+    else:
+        stats = percentile_cuts(base, value, [p for _, p in cuts], by)
     if not by:
         # The cut points are referenced once, so the subquery runs once: test every cut
         # (first hit wins, as in CASE), NULL value or cut -> no hit -> ``otherwise``.
@@ -79,7 +115,7 @@ def percentile_tiers(df: DataFrame, value: str, out: str, cuts: Sequence[tuple[s
         labels = F.array(*[F.lit(lab) for lab, _ in cuts], F.lit(otherwise))
         return (df.withColumn("_cuts", cut_values)
                 .withColumn(out, F.element_at(labels, first.cast("int"))).drop("_cuts"))
-    joined = df.join(F.broadcast(stats), list(by), "left")
+    joined = df.join(stats, list(by), "left")
     label = label_tiers(F.col(value), [(lab, F.col(n)) for n, (lab, _) in zip(names, cuts)],
                         otherwise)
     return joined.withColumn(out, label).drop(*names)

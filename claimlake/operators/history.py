@@ -67,16 +67,18 @@ def scd2_apply(history: DataFrame | None, load: DataFrame, keys: Sequence[str],
         e = F.col(f"h.{x}").eqNullSafe(F.col(f"c._c_{x}"))
         same = e if same is None else (same & e)
     changed = h_present & c_present & ~same
+    # A joined row gives the open row as it was or closed, the new values as an open row, or both.
     hist_cols = history.columns
-    # Open rows kept as they are (unchanged or vanished) or closed (changed).
-    kept = j.where(h_present).select(
-        *[F.col(f"h.{x}") for x in hist_cols if x != VALID_TO],
-        F.when(changed, ts).otherwise(F.col(f"h.{VALID_TO}")).alias(VALID_TO))
-    # New open rows: changed keys and new keys.
-    inserted = j.where(c_present & (changed | ~h_present)).select(
-        *[F.col(f"c._c_{x}").alias(x) for x in data_cols])
-    return (closed.unionByName(kept.select(*hist_cols))
-            .unionByName(_open_rows(inserted, keys, ts).select(*hist_cols)))
+    kept = F.struct(*[
+        F.when(changed, ts).otherwise(F.col(f"h.{VALID_TO}")).alias(x) if x == VALID_TO
+        else F.col(f"h.{x}").alias(x) for x in hist_cols])
+    new = {x: F.col(f"c._c_{x}") for x in data_cols} | {
+        SCD_ID: surrogate_key(*[F.col(f"c._c_{k}") for k in keys], ts), UPDATED_AT: ts, VALID_FROM: ts,
+        VALID_TO: F.lit(None).cast("timestamp_ntz")}
+    inserted = F.struct(*[new[x].alias(x) for x in hist_cols])
+    rows = (F.when(changed, F.array(kept, inserted)).when(h_present, F.array(kept))
+            .otherwise(F.array(inserted)))
+    return closed.unionByName(j.select(F.inline(rows).alias(*hist_cols)))
 
 
 def as_of(history: DataFrame, ts: Column | str) -> DataFrame:

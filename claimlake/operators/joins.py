@@ -1,7 +1,7 @@
 """Joins to small dimensions, with their size and key uniqueness checked first.
 
-A dimension is broadcast only after one bounded job has shown it holds at most
-``max_rows`` rows and no duplicate join key (a duplicate would fan the fact rows out).
+A dimension is broadcast only after one job over the whole of it has shown that it holds at
+most ``max_bytes`` bytes and no duplicate join key (a duplicate would fan the fact rows out).
 Beyond the bound the join is left to the planner (shuffle join; AQE may still switch
 to a broadcast at run time from the real sizes).
 """
@@ -19,37 +19,23 @@ class FanOutError(ValueError):
     """A lookup dimension holds a duplicate join key."""
 
 
-def dimension_profile(dim: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[int, int]:
-    """(rows, duplicated keys) of a dimension, reading at most ``max_rows + 1`` rows."""
-    head = dim.select(*keys).limit(max_rows + 1)
-    row = head.groupBy(*keys).count().agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
-        F.count_if(F.col("count") > 1).alias("dups")).first()
-    return int(row["rows"]), int(row["dups"])
+def dimension_profile(dim: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
+    """(rows, duplicated keys, bytes as text) of the whole dimension."""
+    size = F.octet_length(F.to_json(F.struct(*dim.columns)))
+    row = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("n") > 1).alias("dups"),
+        F.coalesce(F.sum("b"), F.lit(0)).alias("bytes")).first()
+    return int(row["rows"]), int(row["dups"]), int(row["bytes"])
 
 
-_PROFILES: dict[tuple, tuple[int, int]] = {}
-
-
-def checked_broadcast(dim: DataFrame, keys: Sequence[str], max_rows: int = 1_000_000,
-                      name: str = "dimension", unique: bool = True,
-                      cache_key: tuple | None = None) -> DataFrame:
-    """Broadcast hint on ``dim`` if it is provably small; raise on duplicate keys.
-
-    ``cache_key`` (for example the source location and map name) lets repeated plans
-    over the same input in one session reuse the profile instead of re-running the job.
-    """
-    memo = (id(dim.sparkSession), cache_key, tuple(keys), max_rows) if cache_key else None
-    if memo in _PROFILES:
-        rows, dups = _PROFILES[memo]
-    else:
-        rows, dups = dimension_profile(dim, keys, max_rows)
-        if memo is not None:
-            _PROFILES[memo] = (rows, dups)
+def checked_broadcast(dim: DataFrame, keys: Sequence[str], max_bytes: int = 64 << 20,
+                      name: str = "dimension", unique: bool = True) -> DataFrame:
+    """Broadcast hint on ``dim`` if it is provably small; raise on duplicate keys."""
+    rows, dups, size = dimension_profile(dim, keys)
     if unique and dups:
         raise FanOutError(f"{name}: {dups} duplicated key(s) on {list(keys)}")
-    if rows > max_rows:
-        warnings.warn(f"{name}: more than {max_rows} rows, not broadcast", stacklevel=2)
+    if size > max_bytes:
+        warnings.warn(f"{name}: {rows} rows of {size} bytes, not broadcast", stacklevel=2)
         return dim
     return F.broadcast(dim)
-

@@ -114,12 +114,14 @@ def completeness(df: DataFrame, source: str, columns: dict[str, Column | None],
 
 
 def group_zscores(df: DataFrame, group_cols: Sequence[str], values: dict[str, str],
-                  min_group: int = 5, digits: int = 2, where: Column | None = None) -> DataFrame:
+                  min_group: int = 5, digits: int = 2, where: Column | None = None,
+                  bounded: bool = False) -> DataFrame:
     """Rows of groups with >= ``min_group`` rows, with a rounded z-score per value column.
 
     ``values`` maps value column -> output z column. Group statistics (exact decimal mean,
-    sample standard deviation, row count) are one small row per group, broadcast back, so
-    detail rows are not shuffled on a (possibly skewed) group key; sd 0 gives z 0.
+    sample standard deviation, row count) are one small row per group; where the caller
+    knows a bound on the groups (``bounded``) they are broadcast back, so detail rows are not
+    shuffled on a (possibly skewed) group key. sd 0 gives z 0.
     """
     from ..functions.columns import round_to
     base = df.where(where) if where is not None else df
@@ -130,7 +132,7 @@ def group_zscores(df: DataFrame, group_cols: Sequence[str], values: dict[str, st
                   / F.count(c).cast("double")).alias(f"_m{i}"),
                  F.stddev_samp(c).alias(f"_s{i}")]
     stats = base.groupBy(*group_cols).agg(*aggs).where(F.col("_n") >= min_group)
-    joined = df.join(F.broadcast(stats), list(group_cols), "inner")
+    joined = df.join(F.broadcast(stats) if bounded else stats, list(group_cols), "inner")
     zs = [F.when(F.col(f"_s{i}") > 0,
                  round_to((F.col(v) - F.col(f"_m{i}")) / F.col(f"_s{i}"), digits))
           .otherwise(F.lit(0.0)).alias(out) for i, (v, out) in enumerate(values.items())]

@@ -39,8 +39,8 @@ class Params:
     # Source freshness (days since load).
     freshness_warn_days: int = 90
     freshness_error_days: int = 180
-    # Upper bound on rows of any dimension we broadcast.
-    max_broadcast_rows: int = 1_000_000
+    # Upper bound on the size of any dimension we broadcast.
+    max_broadcast_bytes: int = 64 << 20
 
 
 DEFAULT = Params()

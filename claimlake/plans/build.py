@@ -13,10 +13,12 @@ import os
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..params import FIXTURE, Params
+from ..params import DEFAULT, FIXTURE, Params
 from ..sources.raw import INPUTS, RawSources
 from ..sources.sinks import AUDIT_COLUMN, with_audit, write_table
 from .project import MODELS, Project, _ensure_loaded, select_models
@@ -73,6 +75,33 @@ def ingest(spark: SparkSession, sf_dir: str, out_dir: str,
     return times
 
 
+def ingest_csv(spark: SparkSession, paths: dict[str, str], years: Sequence[int], out_dir: str,
+               ) -> dict[str, dict[str, int]]:
+    """Read delivered CSV files, filter them and write the five inputs as tables.
+
+    Returns rows read and rows kept per input, observed while each table is written.
+    """
+    seen: dict = {}
+    src = RawSources.from_csv(spark, paths, years, rows=seen)
+    for name in INPUTS:
+        write_table(src[name], os.path.join(out_dir, name), audit=True)
+    return {n: {"rows_read": a.get["rows"], "rows_kept": b.get["rows"]} for n, (a, b) in seen.items()}
+
+
+def params_for(spark: SparkSession, raw_dir: str, years: Sequence[int] = (),
+               release_year: int | None = None) -> Params:
+    """Project parameters of written inputs: the years asked for, else those the spending extract has
+    columns for; the prescriber release year is the last of them unless given."""
+    from ..operators.reshape import suffixes
+    from ..sources.fixtures import SPENDING_STUBS
+    if not years:
+        wide = spark.read.parquet(os.path.join(raw_dir, "raw_part_d_spending"))
+        years = [int(y) for y in suffixes(wide, SPENDING_STUBS) if y.isdigit()]
+    if not years:
+        raise ValueError(f"{raw_dir}: the spending extract has no year columns")
+    return replace(DEFAULT, analysis_years=tuple(years), prescriber_release_year=release_year or max(years))
+
+
 def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FIXTURE,
           tags: Sequence[str] = (), register_views: bool = True,
           run_checks: bool = True, threads: int = 4,
@@ -114,12 +143,16 @@ def open_warehouse(spark: SparkSession, raw_dir: str, warehouse: str,
     prj = Project(spark, RawSources.from_directory(spark, raw_dir), params)
     for spec in MODELS.values():
         path = os.path.join(warehouse, spec.layer, spec.name)
-        if spec.layer != "staging" and os.path.isdir(path):
-            lazy = prj.model(spec.name)
-            schema = with_audit(lazy).schema if spec.layer == "marts" else lazy.schema
+        if spec.layer == "staging":
+            continue
+        lazy = prj.model(spec.name)
+        schema = with_audit(lazy).schema if spec.layer == "marts" else lazy.schema
+        try:
             # Known schema: an empty partitioned table has no files to infer one from.
             df = spark.read.schema(schema).parquet(path)
-            prj.use_table(spec.name, df.select(*lazy.columns))
+        except AnalysisException:       # not built (a subset was selected): computed when read
+            continue
+        prj.use_table(spec.name, df.select(*lazy.columns))
     return prj
 
 

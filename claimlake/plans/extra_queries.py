@@ -6,6 +6,7 @@ Every query reads the driver tables (through the fixture adapter and the models)
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 from ..functions.columns import cost_tier, legend_bin, suppress_small_cells
 from ..operators import access, quality
 from ..operators.history import as_of, scd2_apply
-from ..operators.measures import VIEWS, explore, measure_query
+from ..operators.measures import VIEWS, explore, kpi_query, measure_query
 from ..operators.windows import year_over_year
+from ..session import shared_dir
 from ..sources import ingest
-from ..sources.raw import INPUTS
+from ..sources.raw import INPUTS, RawSources
+from ..sources.sinks import write_csv
 from .project import MODELS, Project, _ensure_loaded
 from .governance import governed_view
 from .reports import REPORTS
@@ -278,6 +281,20 @@ def retained_spending_trends(prj):
                                    prj.params.prescriber_release_year, 5)
 
 
+# ----------------------------------------------------------------------------- delivery
+
+@query
+def stg_drug_spending_from_csv(prj):
+    """Staging of a CSV delivery: the extract written as CSV, columns in another order and one
+    more, then read back by header name."""
+    path = shared_dir(prj.spark, f"csv-{uuid.uuid4().hex}")
+    raw = prj.raw("raw_part_d_spending")
+    write_csv(raw.select(F.lit("x").alias("Not In / The Extract"), *[
+        F.col(c).alias(c.upper().replace("_", " ")) for c in reversed(raw.columns)]), path)
+    src = RawSources.from_csv(prj.spark, {"raw_part_d_spending": path}, prj.params.analysis_years, filters=False)
+    return Project(prj.spark, src, prj.params).model("stg_drug_spending")
+
+
 # ---------------------------------------------------------------------- semantic layer
 
 @query
@@ -349,6 +366,32 @@ def bi_geographic_source(prj):
                     bucket.alias("cost_per_bene_bucket")))
 
 
+@query
+def bi_pharmacy_operations_source(prj):
+    """Published source over fill volume with its default filter (focus areas)."""
+    return prj.model("mart_fill_volume_trends").where(F.col("is_focus_area"))
+
+
+@query
+def bi_executive_source(prj):
+    """Published executive summary, as the viewer role may read it."""
+    return governed_view(prj, "viewer_executive", "mart_executive_summary")
+
+
+@query
+def kpis_by_area(prj):
+    """Governed KPIs evaluated from their catalogue formulas, by year and area."""
+    return kpi_query(prj.model("mart_cost_per_claim"), ["drug_year", "therapeutic_area"],
+                     ["cost_per_claim", "cost_per_beneficiary_per_month", "total_claims"])
+
+
+@query
+def kpis_dispensing_by_state(prj):
+    """Generic dispensing rate by state, from the catalogue formula."""
+    return kpi_query(prj.model("mart_brand_generic_ratio"), ["drug_year", "state"],
+                     ["generic_dispensing_rate"])
+
+
 @query
 def measures_drug_by_flag(prj):
     """A single-view measure query with a filter (brand rows only)."""

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
-from ..operators.aggregates import (count_distinct_if, distinct_count, percentile, sum_if,
-                                    top_labels)
+from ..operators.aggregates import (count_distinct_if, distinct_count, distinct_per_group,
+                                    join_groups, percentile, sum_if, top_labels)
 from ..operators.quality import anomaly_status, any_abs_above, completeness, group_zscores
 from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
                                  share_of_total)
@@ -141,19 +141,19 @@ def mart_specialty_adoption_funnel(prj: Project) -> DataFrame:
     d = prj.model("int_prescriber_drug_detail").where(
         (F.col("total_claims") > 0) & F.col("therapeutic_area").isNotNull())
     spec = F.col("is_specialty_drug")
-    agg = d.groupBy(F.col("prescriber_drug_year").alias("drug_year"),
-                    F.col("specialty").alias("prescriber_specialty"),
-                    "therapeutic_area", "is_focus_area").agg(
-        _distinct(prj, "npi").alias("prescriber_count"),
-        F.sum("total_claims").alias("total_claims"),
-        F.sum("total_drug_cost").alias("total_drug_cost"),
-        F.sum("total_beneficiaries").alias("total_beneficiaries"),
-        F.sum("total_day_supply").alias("total_day_supply"),
-        _distinct(prj, "generic_name").alias("distinct_drugs_prescribed"),
-        count_distinct_if(spec, "npi", prj.params.approx_distinct_rsd)
-        .alias("prescribers_with_specialty_rx"),
+    d = d.withColumnsRenamed({"prescriber_drug_year": "drug_year", "specialty": "prescriber_specialty"})
+    keys = ["drug_year", "prescriber_specialty", "therapeutic_area", "is_focus_area"]
+    totals = ("total_claims", "total_drug_cost", "total_beneficiaries", "total_day_supply",
+              "specialty_claims", "specialty_drug_cost")
+    per_npi = d.groupBy(*keys, "npi").agg(
+        F.max(spec).alias("_has_specialty_rx"), *[F.sum(c).alias(c) for c in totals[:4]],
         sum_if(spec, "total_claims").alias("specialty_claims"),
         sum_if(spec, "total_drug_cost", _zero()).alias("specialty_drug_cost"))
+    agg = per_npi.groupBy(*keys).agg(
+        F.count("npi").alias("prescriber_count"),
+        F.count_if(F.col("npi").isNotNull() & F.col("_has_specialty_rx")).alias("prescribers_with_specialty_rx"),
+        *[F.sum(c).alias(c) for c in totals])
+    agg = join_groups(agg, distinct_per_group(d, keys, "generic_name", "distinct_drugs_prescribed"), keys)
     out = agg.select(
         "*",
         ratio_or("prescribers_with_specialty_rx", "prescriber_count", 1, 0.0, 100)
@@ -290,7 +290,7 @@ def mart_manufacturer_performance_report(prj: Project) -> DataFrame:
     totals = d.groupBy("drug_year", "therapeutic_area").agg(
         F.sum("total_spending").alias("ta_total_spending"),
         F.sum("total_claims").alias("ta_total_claims"))
-    j = share_of_group(d, totals, ["drug_year", "therapeutic_area"])
+    j = share_of_group(d, totals, ["drug_year", "therapeutic_area"], bounded=True)
     out = j.select(
         "drug_year", "brand_name", "generic_name", "manufacturer_name", "therapeutic_area",
         "is_focus_area", "is_specialty_drug", "brand_generic_flag", "total_claims",
@@ -335,19 +335,15 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
 def mart_geographic_distribution(prj: Project) -> DataFrame:
     d = prj.model("int_prescriber_drug_detail").where(
         (F.col("total_claims") > 0) & F.col("state").isNotNull())
-    npis = _distinct(prj, "npi")
-    agg = d.groupBy(F.col("prescriber_drug_year").alias("drug_year"), "state", "census_region",
-                    _area_or_other(), "is_focus_area").agg(
-        npis.alias("prescriber_count"),
-        _distinct(prj, "generic_name").alias("distinct_drugs"),
-        F.sum("total_claims").alias("total_claims"),
-        F.sum("total_drug_cost").alias("total_drug_cost"),
-        F.sum("total_beneficiaries").alias("total_beneficiaries"),
-        F.sum("total_day_supply").alias("total_day_supply"),
-        ratio(F.sum("total_drug_cost"), F.sum("total_claims"), 2).alias("avg_cost_per_claim"),
-        ratio(F.sum("total_drug_cost"), F.sum("total_beneficiaries"), 2)
-        .alias("cost_per_beneficiary"),
-        ratio(F.sum("total_claims"), npis, 0).alias("claims_per_prescriber"))
+    d = d.withColumn("therapeutic_area", _area_or_other()).withColumnRenamed("prescriber_drug_year", "drug_year")
+    keys = ["drug_year", "state", "census_region", "therapeutic_area", "is_focus_area"]
+    totals = ("total_claims", "total_drug_cost", "total_beneficiaries", "total_day_supply")
+    agg = (d.groupBy(*keys, "npi").agg(*[F.sum(c).alias(c) for c in totals])
+           .groupBy(*keys).agg(F.count("npi").alias("prescriber_count"), *[F.sum(c).alias(c) for c in totals]))
+    agg = join_groups(agg, distinct_per_group(d, keys, "generic_name", "distinct_drugs"), keys).select(
+        "*", ratio("total_drug_cost", "total_claims", 2).alias("avg_cost_per_claim"),
+        ratio("total_drug_cost", "total_beneficiaries", 2).alias("cost_per_beneficiary"),
+        ratio("total_claims", "prescriber_count", 0).alias("claims_per_prescriber"))
     return _with_key(agg, "geo_key", "drug_year", "state", "therapeutic_area", "is_focus_area")
 
 
@@ -363,13 +359,12 @@ def mart_executive_summary(prj: Project) -> DataFrame:
         _distinct(prj, "generic_name").alias("drug_count"),
         mean("cost_per_claim", 2).alias("avg_cost_per_claim"),
         mean("cost_per_beneficiary_monthly", 2).alias("avg_monthly_cost"))
-    p = (prj.model("int_prescriber_drug_detail")
-         .where((F.col("total_claims") > 0) & F.col("therapeutic_area").isNotNull())
-         .groupBy(F.col("prescriber_drug_year").alias("drug_year"), "therapeutic_area").agg(
-             _distinct(prj, "npi").alias("prescriber_count"),
-             F.sum("total_claims").alias("prescriber_claims"),
-             F.sum("total_drug_cost").alias("prescriber_drug_cost"),
-             _distinct(prj, "state").alias("state_reach")))
+    reach = ["drug_year", "therapeutic_area"]
+    seen = (prj.model("int_prescriber_drug_detail")
+            .where((F.col("total_claims") > 0) & F.col("therapeutic_area").isNotNull())
+            .withColumnRenamed("prescriber_drug_year", "drug_year"))
+    p = distinct_per_group(seen, reach, "npi", "prescriber_count").join(
+        distinct_per_group(seen, reach, "state", "state_reach"), reach)
     j = s.join(p, ["drug_year", "therapeutic_area"], "left")
     out = j.select(
         "drug_year", "therapeutic_area", "is_focus_area", "drug_count", "total_spending",
@@ -433,7 +428,7 @@ def mart_dq_anomalies(prj: Project) -> DataFrame:
     z = group_zscores(d, ["drug_year", "therapeutic_area"],
                       {"cost_per_claim": "cost_per_claim_zscore",
                        "cost_per_beneficiary_monthly": "monthly_cost_zscore"},
-                      prm.anomaly_min_group, where=F.col("cost_per_claim").isNotNull())
+                      prm.anomaly_min_group, where=F.col("cost_per_claim").isNotNull(), bounded=True)
     zcols = ["cost_per_claim_zscore", "monthly_cost_zscore"]
     flagged = anomaly_status(zcols, prm.anomaly_warning_z, prm.anomaly_z)
     return (z.withColumn("anomaly_status", flagged)

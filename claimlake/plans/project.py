@@ -81,10 +81,7 @@ class Project:
     def seed_frame(self, name: str, frame: DataFrame, keys: Sequence[str]) -> DataFrame:
         """A reference map, size- and key-checked once per project, then broadcast."""
         if name not in self._seeds:
-            origin = self.sources.origin or None
-            self._seeds[name] = checked_broadcast(
-                frame, keys, self.params.max_broadcast_rows, name,
-                cache_key=(origin, name) if origin else None)
+            self._seeds[name] = checked_broadcast(frame, keys, self.params.max_broadcast_bytes, name)
         return self._seeds[name]
 
     def model(self, name: str) -> DataFrame:

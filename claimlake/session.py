@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,11 +41,13 @@ def build_session(master: str | None = None, app: str = "claimlake",
 def shared_dir(spark: SparkSession, sub: str = "") -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this setting names shared storage and is used as given. Only when it
-    is unset (local tests) do we create one under the system temp folder.
+    On a cluster this setting names shared storage and is used as given; unset, it is an
+    error. Only a local master (one process, as in tests) gets a temporary folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^,]*(,\s*\d+)?\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="claimlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     try:

@@ -30,9 +30,6 @@ SPENDING_FACTOR = Decimal("0.2")
 MIN_VISIBLE_BENEFICIARIES = 4
 OUTLIER_HIGH_UNITS = 400
 OUTLIER_LOW_UNITS = 300
-NULL_GENERIC_MOD = 89
-BLANK_GENERIC_MOD = 97
-NULL_CLAIMS_MOD = 50
 SUPPRESSED_MOD = 7
 AREA_BY_NOUN = {"anvil": "Alpha", "bolt": "Alpha", "gear": "Beta", "gizmo": "Beta",
                 "plate": "Gamma", "ring": "Delta"}
@@ -62,15 +59,12 @@ def _money(c: Column) -> Column:
 def _order_lines(t: DriverTables, spread: bool = False) -> DataFrame:
     """Order lines with their customer and ship year (one join on orderkey).
 
-    ``spread``: when the line scan yields fewer input splits than the default
-    parallelism (one-row-group files), round-robin it once so the joins after it run in
-    parallel. Real multi-file input already splits widely, and then nothing changes.
+    ``spread``: deal the lines out by order before the joins, so that they run in parallel even
+    where the scan has few splits; the join on the order key reads the same partitions.
     """
     lineitem = t.lineitem
     if spread:
-        target = t.spark.sparkContext.defaultParallelism
-        if lineitem.rdd.getNumPartitions() < target:
-            lineitem = lineitem.repartition(target)
+        lineitem = lineitem.repartition("l_orderkey")
     lines = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus",
@@ -79,12 +73,12 @@ def _order_lines(t: DriverTables, spread: bool = False) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
 
 
-def _manufacturers(t: DriverTables, max_rows: int = 1_000_000) -> DataFrame:
+def _manufacturers(t: DriverTables, max_bytes: int = 64 << 20) -> DataFrame:
     """Supplier -> manufacturer name (the supplier's region).
 
     The planner estimates a join's size as the product of its inputs, so this map would
-    never be broadcast on its own; one bounded job checks its size (and key uniqueness)
-    and broadcasts it while it is small. A supplier table beyond ``max_rows`` is joined
+    never be broadcast on its own; one job checks its size (and key uniqueness) and
+    broadcasts it while it is small. A supplier table beyond ``max_bytes`` is joined
     by shuffle instead.
     """
     from ..operators.joins import checked_broadcast
@@ -94,8 +88,7 @@ def _manufacturers(t: DriverTables, max_rows: int = 1_000_000) -> DataFrame:
          .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
          .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
          .select("s_suppkey", F.col("r_name").alias("mftr_name")))
-    return checked_broadcast(m, ["s_suppkey"], max_rows, "supplier manufacturers",
-                             cache_key=(t.root, "supplier manufacturers"))
+    return checked_broadcast(m, ["s_suppkey"], max_bytes, "supplier manufacturers")
 
 
 def line_base(t: DriverTables, spread: bool = False) -> DataFrame:
@@ -105,9 +98,7 @@ def line_base(t: DriverTables, spread: bool = False) -> DataFrame:
     p = F.col("p_partkey")
     parts = t.part.select(
         "p_partkey", "p_name",
-        F.when(p % NULL_GENERIC_MOD == 0, F.lit(None).cast("string"))
-        .when(p % BLANK_GENERIC_MOD == 0, F.lit("  "))
-        .otherwise(F.col("p_name")).alias("gnrc_name"),
+        F.col("p_name").alias("gnrc_name"),
         _brand_of(p, F.col("p_name")).alias("brnd_name"))
     return (_order_lines(t, spread)
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -144,9 +135,12 @@ def drug_spending_wide(t: DriverTables, years=FIXTURE_YEARS,
     """raw_part_d_spending: one row per drug x brand x manufacturer, measures by year.
 
     The pivot is a conditional aggregation over explicit years (no extra pass to find
-    them); ``tot_mftr`` counts the manufacturers of the drug x brand.
+    them; a line shipped in another year fails the job); ``tot_mftr`` counts the manufacturers
+    of the drug x brand.
     """
-    long = drug_spending_long(t, base)
+    long = drug_spending_long(t, base).withColumn("ship_year", F.when(
+        F.col("ship_year").isin(*years) | F.col("ship_year").isNull(), F.col("ship_year"))
+        .otherwise(F.raise_error(F.lit("order line shipped outside the extract's years")).cast("int")))
     # Pivot a numeric code for the string outlier flag, so every pivoted cell has a
     # fixed-width aggregation buffer (hash aggregate, no sort); decode after the pivot.
     flag_code = (F.when(F.col("outlier_flag") == "1", F.lit(2))
@@ -224,8 +218,7 @@ def prescribers(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
         F.col("c_mktsegment").alias("prscrbr_type"),
         F.col("n_name").alias("prscrbr_state_abrvtn"),
         F.lit(None).cast("string").alias("prscrbr_city"),
-        F.when(F.col("c_custkey") % NULL_CLAIMS_MOD == 0, F.lit(None).cast("long"))
-        .otherwise(F.col("claims")).alias("tot_clms"),
+        F.col("claims").alias("tot_clms"),
         "tot_benes", "tot_drug_cst", "tot_30day_fills", "brnd_tot_clms", "gnrc_tot_clms",
         "brnd_tot_drug_cst", "gnrc_tot_drug_cst", "opioid_tot_clms", "opioid_tot_benes",
         "antbtc_tot_clms", "bene_avg_age", "bene_feml_cnt", "bene_male_cnt")

@@ -1,15 +1,15 @@
-"""Raw file ingest: CSV scan with a schema, name clean-up, tolerant column lookup,
-value-list and reference-map filters, and read/kept row metrics.
+"""Raw file ingest: CSV scan by header name, name clean-up, tolerant column lookup,
+value-list and reference-map filters.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.columns import strip_upper
 
@@ -32,14 +32,19 @@ SPECIALTY_CANDIDATES = ("prscrbr_type", "provider_type", "specialty_description"
 GENERIC_CANDIDATES = ("gnrc_name", "generic_name", "gnrc_drug_name")
 
 
+class MissingColumnError(ValueError):
+    """A delivered file lacks a column of its extract."""
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, check_header: bool = False) -> DataFrame:
     """CSV with header, double-quote quoting, malformed fields as NULL (PERMISSIVE).
 
-    Pass an explicit schema for production reads; ``infer`` costs an extra pass.
+    An explicit schema binds by position (``check_header``: names must equal the header);
+    ``read_by_header`` binds by name. ``infer`` costs an extra pass.
     """
     r = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-         .option("mode", "PERMISSIVE"))
+         .option("mode", "PERMISSIVE").option("enforceSchema", not check_header))
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -64,6 +69,24 @@ def first_present(df: DataFrame, candidates: Sequence[str]) -> str | None:
     return None
 
 
+def read_by_header(spark: SparkSession, path: str, schema: StructType,
+                   candidates: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """A CSV file (or a folder of files with one header) as ``schema``, bound by header name.
+
+    Header names are cleaned (``clean_name``); each column is the first present of its
+    ``candidates`` (its own name unless given), so order and further columns do not matter. A column
+    that is missing raises, and so does a file of the folder whose header differs from the first.
+    """
+    header = read_csv(spark, path).columns
+    text = StructType([StructField(c, StringType()) for c in header])
+    rows = normalise_columns(read_csv(spark, path, text, check_header=True))
+    found = {f.name: first_present(rows, (candidates or {}).get(f.name, (f.name,))) for f in schema.fields}
+    missing = [name for name, c in found.items() if c is None]
+    if missing:
+        raise MissingColumnError(f"{path}: no column for {missing}; header has {rows.columns}")
+    return rows.select(*[F.col(found[f.name]).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def filter_values(df: DataFrame, candidates: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Keep rows whose (first present) column is in ``values``; no such column: keep all."""
     col = first_present(df, candidates)
@@ -74,11 +97,11 @@ def filter_values(df: DataFrame, candidates: Sequence[str], values: Sequence[str
 
 
 def filter_to_reference(df: DataFrame, candidates: Sequence[str], reference: DataFrame,
-                        reference_col: str, max_rows: int = 1_000_000) -> DataFrame:
+                        reference_col: str, max_bytes: int = 64 << 20) -> DataFrame:
     """Keep rows whose name is in a reference map, comparing strip+upper on both sides.
 
-    A ``left_semi`` join against the distinct reference names, broadcast once their count
-    is shown to be within ``max_rows``.
+    A ``left_semi`` join against the distinct reference names, broadcast once their size
+    is shown to be within ``max_bytes``.
     """
     from ..operators.joins import checked_broadcast
     col = first_present(df, candidates)
@@ -86,5 +109,5 @@ def filter_to_reference(df: DataFrame, candidates: Sequence[str], reference: Dat
         warnings.warn(f"none of {list(candidates)} present; keeping all rows", stacklevel=2)
         return df
     names = reference.select(strip_upper(reference_col).alias("_ref")).distinct()
-    names = checked_broadcast(names, ["_ref"], max_rows, "reference names")
+    names = checked_broadcast(names, ["_ref"], max_bytes, "reference names")
     return df.join(names, strip_upper(col) == F.col("_ref"), "left_semi")

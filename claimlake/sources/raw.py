@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from . import fixtures
 from .tables import DriverTables
@@ -60,32 +61,47 @@ class RawSources:
         }, origin=sf_dir)
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, paths: dict[str, str], years) -> "RawSources":
-        """Delivered CSV extracts and seed files, read with explicit schemas.
-
-        ``paths`` maps each input name to a file or folder; header names are cleaned
-        (strip, lower, ' ' and '/' -> '_') before the schema's names are applied, so
-        extracts whose headers differ only in case or spacing read the same.
+    def from_csv(cls, spark: SparkSession, paths: dict[str, str], years: Sequence[int],
+                 filters: bool = True, rows: dict[str, tuple[Observation, Observation]] | None = None) -> "RawSources":
+        """Delivered CSV extracts and seed files, bound by header name (``read_by_header``).
+
+        ``paths`` maps each input name to a file or folder. With ``filters`` the prescriber extract keeps
+        the target specialties, and the prescriber-drug extract the drugs of the area map, as
+        the original ingest does. ``rows`` receives two observations for each input, of the rows read
+        and the rows kept, filled by the job that reads it.
         """
         from . import schemas
         from .fixtures import SPENDING_STUBS
-        from .ingest import normalise_columns, read_csv
-
-        def reader(name, schema):
-            def build():
-                df = normalise_columns(read_csv(spark, paths[name], schema))
-                return df.select(*[f.name for f in schema.fields])
-            return build
-
-        return cls(spark, {
-            "raw_part_d_spending": reader("raw_part_d_spending",
-                                          schemas.spending_schema(years, SPENDING_STUBS)),
-            "raw_prescribers": reader("raw_prescribers", schemas.prescribers_schema()),
-            "raw_prescribers_drug": reader("raw_prescribers_drug", schemas.prescriber_drugs_schema()),
-            "seed_therapeutic_area_map": reader("seed_therapeutic_area_map",
-                                                schemas.area_map_schema()),
-            "seed_state_region_map": reader("seed_state_region_map", schemas.region_map_schema()),
-        }, origin=",".join(sorted(paths.values())))
+        from .ingest import (GENERIC_CANDIDATES, SPECIALTY_CANDIDATES, TARGET_SPECIALTIES,
+                             filter_to_reference, filter_values, read_by_header)
+
+        candidates = {"gnrc_name": GENERIC_CANDIDATES, "prscrbr_type": SPECIALTY_CANDIDATES}
+        layouts = {"raw_part_d_spending": schemas.spending_schema(years, SPENDING_STUBS),
+                   "raw_prescribers": schemas.prescribers_schema(),
+                   "raw_prescribers_drug": schemas.prescriber_drugs_schema(),
+                   "seed_therapeutic_area_map": schemas.area_map_schema(),
+                   "seed_state_region_map": schemas.region_map_schema()}
+
+        def read(name):
+            known = candidates if name in RAW_TABLES else {}
+            return read_by_header(spark, paths[name], layouts[name], known)
+
+        def kept(name, df):
+            if filters and name == "raw_prescribers":
+                return filter_values(df, SPECIALTY_CANDIDATES, TARGET_SPECIALTIES)
+            if filters and name == "raw_prescribers_drug":
+                return filter_to_reference(df, GENERIC_CANDIDATES, read("seed_therapeutic_area_map"), "generic_name")
+            return df
+
+        def build(name):
+            df = read(name)
+            if rows is None:
+                return kept(name, df)
+            seen, left = Observation(f"{name} read"), Observation(f"{name} kept")
+            rows[name] = (seen, left)
+            count = F.count(F.lit(1)).alias("rows")
+            return kept(name, df.observe(seen, count)).observe(left, count)
+        return cls(spark, {n: (lambda n=n: build(n)) for n in INPUTS}, origin=",".join(sorted(paths.values())))
 
     @classmethod
     def from_directory(cls, spark: SparkSession, path: str, fmt: str = "parquet") -> "RawSources":

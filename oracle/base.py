@@ -71,9 +71,7 @@ lines AS (
 ),
 spend_lines AS (
     SELECT ln.*,
-           CASE WHEN p.p_partkey % 89 = 0 THEN NULL
-                WHEN p.p_partkey % 97 = 0 THEN '  '
-                ELSE p.p_name END AS gnrc_name,
+           p.p_name AS gnrc_name,
            CASE p.p_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN p.p_name
                 ELSE ' Brand ' || p.p_name END AS brnd_name,
            r.r_name AS mftr_name
@@ -163,7 +161,7 @@ raw_prescribers AS (
            CAST(NULL AS VARCHAR) AS prscrbr_first_name, CAST(NULL AS VARCHAR) AS prscrbr_crdntls,
            'I' AS prscrbr_ent_cd, c.c_mktsegment AS prscrbr_type,
            c.n_name AS prscrbr_state_abrvtn, CAST(NULL AS VARCHAR) AS prscrbr_city,
-           CASE WHEN c.c_custkey % 50 = 0 THEN NULL ELSE a.claims END AS tot_clms,
+           a.claims AS tot_clms,
            a.*
     FROM presc_agg a JOIN cust c ON a.o_custkey = c.c_custkey
 ),

@@ -209,11 +209,11 @@ q("partner_area_report", """
     FROM mart_manufacturer_performance_report
     WHERE therapeutic_area IN (SELECT ta FROM (VALUES ('A', 'Alpha'), ('A', 'Beta'), ('B', 'Gamma'))
                                AS pa(partner_id, ta) WHERE partner_id = 'A')
-    GROUP BY 1, 2, 3""", marts=("mart_manufacturer_performance_report",),
+    GROUP BY 1, 2, 3 HAVING sum(total_beneficiaries) >= 11""", marts=("mart_manufacturer_performance_report",),
   doubles=("total_spending",), bigints=("total_claims",))
 
 q("partner_area_kpis", """
-    SELECT * FROM mart_therapeutic_area_kpis
+    SELECT * EXCLUDE (top_drug_by_spending) FROM mart_therapeutic_area_kpis
     WHERE therapeutic_area IN (SELECT ta FROM (VALUES ('A', 'Alpha'), ('A', 'Beta'), ('B', 'Gamma'))
                                AS pa(partner_id, ta) WHERE partner_id = 'B')""",
   marts=("mart_therapeutic_area_kpis",), doubles=("total_spending",),
@@ -311,6 +311,23 @@ q("bi_geographic_source", """
           FROM mart_geographic_distribution) r""",
   marts=("mart_geographic_distribution",), bigints=("cost_per_bene_bucket",))
 
+q("bi_pharmacy_operations_source", "SELECT * FROM mart_fill_volume_trends WHERE is_focus_area",
+  marts=("mart_fill_volume_trends",), doubles=("total_spending",),
+  bigints=("total_claims", "total_30day_fills", "total_beneficiaries"))
+
+q("bi_executive_source", "SELECT * FROM mart_executive_summary", marts=("mart_executive_summary",),
+  doubles=("total_spending",), bigints=("total_claims", "total_beneficiaries"))
+
+q("kpis_by_area", f"""
+    SELECT drug_year, therapeutic_area, {R('sum(total_spending)', 'sum(total_claims)', 2)} AS cost_per_claim,
+           {R('sum(total_spending)', '(12 * sum(total_beneficiaries))', 2)} AS cost_per_beneficiary_per_month,
+           sum(total_claims) AS total_claims
+    FROM mart_cost_per_claim GROUP BY ALL""", marts=("mart_cost_per_claim",), bigints=("total_claims",))
+
+q("kpis_dispensing_by_state", f"""
+    SELECT drug_year, state, {R('sum(generic_claims)', 'sum(total_claims)', 1, '100')} AS generic_dispensing_rate
+    FROM mart_brand_generic_ratio GROUP BY ALL""", marts=("mart_brand_generic_ratio",))
+
 q("measures_drug_by_flag", f"""
     SELECT drug_year, is_specialty_drug, sum(total_spending) AS total_spending,
            sum(total_claims) AS total_claims,

@@ -1,8 +1,12 @@
 """Invariants on the driver fixture, and plan shapes that the scale design relies on."""
 
+import re
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
+from claimlake.params import FIXTURE
 from claimlake.plans.catalog import project
 from claimlake.sources.fixtures import FIXTURE_YEARS
 from tests.conftest import SF_CHECK, SF_SMALL
@@ -55,8 +59,27 @@ def test_one_open_row_per_key_in_history(spark):
 
 def test_pareto_plan_splits_years_by_range(spark, capsys):
     plan = _plan(project(spark, SF_SMALL).model("mart_specialty_vs_generic"), capsys)
-    assert "rangepartitioning" in plan
-    assert "BroadcastHashJoin" in plan
+    # ranked per stored slice, not per year; both passes read the same stored slices
+    assert "hashpartitioning(_slice" in plan and "BroadcastHashJoin" in plan
+    assert len(set(re.findall(r"/ranked-\w+", plan))) == 1
+
+
+@pytest.mark.parametrize("slices", ["1", "4", "16", "200"])
+def test_pareto_ranks_at_every_partition_count(spark, slices):
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, slices)
+    try:
+        rows = project(spark, SF_SMALL, replace(FIXTURE, min_beneficiaries=0)).model("mart_specialty_vs_generic").collect()
+    finally:
+        spark.conf.set(key, old)
+    by = {}
+    for r in rows:
+        by.setdefault(r.drug_year, []).append(r)
+    assert len(rows) > 200
+    for year in by.values():
+        year.sort(key=lambda r: (-r.total_spending, r.generic_name, r.brand_name, r.manufacturer_name))
+        assert [r.spending_rank for r in year] == list(range(1, len(year) + 1))
 
 
 def test_share_totals_are_broadcast_not_shuffled(spark, capsys):
@@ -73,22 +96,22 @@ def test_scan_prunes_columns_and_pushes_filters(spark, capsys):
     assert "manufacturer_count" not in read and "total_spending" in read
 
 
-def test_approx_distinct_switch_removes_expand(spark, capsys):
-    from dataclasses import replace
-    from claimlake.params import FIXTURE
-    exact = project(spark, SF_SMALL).model("mart_specialty_adoption_funnel")
-    approx_prj = project(spark, SF_SMALL, replace(FIXTURE, approx_distinct_rsd=0.02))
-    approx = approx_prj.model("mart_specialty_adoption_funnel")
-    assert "Expand" in _plan(exact, capsys) and "Expand" not in _plan(approx, capsys)
-    e = {r.adoption_key: r.prescriber_count for r in exact.collect()}
-    a = {r.adoption_key: r.prescriber_count for r in approx.collect()}
+@pytest.mark.parametrize("name", ["mart_specialty_adoption_funnel", "mart_geographic_distribution", "mart_executive_summary"])
+def test_detail_rows_are_not_expanded(spark, capsys, name):
+    assert "Expand" not in _plan(project(spark, SF_SMALL).model(name), capsys)
+
+
+def test_approx_distinct_switch(spark, capsys):
+    exact = project(spark, SF_SMALL).model("mart_drug_spending_trends")
+    approx = project(spark, SF_SMALL, replace(FIXTURE, approx_distinct_rsd=0.02)).model("mart_drug_spending_trends")
+    assert "approx_count_distinct" in _plan(approx, capsys)
+    e = {r.spending_trend_key: r.distinct_drugs for r in exact.collect()}
+    a = {r.spending_trend_key: r.distinct_drugs for r in approx.collect()}
     assert e.keys() == a.keys()
     assert all(abs(a[k] - e[k]) <= max(2, 0.1 * e[k]) for k in e)
 
 
 def test_tier_options(spark):
-    from dataclasses import replace
-    from claimlake.params import FIXTURE
     base = {r.npi: r.engagement_tier for r in
             project(spark, SF_SMALL).model("int_prescriber_summary").collect()}
     by_year = {r.npi: r.engagement_tier for r in project(

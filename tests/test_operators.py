@@ -1,5 +1,7 @@
 """Generic operators on hand-written rows (edges from the fixture notes)."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,54 @@ def test_ranked_running_total_matches_window(spark, slices):
     assert a == b and len(a) == 200
 
 
+@pytest.mark.parametrize("slices", [2, 5, 16])
+def test_ranks_of_many_rows_from_one_file(spark, tmp_dir, slices):
+    """More rows than the range sample holds, every column kept, one input file."""
+    path = os.path.join(tmp_dir, "one")
+    spark.range(30_000).select(
+        F.when(F.col("id") % 10 < 8, 2001).otherwise(F.col("id") % 10 + 1990).cast("int").alias("year"),
+        (F.col("id") * 7919 % 613).cast("decimal(18,2)").alias("v"), F.col("id").alias("name"),
+        F.md5(F.col("id").cast("string")).alias("more"), F.lit(1).alias("rest")).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    order = [F.col("v").desc(), F.col("name").asc()]
+    got = W.ranked_running_total(df, ["year"], order, "v", "rk", "cum", "tot", slices=slices)
+    want = W.ranked_running_total(df, ["year"], order, "v", "rk", "cum", "tot", method="window")
+    assert got.count() == 30_000 and got.exceptAll(want.select(*got.columns)).isEmpty()
+    ranks = got.groupBy("year").agg(F.max("rk").alias("m"), F.count_distinct("rk").alias("d"), F.count(F.lit(1)).alias("n"))
+    assert ranks.where("m <> n or d <> n").isEmpty()
+
+
+@pytest.mark.parametrize("by", [(), ("g",)])
+def test_percentile_cuts_equal_spark(spark, by):
+    df = spark.createDataFrame([(i % 3, (i * 37 % 50) or None) for i in range(200)] + [(9, None), (8, 4)], "g int, v int")
+    ps = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
+    got = A.percentile_cuts(df, "v", ps, by)
+    want = df.where("v is not null").groupBy(*by).agg(*[F.percentile("v", F.lit(p)).alias(f"_p{i}") for i, p in enumerate(ps)])
+
+    def rounded(d):
+        return sorted(tuple(round(float(x), 9) for x in r) for r in d.collect())
+    assert rounded(got) == rounded(want.select(*got.columns))
+
+
+def test_key_guard_reads_the_whole_dimension(spark):
+    from claimlake.operators.joins import FanOutError, checked_broadcast
+    dim = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
+    assert "broadcast" in checked_broadcast(dim, ["k"])._jdf.queryExecution().analyzed().toString().lower()
+    with pytest.warns(UserWarning):
+        assert "broadcast" not in checked_broadcast(dim, ["k"], max_bytes=100)._jdf.queryExecution().analyzed().toString().lower()
+    for limit in (100, 64 << 20):
+        with pytest.raises(FanOutError):
+            checked_broadcast(dim.unionByName(dim.where("k = '4999'")), ["k"], max_bytes=limit)
+
+
+def test_distincts_are_not_expanded(spark):
+    df = spark.createDataFrame([(None, "a", 1), (None, "a", 1), (1, None, 2), (1, "b", 2)], "k int, v string, w int")
+    one = A.distinct_per_group(df, ["k"], "v", "n")
+    both = A.join_groups(one, A.distinct_per_group(df, ["k"], "w", "m"), ["k"])
+    assert sorted(map(tuple, both.collect()), key=str) == [(1, 1, 1), (None, 1, 1)]
+    assert "Expand" not in both._jdf.queryExecution().toString()
+
+
 def test_share_of_total_zero_total_is_null(spark):
     df = spark.createDataFrame([(1, 0), (1, 0), (2, 1), (2, 3)], "y int, v int")
     out = W.share_of_total(df, "v", ["y"], "pct").orderBy("y", "v").collect()

@@ -1,6 +1,7 @@
 """Checks runner, freshness, SCD-2 history, as-of reads and access filters."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +166,36 @@ def test_group_zscores_min_group_and_zero_sd(spark):
     df = spark.createDataFrame(rows, "g string, x double")
     out = quality.group_zscores(df, ["g"], {"x": "z"}, min_group=5).collect()
     assert len(out) == 5 and all(r.g == "a" and r.z == 0.0 for r in out)
+
+
+def test_aggregated_only_roles_need_groups(spark):
+    from claimlake.plans.catalog import project
+    from claimlake.plans.extra_queries import partner_assignments
+    from claimlake.plans.governance import governed_view
+    from tests.conftest import SF_SMALL
+    prj = project(spark, SF_SMALL)
+    who = {"principal": "A", "assignments": partner_assignments(prj)}
+    with pytest.raises(PermissionError):
+        governed_view(prj, "partner_manufacturer", "mart_manufacturer_performance_report", **who)
+    with pytest.raises(PermissionError):
+        governed_view(prj, "viewer_executive", "mart_dq_anomalies")
+    assert "top_drug_by_spending" not in governed_view(prj, "partner_manufacturer", "mart_therapeutic_area_kpis", **who).columns
+    with pytest.raises(Exception):  # a competitor's name is not there to group by
+        governed_view(prj, "partner_manufacturer", "mart_manufacturer_performance_report", **who,
+                      aggregate_by=["manufacturer_name"], sums=["total_claims"])
+    small = spark.createDataFrame([("a", 4, 1), ("a", 6, 1), ("b", 11, 1)], "k string, total_beneficiaries int, v int")
+    assert [r.k for r in access.aggregated_only(small, ["k"], ["v"]).collect()] == ["b"]
+
+
+def test_snapshot_reads_history_and_load_once(spark, tmp_dir):
+    from claimlake.operators.history import scd2_apply
+    load = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    path = os.path.join(tmp_dir, "h")
+    scd2_apply(None, load, ["k"], ["v"], F.lit("2024-01-01")).write.parquet(path)
+    nxt = os.path.join(tmp_dir, "l")
+    spark.createDataFrame([("a", 1), ("b", 3), ("c", 4)], "k string, v int").write.parquet(nxt)
+    out = scd2_apply(spark.read.parquet(path), spark.read.parquet(nxt), ["k"], ["v"], F.lit("2025-01-01"), check_duplicates=False)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 3 and plan.count("Join") == 1      # open rows, closed rows, load
+    assert sorted((r.k, r.v, r.valid_to is None) for r in out.collect()) == [
+        ("a", 1, True), ("b", 2, False), ("b", 3, True), ("c", 4, True)]

@@ -86,7 +86,7 @@ def test_csv_extracts_give_same_staging(spark, tmp_dir):
     for name in INPUTS:
         paths[name] = os.path.join(tmp_dir, "csv", name)
         sinks.write_csv(lazy[name], paths[name])
-    csv = RawSources.from_csv(spark, paths, FIXTURE.analysis_years)
+    csv = RawSources.from_csv(spark, paths, FIXTURE.analysis_years, filters=False)
     a = Project(spark, lazy, FIXTURE)
     b = Project(spark, csv, FIXTURE)
     for m in ("stg_drug_spending", "stg_prescribers", "stg_prescriber_drugs",
@@ -110,3 +110,59 @@ def test_hot_year_is_written_by_many_tasks(spark, tmp_dir):
         assert spark.read.parquet(path).count() == 4000
     finally:
         spark.conf.set(key, old)
+
+
+def _delivery(tmp_dir):
+    """Delivered files: columns in another order, further columns, other candidate names, 2019-2023."""
+    stubs = ("Tot_Spndng", "Tot_Clms", "Tot_Benes", "Tot_Dsg_Unts", "Avg_Spnd_Per_Clm", "Avg_Spnd_Per_Bene",
+             "Avg_Spnd_Per_Dsg_Unt_Wghtd", "Outlier_Flag")
+    years = range(2019, 2024)
+    from claimlake.sources import schemas
+
+    def write(name, header, rows):
+        path = os.path.join(tmp_dir, f"{name}.csv")
+        with open(path, "w") as f:
+            f.write("\n".join(",".join(r) for r in [header, *rows]) + "\n")
+        return path
+    spend = [f"{s}_{y}" for s in stubs for y in years]
+    header = ["Extra", "Tot Mftr", *spend, "Mftr/Name", "Gnrc Name", "Brnd Name"]
+    values = [str(100 * (i + 1)) if "Outlier" not in c else "" for i, c in enumerate(spend)]
+    who = list(schemas.PRESCRIBER_COLUMNS)
+    drug = list(schemas.PRESCRIBER_DRUG_COLUMNS)
+
+    def person(npi, kind, cols):
+        return [{"prscrbr_npi": npi, "prscrbr_type": kind, "provider_type": kind, "prscrbr_last_org_name": '"Doe, J"',
+                 "tot_clms": "7", "generic_name": kind, "gnrc_name": kind}.get(c, "") for c in cols]
+    who2 = ["provider_type" if c == "prscrbr_type" else c for c in reversed(who)]
+    drug2 = ["generic_name" if c == "gnrc_name" else c for c in reversed(drug)]
+    return list(years), {
+        "raw_part_d_spending": write("spend", header, [["x", "3", *values, "Acme", "aspirin", "Aspirin X"]]),
+        "raw_prescribers": write("who", who2, [person("1", "Dermatology", who2), person("2", "Dentist", who2)]),
+        "raw_prescribers_drug": write("drug", drug2, [person("1", " ASPIRIN ", drug2), person("2", "other", drug2)]),
+        "seed_therapeutic_area_map": write("area", ["is_focus_area", "therapeutic_area", "generic_name", "is_specialty"],
+                                           [["true", "Pain", "Aspirin", "false"]]),
+        "seed_state_region_map": write("state", ["census_division", "state_abbrev", "state_name", "census_region"],
+                                       [["d", "NY", "New York", "r"]])}
+
+
+def test_delivered_csv_is_bound_by_header(spark, tmp_dir):
+    from claimlake.plans.build import ingest_csv, params_for
+    from claimlake.plans.project import Project
+    from claimlake.sources.ingest import MissingColumnError
+    years, paths = _delivery(tmp_dir)
+    out = os.path.join(tmp_dir, "raw")
+    counts = ingest_csv(spark, paths, years, out)
+    assert counts["raw_prescribers"] == {"rows_read": 2, "rows_kept": 1}
+    assert counts["raw_prescribers_drug"] == {"rows_read": 2, "rows_kept": 1}
+    params = params_for(spark, out)
+    assert params.analysis_years == tuple(years) and params.prescriber_release_year == 2023
+    prj = Project(spark, RawSources.from_directory(spark, out), params)
+    rows = prj.model("stg_drug_spending").orderBy("drug_year").collect()
+    assert [(r.drug_year, r.manufacturer_name, r.manufacturer_count, int(r.total_spending)) for r in rows] == [
+        (y, "Acme", 3, 100 * (i + 1)) for i, y in enumerate(years)]
+    assert [(r.npi, r.last_name_or_org, r.specialty) for r in prj.model("stg_prescribers").collect()] == [("1", "Doe, J", "Dermatology")]
+    assert [r.generic_name for r in prj.model("stg_prescriber_drugs").collect()] == ["ASPIRIN"]
+    with open(paths["seed_state_region_map"], "w") as f:
+        f.write("state_abbrev,state_name\nNY,x\n")
+    with pytest.raises(MissingColumnError):
+        RawSources.from_csv(spark, paths, years)["seed_state_region_map"]

@@ -8,6 +8,8 @@ from claimlake.streaming.incremental import refresh_from_drops
 from claimlake.plans.catalog import project
 from tests.conftest import SF_SMALL
 
+KEYS = ("generic_name", "brand_name", "manufacturer_name")
+
 
 def test_refresh_from_drops(spark, tmp_dir):
     stg = project(spark, SF_SMALL).model("stg_drug_spending").select(
@@ -15,13 +17,13 @@ def test_refresh_from_drops(spark, tmp_dir):
     src, target = os.path.join(tmp_dir, "drops"), os.path.join(tmp_dir, "table")
     ckpt = os.path.join(tmp_dir, "ckpt")
     stg.where(F.col("drug_year") <= 1997).write.mode("append").parquet(src)
-    assert refresh_from_drops(spark, src, stg.schema, target, checkpoint=ckpt) == 1
+    assert refresh_from_drops(spark, src, stg.schema, target, KEYS, checkpoint=ckpt) == 1
     first = spark.read.parquet(target)
     assert sorted(r.drug_year for r in first.select("drug_year").distinct().collect()) == [1995, 1996, 1997]
     # a second release re-delivers 1997 (changed) and adds 1998
     stg.where(F.col("drug_year").isin(1997, 1998)).withColumn(
         "total_spending", (F.col("total_spending") * 2).cast("decimal(18,2)")).write.mode("append").parquet(src)
-    assert refresh_from_drops(spark, src, stg.schema, target, checkpoint=ckpt) == 1
+    assert refresh_from_drops(spark, src, stg.schema, target, KEYS, checkpoint=ckpt) == 1
     out = spark.read.parquet(target)
     want = stg.where(F.col("drug_year") <= 1998).count()
     assert out.count() == want
@@ -29,4 +31,18 @@ def test_refresh_from_drops(spark, tmp_dir):
     orig = stg.where("drug_year = 1997").agg(F.sum("total_spending")).first()[0]
     assert doubled == orig * 2
     # nothing new: no batch
-    assert refresh_from_drops(spark, src, stg.schema, target, checkpoint=ckpt) == 0
+    assert refresh_from_drops(spark, src, stg.schema, target, KEYS, checkpoint=ckpt) == 0
+
+
+def test_one_year_in_several_files_keeps_every_row(spark, tmp_dir):
+    rows = spark.createDataFrame([(f"d{i}" if i else None, 2001, i) for i in range(15)], "k string, drug_year int, v int")
+    deliveries = [rows.where(f"v % 3 = {i}") for i in range(3)]
+    for name, cap, runs in (("one", None, 1), ("capped", 1, 1), ("three", None, 3)):
+        src, target, ckpt = (os.path.join(tmp_dir, name, x) for x in ("src", "t", "ckpt"))
+        for i, d in enumerate(deliveries):
+            d.coalesce(1).write.mode("append").parquet(src)
+            if runs == 3 or i == 2:
+                refresh_from_drops(spark, src, rows.schema, target, ["k"], checkpoint=ckpt, max_files_per_trigger=cap)
+        got = spark.read.parquet(target)
+        assert sorted(map(str, (r.asDict() for r in got.select("v").collect()))) == sorted(
+            map(str, (r.asDict() for r in rows.select("v").collect()))), name
