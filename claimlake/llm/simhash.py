@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import ASCII_UPPER, keep_rows, row_key, stash
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 1_000_000
 _BLOCK = 1 << 16
 _LOWER = {ord(c): ord(c.lower()) for c in ASCII_UPPER}
 _SPACES = str.maketrans("\t\n\x0b\f\r", "     ")
@@ -189,7 +189,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_R
         large = done.filter("mask is not null")
         if large.isEmpty():
             return found.distinct()
-        # The free bits of a large bucket are dealt over radius+1 blocks: at most 64 masks a level.
+        # The free bits of a large bucket are dealt over radius+1 blocks; masks depend on the radius only.
         split = [(_signed(m), _signed(m | b)) for m in {r.mask & (2**64 - 1) for r in
                  large.select("mask").distinct().collect()} for b in _blocks(m, radius)]
         finer = distinct.sparkSession.createDataFrame(split, "mask long, finer long")
