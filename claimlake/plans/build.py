@@ -25,9 +25,11 @@ from .project import MODELS, Project, _ensure_loaded, select_models
 
 
 # Physical layout of the large, year-grained tables: year partitions (pruned by the
-# reports' year filters) and a clustering sort inside each file (row-group skipping).
+# reports' year filters) and a clustering sort across and inside files (file and row-group skipping).
 LAYOUT = {
     "int_drug_enriched": (("drug_year",), ("therapeutic_area", "generic_name")),
+    # One release year per load: clustered by what its marts group and filter on.
+    "int_prescriber_drug_detail": ((), ("therapeutic_area", "state", "npi")),
     "mart_cost_per_claim": (("drug_year",), ("therapeutic_area", "generic_name")),
     "mart_specialty_vs_generic": (("drug_year",), ("spending_rank",)),
     "mart_manufacturer_performance_report": (("drug_year",), ("therapeutic_area", "generic_name")),

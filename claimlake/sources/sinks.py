@@ -21,8 +21,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Full-replace table write; optional partition columns and clustering sort.
 
     ``partition_by=("drug_year",)`` lets year filters prune whole directories;
-    ``sort_within`` clusters rows (for example by area or state) inside each file so
-    min/max statistics skip row groups. Rows are range-partitioned on the partition
+    ``sort_within`` clusters rows (for example by area or state) across and inside files so
+    min/max statistics skip files and row groups. Rows are range-partitioned on the partition
     columns followed by the clustering columns (or a row hash), so a year holding a third
     of the table is written by many tasks, each producing its own file in that year's
     folder, instead of by one.
@@ -33,7 +33,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         out = out.repartitionByRange(*[F.col(c) for c in partition_by], *tail)
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     elif sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+        out = out.repartitionByRange(*sort_within).sortWithinPartitions(*sort_within)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

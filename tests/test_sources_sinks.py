@@ -52,6 +52,19 @@ def test_partitioned_write_and_refresh(spark, tmp_dir):
     assert sorted((r.drug_year, r.v) for r in back.collect()) == [(2019, 1), (2020, 20)]
 
 
+def test_clustered_files_span_few_values(spark, tmp_dir):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        path = os.path.join(tmp_dir, "c")
+        sinks.write_table(spark.range(4000).selectExpr("id % 40 AS state", "id AS v"), path, sort_within=("state",))
+    finally:
+        spark.conf.set(key, old)
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.min("state").alias("a"), F.max("state").alias("b")).collect()
+    assert len(files) > 1 and all(r.b - r.a < 40 / len(files) * 2 for r in files)
+
+
 def test_write_to_configured_target(spark, tmp_dir):
     path = os.path.join(tmp_dir, "out")
     sinks.write_to(spark.range(3), {"format": "json", "path": path})
