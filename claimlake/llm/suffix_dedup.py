@@ -38,7 +38,7 @@ from .exact_dedup import frequent
 LENGTH, WINDOW, GRAM = 400, 200, 16
 #: A perfect difference set modulo 31: every residue is a difference of two of its members.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
-PIECE = 1 << 20         # suffixes of a text handled at once
+PIECE = 1 << 18         # suffixes of a text handled at once
 BUCKET_ROWS = 50_000
 DISTANCES = 16          # distances to the anchor in a piece of a large bucket
 _RNG = np.random.RandomState(11)
@@ -125,6 +125,21 @@ def _anchors(texts, run, length, window):
     return number[piece], lo - starts[piece] + at[piece], a - lo, hi - lo, key, reach
 
 
+def combined(key: np.ndarray, reach: np.ndarray, text: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, times) with anchors of equal key and reach summed up before the shuffle: the first stands for
+    all (``times`` of them) in its bucket; the others are settled (two times) and get a key of their
+    own, so that a periodic text's anchors do not meet in one task."""
+    order = np.lexsort((reach, key))
+    k, r = key[order], reach[order]
+    first = np.r_[True, (k[1:] != k[:-1]) | (r[1:] != r[:-1])]
+    times = np.empty(len(key), np.int32)
+    times[order] = np.diff(np.r_[np.flatnonzero(first), len(k)])[np.cumsum(first) - 1]
+    rest = order[~first]
+    key, times[rest] = key.copy(), 2
+    key[rest] = _mixed(reach[rest] * _BASE + _mixed(lo[rest].astype(np.uint64) * _BASE + text[rest].astype(np.uint64)))
+    return key, times
+
+
 def _packed(lo, dist, more):
     return (lo << 16) | (dist << 8) | more
 
@@ -239,15 +254,16 @@ def repeated_spans(docs: DataFrame, heavy: DataFrame, length: int, window: int,
         for b in batches:
             rows = b.column("row")
             for i, lo, dist, more, key, reach in anchor_rows(_bytes_of(b.column("text")), length, window):
+                key, times = combined(key, reach, i, lo)
                 yield pa.RecordBatch.from_arrays(
                     [rows.take(pa.array(i)), pa.array(_packed(lo, dist, more)), pa.array(key.view(np.int64)),
-                     pa.array(reach.view(np.int64))], ["row", "packed", "key", "reach"])
-    anchors = own.mapInArrow(find, "row binary, packed long, key long, reach long")
+                     pa.array(reach.view(np.int64)), pa.array(times)], ["row", "packed", "key", "reach", "times"])
+    anchors = own.mapInArrow(find, "row binary, packed long, key long, reach long, times int")
     same = Window.partitionBy("key", "reach")
     per_key = Window.partitionBy("key")
     classes = (anchors.repartition("key")
                .withColumn("nth", F.row_number().over(same.orderBy("row", "packed")))
-               .withColumn("copies", F.count(F.lit(1)).over(same))
+               .withColumn("copies", F.sum("times").over(same))
                .withColumn("reaches", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(per_key))
                .withColumn("single", F.max(F.col("copies") == 1).over(per_key))
                .filter("copies > 1 or reaches > 1"))
@@ -287,7 +303,7 @@ def repeated_spans(docs: DataFrame, heavy: DataFrame, length: int, window: int,
             if not b.num_rows:
                 continue
             held.append(b)
-            if sum(x.num_rows for x in held) < 4000:
+            if sum(x.num_rows for x in held) < 2000:
                 continue
             t = pa.Table.from_batches(held).combine_chunks()
             key = t.column("key").to_numpy()
