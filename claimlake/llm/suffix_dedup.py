@@ -240,6 +240,13 @@ def _runs(who: np.ndarray, s: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     return who[first], s[first], s[last] + length
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches a few rows at a time: Python copies of texts stay small."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def _bytes_of(col: pa.Array) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
@@ -251,7 +258,7 @@ def repeated_spans(docs: DataFrame, heavy: DataFrame, length: int, window: int,
            .filter("keeper is null or keeper = row_key").select(F.unhex("row_key").alias("row"), "text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rows = b.column("row")
             for i, lo, dist, more, key, reach in anchor_rows(_bytes_of(b.column("text")), length, window):
                 key, times = combined(key, reach, i, lo)
@@ -277,7 +284,7 @@ def repeated_spans(docs: DataFrame, heavy: DataFrame, length: int, window: int,
     wanted = classes.filter("sorts").groupBy("row").agg(F.collect_list(F.struct("key", "packed", "large")).alias("at"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             for row, text, at in zip(b.column("row"), _bytes_of(b.column("text")), b.column("at").to_pylist()):
                 got = list(bucket_payloads(text, [(a["key"] % (1 << 64), a["packed"], a["large"]) for a in at], length))
                 yield pa.RecordBatch.from_arrays(
@@ -359,7 +366,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .join(spans, "row_key", "left").select("id", "text", "whole", "spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             texts, out = _bytes_of(b.column("text")), []
             for text, whole, spans in zip(texts, b.column("whole").to_pylist(), b.column("spans").to_pylist()):
                 out.append(remove_spans(text, [(0, len(text))] if whole else [(s["start"], s["end"]) for s in spans or ()]))
