@@ -134,6 +134,53 @@ def test_suffix_dedup(docs_of, rng, monkeypatch, length, window, bucket_rows):
     assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(want)
 
 
+def test_passage_in_most_documents_is_not_held_in_one_bucket(spark, docs_of, rng):
+    """Different text around one passage: each document has reaches of its own under the same two keys."""
+    passage = prose(rng, 130)
+    rows = [(i, prose(rng, 40) + passage[rng.randint(0, 9):len(passage) - rng.randint(0, 9)] + prose(rng, 40)) for i in range(120)]
+    own = spark.createDataFrame([(str(i).encode(), t) for i, t in rows], "row binary, text string").repartition(3)
+    hot = sd.hot_cells(own, 400, 200, 12, 20)
+    assert len(hot)
+    cold = sd.bucketed(own, 400, 200, 12, hot).groupBy("key").count()
+    assert (cold.agg({"count": "max"}).first()[0] or 0) <= 20
+    texts = [t.encode() for _, t in rows]
+    want = sorted((i, sum(f)) for (i, _), f in zip(rows, ref.repeats(texts, 400)))
+    for parts in ("1", "4", "64"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = sd.remove_repeats(docs_of(rows), bucket_rows=20).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+        assert sorted((r["doc_id"], r["n_removed"]) for r in got) == want
+
+
+def test_ties_that_differ_in_the_middle_take_one_pass(rng):
+    """Equal ends, all middles different but two: no round for each member of the tie."""
+    import time
+    mids = [f"{i:08d}".encode() for i in range(20_000)] + [b"00000007"]
+    texts = [b"a" * (i % 31) + b"h" * 150 + m + b"t" * 242 for i, m in enumerate(mids)]
+    packed = np.array([(i % 31) << 16 for i in range(len(texts))])
+    pay = [next(sd.bucket_payloads(t, [(1, int(p))], 400))[2] for t, p in zip(texts, packed)]
+    t0 = time.process_time()
+    who, s = sd.repeated_suffixes(np.ones(len(texts), np.int64), packed, pay)
+    assert who.tolist() == [7, 20_000] and s.tolist() == [7, 20_000 % 31]
+    assert time.process_time() - t0 < 10
+
+
+def test_ranges_of_narrow_rows_meet_at_their_edges():
+    import pyarrow as pa
+
+    def rows(hashes, at):
+        return pa.RecordBatch.from_arrays([pa.array([b"r"] * len(hashes), pa.binary()), pa.array(range(at, at + len(hashes))),
+                                           pa.array(hashes), pa.array(hashes)], ["row", "start", "one", "two"])
+    found = [x for b in sd.marked_repeats(iter([rows([1, 2, 2], 0), rows([2, 3], 3), rows([4], 5)]), 400) for x in b.to_pylist()]
+    assert sorted(x["start"] for x in found if not x["edge"]) == [1, 2, 3]
+    assert [(x["start"], x["one"]) for x in found if x["edge"]] == [(0, 1), (5, 4)]
+    one = [x for b in sd.marked_repeats(iter([rows([9, 9], 0)]), 400) for x in b.to_pylist()]
+    assert [x["edge"] for x in one].count(True) == 1 and len(one) == 3
+
+
 def test_long_texts_are_taken_in_pieces(monkeypatch, rng):
     """Anchors of a text do not depend on where its pieces are cut."""
     text = prose(rng, 3000).encode()
