@@ -45,12 +45,13 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", "[0-9a-f]+", 0, 24),
 )
+#: Possessive repeats have no upper length: what follows is not of their class, so none is tried again.
 MORE_RULES = (
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,255}"),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,250}"),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}+"),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}+"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,30}://[A-Za-z0-9._~%+-]{1,64}:[A-Za-z0-9._~%+-]{4,128}@"),
+    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,30}://[A-Za-z0-9._~%+-]++:[A-Za-z0-9._~%+-]{4,}+@"),
 )
 
 

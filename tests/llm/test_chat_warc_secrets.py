@@ -147,6 +147,16 @@ def brute_spans(text, rules):
                   if len(m[r.group]) >= r.least)
 
 
+def test_long_secrets_are_found_whole():
+    """By hand, not by the rules' own regexes: any length of token, user and password."""
+    tokens = [("github", "ghp_" + "a1" * 200), ("slack", "xoxb-" + "1a-" * 150), ("url_login", "https://me:" + "p4" * 300 + "@"),
+              ("url_login", "https://" + "u" * 100 + ":hunter2@"), ("github", "ghp_" + "a" * 36)]
+    s = secrets.Scanner(secrets.MORE_RULES)
+    for (kind, token), found in zip(tokens, s.spans([f"é {t} host" for _, t in tokens])):
+        assert [(s.rules[k].kind, a, b) for a, k, b in found] == [(kind, 2, 2 + len(token))]
+    assert s.spans(["ghp_" + "a" * 35, "https://me:abc@host", "https://me:" + "p" * 300 + " @"]) == [[], [], []]
+
+
 def test_scan_secrets(docs_of, rng, monkeypatch):
     monkeypatch.setattr(secrets, "SEGMENT_BYTES", 3000)
     bits = ["password: hunter22", "PASSWD=\"x\"", "secret = a secret=abcdef", "AKIA" + "Z" * 20, "AKIAshort", "0123456789abcdef" * 2, "deadbeef",
