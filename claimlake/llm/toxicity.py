@@ -111,13 +111,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    min_docs: int = 4, chi_square: float = 15.0, swap_penalty: float = 1.0,
                    terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> ToxicityModel:
     """Fit on the rows of ``docs`` that ``labels`` marks 0 or 1 (null labels and ids are skipped;
-    of several labels the largest counts). With labels of one kind only, the score is constant."""
+    of several labels the largest counts, of several rows with one id one). With labels of one kind only, the score is constant."""
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
              .orderBy(F.xxhash64("id"), "id").limit(fit_rows))
-    # At most fit_rows narrow rows, by the limit above.
+    # At most fit_rows narrow rows, by the limit above; of rows that share an id one is taken, whichever task reads it.
+    text = F.col("text")
     sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(known), "id").select("text", "y"))
+              .join(F.broadcast(known), "id").groupBy("id", "y")
+              .agg(F.min(F.struct(text.isNull().alias("none"), F.xxhash64(text).alias("hash"), text)).alias("row"))
+              .select("row.text", "y"))
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, by = [0, 0], [Counter(), Counter()]

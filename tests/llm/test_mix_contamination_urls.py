@@ -133,6 +133,14 @@ def toxic_rows(rng, n=400):
     return docs, labels
 
 
+def test_toxicity_fit_takes_one_row_of_an_id(spark, docs_of, rng):
+    """A labelled id with very many rows neither fills the driver nor dominates the fit."""
+    docs, labels = toxic_rows(rng)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    want = toxicity.train_toxicity(docs_of(docs), lab)
+    assert toxicity.train_toxicity(docs_of(docs + [docs[0]] * 400 + [(docs[1][0], None)] * 50), lab) == want
+
+
 def test_toxicity_held_out(spark, docs_of, rng):
     docs, labels = toxic_rows(rng)
     df = docs_of(docs + [(None, "scummy"), (9000, None), (9001, ""), (9002, prose(rng, 60_000)), (3, docs[3][1])])
