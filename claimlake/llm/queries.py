@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
+from . import chat, decontaminate, exact_dedup, lexical_search, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
 from .common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -80,6 +80,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -87,4 +91,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_mix_sources, op3_decontaminate, op4_simhash_dedup, op5_suffix_dedup, op6_toxicity,
-    op7_warc, op8_exact_dedup, op9_secret_scan, op10_url_filter, pipeline)}
+    op7_warc, op8_exact_dedup, op9_secret_scan, op10_url_filter, op11_lexical_search, pipeline)}
