@@ -126,3 +126,36 @@ ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+ORACLE["op12_collocations"] = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+pieces AS (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM docs),
+words AS MATERIALIZED (SELECT id, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS p FROM pieces),
+spans AS MATERIALIZED (
+  SELECT lang, w1, lead(w1, 1) OVER (PARTITION BY id ORDER BY p) AS w2, lead(w1, 2) OVER (PARTITION BY id ORDER BY p) AS w3 FROM words),
+one AS MATERIALIZED (SELECT lang, w1, count(*) AS n FROM spans GROUP BY ALL),
+size AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM one GROUP BY lang),
+two AS MATERIALIZED (SELECT lang, w1, w2, count(*) AS n FROM spans WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*) AS n FROM spans WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+inside AS (
+  SELECT lang, w1, w2, max(n) AS n FROM (SELECT lang, w1, w2, n FROM three UNION ALL SELECT lang, w2, w3, n FROM three) GROUP BY ALL),
+cuts AS (
+  SELECT lang, concat_ws(' ', two.w1, two.w2) AS phrase, 1 AS k, two.n AS a, x.n AS l, y.n AS r
+  FROM two JOIN one x USING (lang, w1) JOIN one y ON y.lang = two.lang AND y.w1 = two.w2 LEFT JOIN inside i ON (i.lang, i.w1, i.w2) = (two.lang, two.w1, two.w2)
+  WHERE i.n IS NULL OR 100 * i.n < 50 * two.n
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.w1, t.w2, t.w3), 1, t.n, x.n, y.n
+  FROM three t JOIN one x ON (x.lang, x.w1) = (t.lang, t.w1) JOIN two y ON (y.lang, y.w1, y.w2) = (t.lang, t.w2, t.w3)
+  UNION ALL
+  SELECT t.lang, concat_ws(' ', t.w1, t.w2, t.w3), 2, t.n, x.n, y.n
+  FROM three t JOIN two x ON (x.lang, x.w1, x.w2) = (t.lang, t.w1, t.w2) JOIN one y ON (y.lang, y.w1) = (t.lang, t.w3)),
+scored AS (
+  SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, size.n, score
+FROM weakest JOIN size USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, lexical_search, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
+from . import chat, collocations, decontaminate, exact_dedup, lexical_search, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
 from .common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -84,6 +84,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -91,4 +95,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_mix_sources, op3_decontaminate, op4_simhash_dedup, op5_suffix_dedup, op6_toxicity,
-    op7_warc, op8_exact_dedup, op9_secret_scan, op10_url_filter, op11_lexical_search, pipeline)}
+    op7_warc, op8_exact_dedup, op9_secret_scan, op10_url_filter, op11_lexical_search, op12_collocations,
+    pipeline)}
