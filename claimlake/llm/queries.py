@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontaminate, exact_dedup, lexical_search, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
+from . import (chat, collocations, decontaminate, exact_dedup, html_extract, lexical_search, mixing, secrets, simhash, suffix_dedup, toxicity,
+               url_filter, warc)
 from .common import table
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -88,6 +89,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_phrases(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -96,4 +102,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_mix_sources, op3_decontaminate, op4_simhash_dedup, op5_suffix_dedup, op6_toxicity,
     op7_warc, op8_exact_dedup, op9_secret_scan, op10_url_filter, op11_lexical_search, op12_collocations,
-    pipeline)}
+    op13_html_extract, pipeline)}
