@@ -32,8 +32,8 @@ from .common import fresh, stash
 TOP = 10
 CHUNK_CHARS = 2_000_000
 BLOCK_POSTINGS = 4_000_000
-#: Postings of one task of the index.
-PART_POSTINGS = 8_000_000
+#: Postings of an average part of the index; the parts of the longest documents hold several times as many.
+PART_POSTINGS = 1_000_000
 _TERM_BYTES = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256)).lower()
 
 
