@@ -34,15 +34,56 @@ MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 NO_LANG = "und"
 #: 2^22 words are 32 MB.
 FILTER_WORDS = 1 << 22
+#: Bytes of text that a task reads at a time (besides one document).
+_BATCH_BYTES = 1 << 24
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z lower-cased, every break a full stop, tab a space.
 _FOLD = bytes(46 if c in _BREAKS else 32 if c == 9 else c for c in range(256)).lower()
-_STOP = b"."
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words in order, as UTF-8, with a full stop wherever a piece ends."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).replace(_STOP, b" . ").split(b" ")
+def folded(text: str | None) -> bytes:
+    """UTF-8 with every break a full stop and every tab a space."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
+
+
+_LOW_BYTES = np.array([(1 << 8 * i) - 1 for i in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def word_numbers(blob: bytes, seed: int) -> tuple[np.ndarray, ...]:
+    """The words and stops of a folded text that ends in 16 spaces: where each begins, its length, its number
+    (0 for a stop), and its first and next eight bytes (of words over 16 bytes, the number's hash of all bytes)."""
+    data = np.frombuffer(blob, np.uint8)
+    stop = data == 46
+    inside = ~(stop | (data == 32))
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    end = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    at = np.flatnonzero(begin | stop)
+    word = ~stop[at]
+    size = np.ones(len(at), np.int64)
+    size[word] = end - at[word]
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+
+    def packed(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(eight[starts]).view(np.uint64).ravel() & _LOW_BYTES[np.minimum(sizes, 8)]
+    first, second = packed(at, size), np.zeros(len(at), np.uint64)
+    more = np.flatnonzero(size > 8)
+    second[more] = packed(at[more] + 8, size[more] - 8)
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        second[long] = [xxhash.xxh64_intdigest(blob[a:a + n], seed) for a, n in zip(at[long].tolist(), size[long].tolist())]
+    h = _mix(xxhash.xxh64_intdigest(b"", seed), [first.view(np.int64), second.view(np.int64), size])
+    h[h == 0] = 1
+    h[~word] = 0
+    return at, size, h, first, second
+
+
+def _rows(langs: list[str], ids, words, numbers, counts) -> pa.RecordBatch:
+    n = len(langs)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()), ids if ids is not None else pa.nulls(n, pa.list_(pa.int64())),
+         words if words is not None else pa.nulls(n, pa.string()), *(x if x is not None else pa.nulls(n, pa.int64()) for x in (numbers, counts))],
+        ["lang", "ids", "word", "id", "n"])
 
 
 def _occurrences(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> DataFrame:
@@ -51,36 +92,36 @@ def _occurrences(docs: DataFrame, text_col: str, lang_col: str, seed: int) -> Da
     own = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"),
                       F.col(text_col).cast("string").alias("text"))
 
+    def flush(langs: list[str], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        blob = b" ".join([*texts, b" " * 16])
+        at, size, ids, first, second = word_numbers(blob, seed)
+        begins = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
+        cuts = np.searchsorted(at, begins)
+        yield _rows(langs, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids.view(np.int64))), None, None, None)
+        kinds = {x: i for i, x in enumerate(sorted(set(langs)))}
+        lang_of = np.array([kinds[x] for x in langs], np.int32).repeat(np.diff(cuts))
+        for lang, i in kinds.items():
+            mine = np.flatnonzero((lang_of == i) & (ids != 0))
+            mine = mine[np.argsort(ids[mine])]
+            # Words that share a number stay apart here, and the dictionary shows them.
+            run = np.flatnonzero(np.r_[True, np.logical_or.reduce([x[mine[1:]] != x[mine[:-1]] for x in (ids, first, second, size)])]) if len(mine) else mine
+            some = mine[run]
+            words = [blob[a:a + n].decode("utf-8", "surrogatepass") for a, n in zip(at[some].tolist(), size[some].tolist())]
+            yield _rows([lang] * len(some), None, pa.array(words, pa.string()), pa.array(ids[some].view(np.int64)),
+                        pa.array(np.diff(np.r_[run, len(mine)])))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low in range(0, whole.num_rows, 2048):
-                b = whole.slice(low, 2048)
-                numbers: dict[bytes, int] = {b"": 0, _STOP: 0}
-                rows, at, langs = [], [0], b.column("lang").to_pylist()
-                for text in b.column("text"):
-                    words = tokens(text.as_py())
-                    for w in set(words) - numbers.keys():
-                        numbers[w] = xxhash.xxh64_intdigest(w, seed) or 1
-                    ids = np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
-                    # Empty strings stand between spaces; a full stop is the end of a piece.
-                    keep = ids != 0
-                    if not keep.all():
-                        keep |= np.fromiter((w == _STOP for w in words), bool, len(words))
-                    rows.append(ids[keep])
-                    at.append(at[-1] + len(rows[-1]))
-                flat = np.concatenate(rows).view(np.int64)
-                names = {v: w.decode("utf-8", "surrogatepass") for w, v in numbers.items() if v}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)),
-                     pa.nulls(len(langs), pa.string()), pa.nulls(len(langs), pa.int64()), pa.nulls(len(langs), pa.int64())],
-                    ["lang", "ids", "word", "id", "n"])
-                lang_of = np.array([langs.index(x) for x in langs], np.int32).repeat([len(r) for r in rows])
-                for lang in sorted(set(lang_of.tolist())):
-                    ids, n = np.unique(flat[(lang_of == lang) & (flat != 0)], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([langs[lang]] * len(ids), pa.string()), pa.nulls(len(ids), pa.list_(pa.int64())),
-                         pa.array([names[i] for i in ids.view(np.uint64).tolist()], pa.string()), pa.array(ids), pa.array(n)],
-                        ["lang", "ids", "word", "id", "n"])
+        langs, texts, held = [], [], 0
+        for b in batches:
+            for lang, text in zip(b.column("lang"), b.column("text")):
+                langs.append(lang.as_py())
+                texts.append(folded(text.as_py()))
+                held += len(texts[-1])
+                if held >= _BATCH_BYTES:
+                    yield from flush(langs, texts)
+                    langs, texts, held = [], [], 0
+        if texts:
+            yield from flush(langs, texts)
     return own.mapInArrow(run, "lang string, ids array<long>, word string, id long, n long")
 
 
@@ -159,16 +200,15 @@ def _phrase_counts(occurrences: DataFrame, words: int, frequent: np.ndarray, min
                 at = at[:-1][np.diff(at) == 1]
                 if not len(at):
                     continue
-                codes, inverse = np.unique(ids, return_inverse=True)
-                key = inverse[at].astype(np.int64)
-                parts = [key]
-                for i in range(1, words):
-                    _, key = np.unique(key * len(codes) + inverse[at + i], return_inverse=True)
-                    parts.append(key)
-                _, first, count = np.unique(key, return_index=True, return_counts=True)
+                found = [ids[at + i] for i in range(words)]
+                h = _mix(0, found)
+                order = np.argsort(h)
+                found, h = [x[order] for x in found], h[order]
+                # A group ends where a word changes; a chance equality of two phrases' hashes only makes more groups.
+                starts = np.flatnonzero(np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in found])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([langs[lang]] * len(first), pa.string()), *[pa.array(ids[at[first] + i]) for i in range(words)],
-                     pa.array(count)], ["lang", *names, "n"])
+                    [pa.repeat(pa.scalar(langs[lang], pa.string()), len(starts)), *[pa.array(x[starts]) for x in found],
+                     pa.array(np.diff(np.r_[starts, len(h)]))], ["lang", *names, "n"])
     schema = ", ".join(["lang string", *[f"{x} long" for x in names], "n long"])
     return (occurrences.mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
             .filter(F.col("n") >= min_count))
@@ -193,7 +233,7 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     empty table, or one without frequent phrases, gives no rows. Other columns are not touched.
     """
     for seed in range(8):
-        first = stash(_occurrences(docs, text_col, lang_col, seed), "occurrences")
+        first = stash(_occurrences(docs, text_col, lang_col, seed), "occurrences", compression="zstd")
         listed = stash(first.filter("word IS NOT NULL").groupBy("lang", "word", "id").agg(F.sum("n").alias("n")), "words")
         if listed.groupBy("id").agg(F.min("word").alias("a"), F.max("word").alias("b")).filter("a <> b").isEmpty():
             break

@@ -23,11 +23,11 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{tag}"
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write a narrow table to the shared folder and read it back: lineage is cut there, and
     a lost executor costs only its running tasks."""
     path = shared_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
