@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -25,8 +24,6 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
                           conf={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-", dir="/tmp"))
     root = shared_dir(spark, f"bench-{int(time.time())}")
     t_all = time.time()
     rows: dict[str, int] = {}

@@ -2,8 +2,8 @@
 
 ``scd2_apply`` rebuilds the history table from the previous history and one new load
 with a full outer join on the business key (one shuffle on the key, which is unique per
-row, so no hot group). The result is written as a new table version; the previous
-version is never read and overwritten by the same job.
+row, so no hot group). ``changed_rows`` reduces a load to the rows that change anything, so that a
+history kept in partitions is rewritten only where a row changes (``plans/snapshots.py``).
 """
 
 from __future__ import annotations
@@ -81,6 +81,25 @@ def scd2_apply(history: DataFrame | None, load: DataFrame, keys: Sequence[str],
     return closed.unionByName(j.select(F.inline(rows).alias(*hist_cols)))
 
 
+def fingerprint(*cols: str) -> Column:
+    """128 bits over the values of ``cols``; nulls differ from every value."""
+    return F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols]))
+
+
+def changed_rows(open_rows: DataFrame, load: DataFrame, keys: Sequence[str], check_cols: Sequence[str],
+                 fingerprint_col: str | None = None) -> DataFrame:
+    """The rows of ``load`` whose key is new or whose check columns differ from the open row's.
+
+    An anti join on (key, fingerprint of the check columns), for which the history gives nothing but
+    its keys and ``fingerprint_col`` (computed from its check columns if there is none)."""
+    known = open_rows.select(*[F.col(k).alias(f"_h_{k}") for k in keys],
+                             (F.col(fingerprint_col) if fingerprint_col else fingerprint(*check_cols)).alias("_h_print"))
+    on = fingerprint(*check_cols) == F.col("_h_print")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_h_{k}"))
+    return load.join(known, on, "left_anti")
+
+
 def as_of(history: DataFrame, ts: Column | str) -> DataFrame:
     """Rows valid at ``ts``: ``valid_from <= ts < valid_to`` (open rows have no end)."""
     t = (F.lit(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")

@@ -24,7 +24,8 @@ from ..sources.sinks import write_csv
 from .project import MODELS, Project, _ensure_loaded
 from .governance import governed_view
 from .reports import REPORTS
-from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, snapshot_source
+from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, run_snapshot, snapshot_source
+from .snapshots import history as stored_history
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -188,22 +189,15 @@ def checks_custom(prj):
 
 # ----------------------------------------------------------------------------- history
 
-# Fixture loads: the first omits one noun, the second omits another and re-prices a third.
+# Fixture loads: a delivery of the orders up to a day, then a later delivery of all orders. New keys and changed
+# values arise from the orders in between.
 FIRST_LOAD_AT, SECOND_LOAD_AT = "2024-01-01 00:00:00", "2025-01-01 00:00:00"
-FIRST_LOAD_DROPS, SECOND_LOAD_DROPS, SECOND_LOAD_REPRICED = "WIDGET", "ROD", "RING"
+FIRST_LOAD_ORDERED_UNTIL = "1997-06-30"
 
 
 def snapshot_loads(prj: Project) -> tuple[DataFrame, DataFrame]:
-    s = snapshot_source(prj)
-    noun = F.element_at(F.split(F.col("generic_name"), " "), -1)
-    first = s.where(noun != FIRST_LOAD_DROPS)
-    second = (s.where(noun != SECOND_LOAD_DROPS)
-              .withColumn("total_spending",
-                          F.when(noun == SECOND_LOAD_REPRICED,
-                                 (F.col("total_spending") * F.lit(1.1).cast("decimal(2,1)"))
-                                 .cast("decimal(18,2)"))
-                          .otherwise(F.col("total_spending"))))
-    return first, second
+    early = Project(prj.spark, RawSources.from_driver_tables(prj.spark, prj.sources.origin, FIRST_LOAD_ORDERED_UNTIL), prj.params)
+    return snapshot_source(early), snapshot_source(prj)
 
 
 def snapshot_history(prj: Project) -> DataFrame:
@@ -217,6 +211,16 @@ def snapshot_drug_spending(prj):
     return snapshot_history(prj)
 
 
+@query
+def snapshot_drug_spending_merged(prj):
+    """The same two loads merged year by year into a stored history, read back from its newest version."""
+    root = shared_dir(prj.spark, f"snapshot-{uuid.uuid4().hex}")
+    first, second = snapshot_loads(prj)
+    run_snapshot(prj, root, FIRST_LOAD_AT, first)
+    run_snapshot(prj, root, SECOND_LOAD_AT, second)
+    return stored_history(prj, root)
+
+
 @query
 def snapshot_drug_spending_as_of(prj):
     """State between the two loads (as-of read on the history)."""

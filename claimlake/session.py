@@ -38,6 +38,10 @@ def build_session(master: str | None = None, app: str = "claimlake",
     return spark
 
 
+#: Temporary checkpoint folders of local sessions that name none, by application id.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, sub: str = "") -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
@@ -48,8 +52,11 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     if not base:
         if not re.fullmatch(r"local(\[[^,]*(,\s*\d+)?\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="claimlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        # The setting can't be changed in a running session, so the folder is remembered here.
+        app = spark.conf.get("spark.app.id", "")
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="claimlake-ckpt-")
+        base = _LOCAL_DIRS[app]
     try:
         spark.sparkContext.setCheckpointDir(base)
     except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session

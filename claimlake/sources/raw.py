@@ -32,9 +32,10 @@ class RawSources:
         return self._frames[name]
 
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str) -> "RawSources":
-        """Inputs derived from the driver's TPC-H style tables (see ``fixtures``)."""
-        t = DriverTables(spark, sf_dir)
+    def from_driver_tables(cls, spark: SparkSession, sf_dir: str, ordered_until: str | None = None) -> "RawSources":
+        """Inputs derived from the driver's TPC-H style tables (see ``fixtures``); with
+        ``ordered_until``, as a delivery of that day held them: orders up to that date."""
+        t = DriverTables(spark, sf_dir, ordered_until)
         return cls(spark, {
             "raw_part_d_spending": lambda: fixtures.drug_spending_wide(t),
             "raw_prescribers": lambda: fixtures.prescribers(t),

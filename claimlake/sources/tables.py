@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -14,16 +15,20 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 class DriverTables:
     """Lazy parquet readers; Catalyst prunes columns and pushes filters into each scan."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, ordered_until: str | None = None):
         self.spark = spark
         self.root = root
+        self.ordered_until = ordered_until
 
     def path(self, name: str) -> str:
         p = os.path.join(self.root, f"{name}.parquet")
         return p
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        if name == "orders" and self.ordered_until:
+            df = df.where(F.col("o_orderdate") <= F.lit(self.ordered_until).cast("date"))
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

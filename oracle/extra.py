@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .base import MEAN, R, SK, YEARS, with_base
+import re
+
+from .base import BASE_CTES, MEAN, R, SK, YEARS, with_base
 from .sql import BODIES, _replace
 
 REPORT_YEAR = 2001
@@ -168,17 +170,17 @@ def _sk_ts(prefix: str, ts: str) -> str:
     return SK(*[f"{prefix}{k}" for k in _KEYS], ts)
 
 
+# The staged spending of the orders up to a day: the same statements over fewer orders, under other names.
+_STEPS = BASE_CTES[:BASE_CTES.index("cust AS (")].rstrip().rstrip(",")
+_EARLY = re.sub(r"\b(lines|spend_lines|spend_long2?|spend_wide0|raw_part_d_spending|spend_src|spend_unpivoted|stg_drug_spending)\b",
+                r"\1_early", _STEPS).replace(
+    "ON l.l_orderkey = o.o_orderkey", "ON l.l_orderkey = o.o_orderkey WHERE o.o_orderdate <= DATE '1997-06-30'", 1)
+
+
 _SNAPSHOT = f"""
-    WITH src AS (SELECT {_SNAP_COLS} FROM stg_drug_spending),
-    load1 AS (SELECT * FROM src WHERE generic_name NOT LIKE '% WIDGET'),
-    load2 AS (
-        SELECT generic_name, brand_name, manufacturer_name, drug_year, total_claims,
-               total_beneficiaries,
-               CASE WHEN generic_name LIKE '% RING'
-                    THEN CAST(total_spending * CAST(1.1 AS DECIMAL(2,1)) AS DECIMAL(18,2))
-                    ELSE total_spending END AS total_spending,
-               avg_spending_per_claim, avg_spending_per_beneficiary
-        FROM src WHERE generic_name NOT LIKE '% ROD'),
+    WITH {_EARLY},
+    load1 AS (SELECT {_SNAP_COLS} FROM stg_drug_spending_early),
+    load2 AS (SELECT {_SNAP_COLS} FROM stg_drug_spending),
     h1 AS (
         SELECT l.*, {_sk_ts('l.', _T1)} AS scd_id, {_T1} AS updated_at, {_T1} AS valid_from,
                CAST(NULL AS TIMESTAMP) AS valid_to
@@ -196,6 +198,7 @@ _SNAP_D = ("total_spending", "avg_spending_per_claim", "avg_spending_per_benefic
 _TS_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("updated_at", "valid_from", "valid_to"))
 q("snapshot_drug_spending", f"SELECT * REPLACE ({_TS_TEXT}) FROM ({_SNAPSHOT}) s",
   doubles=_SNAP_D)
+q("snapshot_drug_spending_merged", f"SELECT * REPLACE ({_TS_TEXT}) FROM ({_SNAPSHOT}) s", doubles=_SNAP_D)
 q("snapshot_drug_spending_as_of", f"""
     SELECT * REPLACE ({_TS_TEXT}) FROM ({_SNAPSHOT}) s
     WHERE valid_from <= TIMESTAMP '2024-06-30 00:00:00'

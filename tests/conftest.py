@@ -16,8 +16,6 @@ def spark():
     from claimlake.session import build_session
     s = build_session("local[4]", app="claimlake-tests", shuffle_partitions=4,
                       conf={"spark.driver.memory": "4g"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="claimlake-test-ckpt-"))
     yield s
     s.stop()
 

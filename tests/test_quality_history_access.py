@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimlake.operators import access, quality
-from claimlake.operators.history import DuplicateKeyError, as_of, scd2_apply
+from claimlake.operators.history import DuplicateKeyError, as_of, changed_rows, scd2_apply
 
 
 def test_column_checks_one_pass(spark):
@@ -117,24 +117,59 @@ def test_role_access_and_filters(spark):
     assert access.columns_for_role(eng, "analyst_customer_success").columns == eng.columns
 
 
+def _files(root):
+    return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
 def test_snapshot_versions(spark, tmp_dir):
     from claimlake.plans.catalog import project
     from claimlake.plans import snapshots as S
     from tests.conftest import SF_SMALL
     prj = project(spark, SF_SMALL)
     root = tmp_dir + "/snap"
-    v1 = S.run_snapshot(prj, root, "2024-01-01 00:00:00")
-    v2 = S.run_snapshot(prj, root, "2025-01-01 00:00:00")          # same load: no change
-    assert v1 != v2 and S.current_version(spark, root)[0] == 2
-    a, b = spark.read.parquet(v1), spark.read.parquet(v2)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    changed = S.snapshot_source(prj).withColumn(
-        "total_spending", (F.col("total_spending") + 1).cast("decimal(18,2)"))
-    S.run_snapshot(prj, root, "2026-01-01 00:00:00", load=changed)
-    h = S.history(prj, root)
-    n = S.snapshot_source(prj).count()
-    assert h.count() == 2 * n and h.where(F.col("valid_to").isNull()).count() == n
+    assert S.current_version(spark, root) == 0
+    source = S.snapshot_source(prj).cache()
+    n, t = source.count(), ["2024-01-01 00:00:00", "2025-01-01 00:00:00", "2026-01-01 00:00:00", "2027-01-01 00:00:00"]
+    assert S.run_snapshot(prj, root, t[0], source) == 1
+    first = _files(root)
+    assert S.run_snapshot(prj, root, t[1], source) == 2 and _files(root) == first    # unchanged: no data written
+    one_year = source.withColumn("total_spending", F.when(F.col("drug_year") == 1996, F.col("total_spending") + 1)
+                                 .otherwise(F.col("total_spending")).cast("decimal(18,2)"))
+    S.run_snapshot(prj, root, t[2], one_year)
+    assert {f.split("_year=")[1].split("/")[0] for f in _files(root) - first} == {"1996"}
+    lost = one_year.where("drug_year <> 1997 or generic_name > 'm'").unionByName(
+        one_year.limit(1).withColumn("generic_name", F.lit("NEW")).withColumn("drug_year", F.lit(1999)))
+    S.run_snapshot(prj, root, t[3], lost)
+    whole = None
+    for ts, load in zip(t, (source, source, one_year, lost)):
+        whole = scd2_apply(whole, load, S.SNAPSHOT_KEYS, S.SNAPSHOT_CHECK_COLS, F.lit(ts), check_duplicates=False)
+    got = S.history(prj, root)
+    assert got.columns == whole.columns and got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
+    # Earlier versions stay readable, by number and by time.
+    assert S.history(prj, root, version=2).count() == n == S.history(prj, root, at="2025-06-01 00:00:00").count()
+    changed = source.where("drug_year = 1996").count()
+    assert S.history(prj, root, version=3).count() == n + changed > n
     assert S.history_as_of(prj, root, "2025-06-01 00:00:00").count() == n
+    assert S.versions(spark, root).select("version").distinct().count() == 4
+    with pytest.raises(FileNotFoundError):
+        S.history(prj, root, version=9)
+    with pytest.raises(FileNotFoundError):
+        S.history(prj, root, at="2000-01-01 00:00:00")
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_dir):
+    from claimlake.plans import snapshots as S
+    S._commit(spark, tmp_dir, 1, "2024-01-01 00:00:00", {1996: "a"})
+    with pytest.raises(S.VersionTakenError):
+        S._commit(spark, tmp_dir, 1, "2024-01-01 00:00:00", {1996: "b"})
+    assert S._folders(spark, tmp_dir, 1) == {1996: "a"}
+
+
+def test_changed_rows(spark):
+    t1 = F.lit("2024-01-01 00:00:00")
+    h = scd2_apply(None, _load(spark, [("same", 1), ("chg", 1), ("null", None), ("gone", 1)]), KEYS, CHECK, t1)
+    load = _load(spark, [("same", 1), ("chg", None), ("null", None), ("new", 1)])
+    assert sorted(r.k for r in changed_rows(h, load, KEYS, CHECK).collect()) == ["chg", "new"]
 
 
 def test_governed_view(spark):
