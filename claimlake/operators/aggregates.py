@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,21 +44,68 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
 
 
+#: Half the share of a group between the two cut points around a percentile, and the sketch's accuracy.
+BRACKET, SKETCH_ACCURACY = 0.0005, 10_000
+_SALTS = 32
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` (null keys match) of many rows with the few rows of ``right`` for each key: the left
+    side's ``_salt`` spreads a hot key, and the right side has a copy for each salt."""
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    copies = copies.withColumnsRenamed({k: f"_r_{k}" for k in [*keys, "_salt"]})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in [*keys, "_salt"]]
+    return left.join(copies, on).drop(*[f"_r_{k}" for k in [*keys, "_salt"]])
+
+
 def percentile_cuts(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact interpolated percentiles, one row per ``by`` group (one in all without): rows are
-    counted per value, and the running counts of that small table locate each cut."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by)
-    upto = F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("_upto", upto).withColumn("_all", F.sum("_n").over(w))
-    cuts = []
+    """Exact interpolated percentiles, one row per ``by`` group (one in all without): ``_p0``, ``_p1``, ...
+
+    Bracketed selection. A quantile sketch gives each group cut points closely around every wanted
+    percentile; rows are counted per value and summed up per bucket between cut points, so it is known exactly which
+    bucket holds each wanted position; only the values of these buckets are put in order. A bucket
+    holds about ``2 * BRACKET`` of its group's rows, so no task has a whole group. The sketch decides how
+    much is sorted, never the result. Nulls are left out; a group without values has no row.
+    """
+    by = list(by)
+    rows = df.where(F.col(value).isNotNull()).select(*by, value)
+    points = sorted({min(1.0, max(0.0, p + d)) for p in ps for d in (-BRACKET, BRACKET)})
+    cuts = rows.groupBy(*by).agg(F.percentile_approx(value, points, SKETCH_ACCURACY).alias("_cuts"))
+    counts = (rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(_SALTS)).cast("int")))
+    if by:
+        placed = _salted(counts, cuts, by)
+    else:
+        placed = counts.withColumn("_cuts", cuts.scalar())
+    below = [F.when(F.get("_cuts", F.lit(i)) < F.col(value), 1).otherwise(0) for i in range(len(points))]
+    placed = placed.withColumn("_b", functools.reduce(Column.__add__, below)).drop("_cuts")
+    # One entry for each bucket: at most one more than there are points.
+    ladder = (placed.groupBy(*by, "_b").agg(F.sum("_n").alias("_n")).groupBy(*by)
+              .agg(F.sum("_n").alias("_all"), F.sort_array(F.collect_list(F.struct("_b", "_n"))).alias("_ladder")))
+    before = F.transform("_ladder", lambda x, i: F.struct(
+        x["_b"].alias("_b"), x["_n"].alias("_n"),
+        F.aggregate(F.slice("_ladder", 1, i), F.lit(0).cast("bigint"), lambda a, y: a + y["_n"]).alias("_before")))
+
+    def position(p: float) -> Column:
+        return (F.col("_all") - 1) * F.lit(float(p))
+
+    def holder(k: Column) -> Column:
+        return F.element_at(F.filter("_steps", lambda x: (x["_before"] <= k) & (k < x["_before"] + x["_n"])), 1)
+    wanted = F.array(*[holder(f(position(p))) for p in ps for f in (F.floor, F.ceil)])
+    held = (ladder.withColumn("_steps", before)
+            .select(*by, "_all", F.explode(F.array_distinct(wanted)).alias("_s"))
+            .select(*by, "_all", "_s._b", "_s._before"))
+    kept = _salted(placed, held, [*by, "_b"]) if by else placed.join(F.broadcast(held), "_b")     # two rows a percentile
+    upto = F.sum("_n").over(Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = kept.withColumn("_upto", F.col("_before") + upto)
+    out = []
     for p in ps:
-        pos = (F.col("_all") - 1) * F.lit(float(p))
+        pos = position(p)
         low, high = (F.min(F.when(F.col("_upto") > f(pos), F.col(value))) for f in (F.floor, F.ceil))
         part = F.max(pos - F.floor(pos))
-        cuts.append(F.when(part == 0, low.cast("double"))
-                    .otherwise((F.lit(1.0) - part) * low + part * high))
-    return ranked.groupBy(*by).agg(*[c.alias(f"_p{i}") for i, c in enumerate(cuts)])
+        out.append(F.when(part == 0, low.cast("double"))
+                   .otherwise((F.lit(1.0) - part) * low + part * high))
+    return ranked.groupBy(*by).agg(*[c.alias(f"_p{i}") for i, c in enumerate(out)])
 
 
 def percentile(value: str | Column, p: float, accuracy: int | None = None) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import flag, mean, ratio, ratio_or, round_to, surrogate_key
 from ..operators.aggregates import (count_distinct_if, distinct_count, distinct_per_group,
-                                    join_groups, percentile, sum_if, top_labels)
+                                    join_groups, percentile, percentile_cuts, sum_if, top_labels)
 from ..operators.quality import anomaly_status, any_abs_above, completeness, group_zscores
 from ..operators.windows import (pareto_tier, ranked_running_total, share_of_group,
                                  share_of_total)
@@ -44,6 +44,18 @@ def _distinct(prj: Project, c: str) -> F.Column:
     return distinct_count(c, prj.params.approx_distinct_rsd)
 
 
+def _with_distincts(prj: Project, agg: DataFrame, d: DataFrame, keys: list[str], counted: dict[str, F.Column]) -> DataFrame:
+    """``agg`` (one row per ``keys`` group of ``d``) with a distinct count of each column: two plain aggregates
+    each, so that several counts do not expand the rows."""
+    rsd = prj.params.approx_distinct_rsd
+    for name, c in counted.items():
+        rows = d.withColumn("_counted", c)
+        part = (rows.groupBy(*keys).agg(distinct_count("_counted", rsd).alias(name)) if rsd
+                else distinct_per_group(rows, keys, "_counted", name))
+        agg = join_groups(agg, part, keys)
+    return agg
+
+
 def _zero() -> F.Column:
     return F.lit(0).cast("decimal(18,2)")
 
@@ -170,17 +182,22 @@ def mart_specialty_adoption_funnel(prj: Project) -> DataFrame:
 def mart_prescriber_retention_cohort(prj: Project) -> DataFrame:
     p = prj.model("int_prescriber_summary").where(F.col("total_claims") > 0)
     acc = prj.params.approx_percentile_accuracy
-    agg = p.groupBy("prescriber_year", "specialty", "census_region", "engagement_tier").agg(
+    keys = ["prescriber_year", "specialty", "census_region", "engagement_tier"]
+    agg = p.groupBy(*keys).agg(
         _distinct(prj, "npi").alias("prescriber_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_drug_cost").alias("total_drug_cost"),
         mean("total_claims", 0).alias("avg_claims_per_prescriber"),
         mean("total_drug_cost", 2).alias("avg_cost_per_prescriber"),
         mean("brand_prescribing_rate_pct", 1).alias("avg_brand_rate_pct"),
-        mean("avg_beneficiary_age", 1).alias("avg_patient_age"),
-        # Interpolated percentiles, shown to 6 decimals.
-        round_to(percentile("total_claims", 0.5, acc), 6).alias("median_claims"),
-        round_to(percentile("total_claims", 0.9, acc), 6).alias("p90_claims"))
+        mean("avg_beneficiary_age", 1).alias("avg_patient_age"))
+    if acc:
+        cuts = p.groupBy(*keys).agg(*[percentile("total_claims", x, acc).alias(f"_p{i}") for i, x in enumerate((0.5, 0.9))])
+    else:
+        cuts = percentile_cuts(p, "total_claims", (0.5, 0.9), keys)
+    # Interpolated percentiles, shown to 6 decimals.
+    agg = (join_groups(agg, cuts, keys)
+           .withColumns({"median_claims": round_to(F.col("_p0"), 6), "p90_claims": round_to(F.col("_p1"), 6)}).drop("_p0", "_p1"))
     return _with_key(agg, "cohort_key", "prescriber_year", "specialty", "census_region",
                      "engagement_tier")
 
@@ -310,9 +327,6 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
     keys = ["drug_year", "therapeutic_area", "is_focus_area"]
     spend = F.sum("total_spending")
     agg = d.groupBy(*keys).agg(
-        _distinct(prj, "generic_name").alias("drug_count"),
-        count_distinct_if(F.col("brand_name") != "", "brand_name", prj.params.approx_distinct_rsd)
-        .alias("brand_count"),
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         F.sum("total_30day_fills").alias("total_30day_fills"),
@@ -323,6 +337,9 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
         .alias("specialty_spending_pct"),
         ratio(sum_if(F.col("brand_generic_flag") == "Brand", "total_spending", _zero()),
               spend, 1, 100).alias("brand_spending_pct"))
+    agg = _with_distincts(prj, agg, d, keys, {
+        "drug_count": F.col("generic_name"),
+        "brand_count": F.when(F.col("brand_name") != "", F.col("brand_name"))})
     # Both sides are aggregates keyed by year x area x focus (bounded by the area map).
     top = top_labels(d, keys, "generic_name", "total_spending", "top_drug_by_spending")
     out = agg.join(top, keys, "left")
@@ -381,8 +398,7 @@ def mart_kpi_scorecard(prj: Project) -> DataFrame:
     d = _suppressed_drugs(prj)
     spend = F.sum("total_spending")
     focus = F.col("is_focus_area")
-    return d.groupBy("drug_year").agg(
-        _distinct(prj, "generic_name").alias("total_drugs"),
+    agg = d.groupBy("drug_year").agg(
         F.sum("total_claims").alias("total_claims"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         spend.alias("total_spending"),
@@ -393,8 +409,9 @@ def mart_kpi_scorecard(prj: Project) -> DataFrame:
         ratio(sum_if(F.col("brand_generic_flag") == "Brand", "total_spending", _zero()),
               spend, 1, 100).alias("brand_spending_pct"),
         sum_if(focus, "total_spending", _zero()).alias("focus_area_spending"),
-        sum_if(focus, "total_claims").alias("focus_area_claims"),
-        _distinct(prj, "therapeutic_area").alias("therapeutic_area_count"))
+        sum_if(focus, "total_claims").alias("focus_area_claims"))
+    return _with_distincts(prj, agg, d, ["drug_year"], {
+        "total_drugs": F.col("generic_name"), "therapeutic_area_count": F.col("therapeutic_area")})
 
 
 # ----------------------------------------------------------------------- data quality

@@ -2,6 +2,8 @@
 
 import os
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,27 @@ def test_pareto_tier_edges(spark):
     assert out == ["Top 80%", "Next 15%", "Next 15%", "Long Tail"]
 
 
+def test_percentile_cuts_of_a_hot_group(spark, capsys):
+    """A million distinct values in one group: equal to Spark's own, and no task orders more than a bucket."""
+    df = spark.range(1_000_000).select(F.lit("hot").alias("g"), ((F.col("id") * 7919) % 1_000_003).cast("decimal(18,2)").alias("v"))
+    df = df.unionByName(spark.createDataFrame([(None, 3), (None, 5), ("one", 4), ("none", None)], "g string, v int")
+                        .withColumn("v", F.col("v").cast("decimal(18,2)")))
+    ps = (0.0, 0.25, 0.5, 0.9, 1.0)
+    for by in (["g"], []):
+        got = A.percentile_cuts(df, "v", ps, by)
+        want = df.where("v is not null").groupBy(*by).agg(*[F.percentile("v", F.lit(p)).alias(f"_p{i}") for i, p in enumerate(ps)])
+        key = (lambda r: str(r["g"])) if by else str
+        for a, b in zip(sorted(got.collect(), key=key), sorted(want.collect(), key=key), strict=True):
+            assert [a[x] for x in by] == [b[x] for x in by]
+            assert [a[f"_p{i}"] for i in range(5)] == pytest.approx([b[f"_p{i}"] for i in range(5)], rel=1e-12)
+        got.explain()
+        plan = capsys.readouterr().out
+        assert "percentile(" not in plan.replace("percentile_approx(", "") and "CartesianProduct" not in plan
+        assert not re.search(r"Exchange SinglePartition.*\n[^\n]*\n?[^\n]*Window", plan)
+        windows = re.findall(r"Window \[.*\], \[([^\]]*)\], \[", plan)
+        assert windows and all("_b" in w for w in windows)
+
+
 def test_percentile_tiers_global(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (10,), (0,), (None,)], "c int")
     out = A.percentile_tiers(df, "c", "tier", [("High", 0.75), ("Medium", 0.25)], "Low",
