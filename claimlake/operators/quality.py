@@ -7,10 +7,10 @@ map side because counts are partially aggregated first).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ("check_name", "model", "column_name", "violations", "severity", "status")
@@ -68,6 +68,14 @@ def run_column_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return out
 
 
+def rejection_checks(spark: SparkSession, counts: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """Check rows (warnings) of the ingest's counters: one for each input and reason of rejection."""
+    rows = [(f"rejected_{name}_{reason.replace(' ', '_')}", name, reason, int(n)) for name, by in counts.items()
+            for reason, n in by.items()]
+    df = spark.createDataFrame(rows, "check_name string, model string, column_name string, violations bigint")
+    return df.withColumn("severity", F.lit("warn")).withColumn("status", _status(F.col("violations"), "warn"))
+
+
 def custom_check(violating_rows: DataFrame, name: str, model: str, severity: str = "error") -> DataFrame:
     """A custom check is a query returning bad rows; its result row counts them."""
     return violating_rows.agg(F.count(F.lit(1)).alias("_v")).select(

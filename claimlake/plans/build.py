@@ -18,6 +18,7 @@ from dataclasses import replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import rejection_checks
 from ..params import DEFAULT, FIXTURE, Params
 from ..sources.raw import INPUTS, RawSources
 from ..sources.sinks import AUDIT_COLUMN, with_audit, write_table
@@ -40,6 +41,9 @@ LAYOUT = {
 }
 
 
+INGEST_CHECKS = "_ingest_checks"
+
+
 def _run_concurrently(jobs: dict[str, Callable[[], None]], threads: int) -> dict[str, float]:
     """Run independent write jobs; seconds per job (jobs overlap when threads > 1)."""
     def timed(item):
@@ -81,15 +85,31 @@ def ingest_csv(spark: SparkSession, paths: dict[str, str], years: Sequence[int],
                ) -> dict[str, dict[str, int]]:
     """Read delivered CSV files, filter them and write the five inputs as tables.
 
-    Returns rows read and rows kept per input, observed while each table is written.
+    Returns rows read and rows kept per input, observed while each table is written. The same pass counts the
+    rows that are malformed and the values that do not cast; the counts are written as check rows
+    (``_ingest_checks``, which the build adds to its check table), and the rows themselves to
+    ``_rejected/<input>`` with their reasons, for inputs that have any.
     """
     seen: dict = {}
     src = RawSources.from_csv(spark, paths, years, rows=seen)
     for name in INPUTS:
         write_table(src[name], os.path.join(out_dir, name), audit=True)
+    rejected = {n: {k: v for k, v in a.get.items() if k != "rows"} for n, (a, _) in seen.items()}
+    write_table(rejection_checks(spark, rejected), os.path.join(out_dir, INGEST_CHECKS))
+    for name, counts in rejected.items():
+        if any(counts.values()):
+            write_table(src.rejected(name), os.path.join(out_dir, "_rejected", name))
     return {n: {"rows_read": a.get["rows"], "rows_kept": b.get["rows"]} for n, (a, b) in seen.items()}
 
 
+def ingest_checks(spark: SparkSession, raw_dir: str) -> DataFrame | None:
+    """The check rows that a CSV ingest wrote beside its tables, if it did."""
+    try:
+        return spark.read.parquet(os.path.join(raw_dir, INGEST_CHECKS))
+    except AnalysisException:
+        return None
+
+
 def params_for(spark: SparkSession, raw_dir: str, years: Sequence[int] = (),
                release_year: int | None = None) -> Params:
     """Project parameters of written inputs: the years asked for, else those the spending extract has
@@ -127,7 +147,8 @@ def build(spark: SparkSession, raw_dir: str, warehouse: str, params: Params = FI
         times[f"layer_{layer}"] = time.time() - t0
     if run_checks and not tags:
         t0 = time.time()
-        write_table(check_results(prj), os.path.join(warehouse, "_check_results"))
+        results, delivered = check_results(prj), ingest_checks(spark, raw_dir)
+        write_table(results if delivered is None else results.unionByName(delivered), os.path.join(warehouse, "_check_results"))
         write_table(source_freshness(prj), os.path.join(warehouse, "_source_freshness"))
         times["checks"] = time.time() - t0
     if snapshot_at and not tags:

@@ -187,6 +187,24 @@ def checks_custom(prj):
                              "assert_brand_generic_sum", "stg_prescribers", "warn"))
 
 
+@query
+def ingest_rejected_casts(prj):
+    """Rejected values of a delivery, counted per column in the pass that reads it: the prescriber extract as CSV, with
+    the claims of every npi that ends in 7 written in words."""
+    from ..operators.quality import rejection_checks
+    from ..sources.raw import REASONS
+    path = shared_dir(prj.spark, f"delivery-{uuid.uuid4().hex}")
+    words = F.when(F.col("prscrbr_npi").cast("string").endswith("7"), F.concat(F.col("tot_clms").cast("string"), F.lit(" claims")))
+    write_csv(prj.raw("raw_prescribers").withColumn("tot_clms", F.coalesce(words, F.col("tot_clms").cast("string"))), path)
+    seen: dict = {}
+    src = RawSources.from_csv(prj.spark, {"raw_prescribers": path}, (), filters=False, rows=seen)
+    src["raw_prescribers"].write.format("noop").mode("overwrite").save()
+    counts = {k: v for k, v in seen["raw_prescribers"][0].get.items() if k != "rows"}
+    listed = src.rejected("raw_prescribers").select(F.explode(REASONS).alias("column_name")).groupBy("column_name").agg(F.count(F.lit(1)).alias("listed"))
+    return (rejection_checks(prj.spark, {"raw_prescribers": counts}).join(listed, "column_name", "left")
+            .select("column_name", "violations", "status", F.coalesce("listed", F.lit(0).cast("bigint")).alias("listed")))
+
+
 # ----------------------------------------------------------------------------- history
 
 # Fixture loads: a delivery of the orders up to a day, then a later delivery of all orders. New keys and changed

@@ -7,7 +7,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -37,7 +37,7 @@ class MissingColumnError(ValueError):
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             infer: bool = False, check_header: bool = False) -> DataFrame:
+             infer: bool = False, check_header: bool = False, corrupt_col: str | None = None) -> DataFrame:
     """CSV with header, double-quote quoting, malformed fields as NULL (PERMISSIVE).
 
     An explicit schema binds by position (``check_header``: names must equal the header);
@@ -45,6 +45,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     """
     r = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
          .option("mode", "PERMISSIVE").option("enforceSchema", not check_header))
+    if corrupt_col:
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -69,22 +71,45 @@ def first_present(df: DataFrame, candidates: Sequence[str]) -> str | None:
     return None
 
 
+#: Name of the reason "the row has another number of fields than the header, or is not CSV".
+MALFORMED = "malformed row"
+
+
 def read_by_header(spark: SparkSession, path: str, schema: StructType,
-                   candidates: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                   candidates: Mapping[str, Sequence[str]] | None = None,
+                   casts: Mapping[str, str] | None = None, reasons_col: str | None = None) -> DataFrame:
     """A CSV file (or a folder of files with one header) as ``schema``, bound by header name.
 
     Header names are cleaned (``clean_name``); each column is the first present of its
     ``candidates`` (its own name unless given), so order and further columns do not matter. A column
     that is missing raises, and so does a file of the folder whose header differs from the first.
+
+    With ``reasons_col`` each row also gets an array of what was rejected in it: the columns of ``casts`` whose text
+    is not blank and does not cast to their type, or else ``MALFORMED``. Rejected rows are kept (their values are
+    null once cast); ``rejection_counts`` counts them in the pass that reads the file.
     """
     header = read_csv(spark, path).columns
     text = StructType([StructField(c, StringType()) for c in header])
-    rows = normalise_columns(read_csv(spark, path, text, check_header=True))
+    corrupt = f"_corrupt_{len(header)}"
+    if reasons_col:
+        text = text.add(corrupt, StringType())
+    rows = normalise_columns(read_csv(spark, path, text, check_header=True, corrupt_col=corrupt if reasons_col else None))
     found = {f.name: first_present(rows, (candidates or {}).get(f.name, (f.name,))) for f in schema.fields}
     missing = [name for name, c in found.items() if c is None]
     if missing:
         raise MissingColumnError(f"{path}: no column for {missing}; header has {rows.columns}")
-    return rows.select(*[F.col(found[f.name]).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    out = [F.col(found[f.name]).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    if reasons_col:
+        failed = [F.when(F.col(corrupt).isNull() & (F.trim(found[c]) != "") & F.col(found[c]).try_cast(t).isNull(), F.lit(c)) for c, t in (casts or {}).items()]
+        malformed = F.when(F.col(corrupt).isNotNull(), F.lit(MALFORMED))
+        out.append(F.array_compact(F.array(malformed, *failed)).alias(reasons_col))
+    return rows.select(*out)
+
+
+def rejection_counts(casts: Mapping[str, str], reasons_col: str) -> list[Column]:
+    """Aggregates for an observation: the rows, and how many were rejected for each reason."""
+    reasons = [MALFORMED, *casts]
+    return [F.count(F.lit(1)).alias("rows")] + [F.count_if(F.array_contains(reasons_col, r)).alias(r) for r in reasons]
 
 
 def filter_values(df: DataFrame, candidates: Sequence[str], values: Sequence[str]) -> DataFrame:

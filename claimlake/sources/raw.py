@@ -14,6 +14,7 @@ from .tables import DriverTables
 RAW_TABLES = ("raw_part_d_spending", "raw_prescribers", "raw_prescribers_drug")
 SEED_TABLES = ("seed_therapeutic_area_map", "seed_state_region_map")
 INPUTS = RAW_TABLES + SEED_TABLES
+REASONS = "_rejected_for"
 
 
 class RawSources:
@@ -25,6 +26,8 @@ class RawSources:
         self._builders = builders
         self._frames: dict[str, DataFrame] = {}
         self.origin = origin
+        #: Rejected rows of an input, where it is read from files.
+        self.rejected: Callable[[str], DataFrame] | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -68,13 +71,14 @@ class RawSources:
 
         ``paths`` maps each input name to a file or folder. With ``filters`` the prescriber extract keeps
         the target specialties, and the prescriber-drug extract the drugs of the area map, as
-        the original ingest does. ``rows`` receives two observations for each input, of the rows read
-        and the rows kept, filled by the job that reads it.
+        the original ingest does. ``rows`` receives two observations for each input, filled by the job that reads it:
+        of the rows read, with the number rejected for each reason (a column whose text does not cast, a
+        malformed row), and of the rows kept. ``rejected(name)`` gives the rejected rows with their reasons.
         """
         from . import schemas
         from .fixtures import SPENDING_STUBS
         from .ingest import (GENERIC_CANDIDATES, SPECIALTY_CANDIDATES, TARGET_SPECIALTIES,
-                             filter_to_reference, filter_values, read_by_header)
+                             filter_to_reference, filter_values, read_by_header, rejection_counts)
 
         candidates = {"gnrc_name": GENERIC_CANDIDATES, "prscrbr_type": SPECIALTY_CANDIDATES}
         layouts = {"raw_part_d_spending": schemas.spending_schema(years, SPENDING_STUBS),
@@ -83,9 +87,9 @@ class RawSources:
                    "seed_therapeutic_area_map": schemas.area_map_schema(),
                    "seed_state_region_map": schemas.region_map_schema()}
 
-        def read(name):
+        def read(name, reasons=None):
             known = candidates if name in RAW_TABLES else {}
-            return read_by_header(spark, paths[name], layouts[name], known)
+            return read_by_header(spark, paths[name], layouts[name], known, schemas.casts(name, layouts[name]), reasons)
 
         def kept(name, df):
             if filters and name == "raw_prescribers":
@@ -95,14 +99,15 @@ class RawSources:
             return df
 
         def build(name):
-            df = read(name)
             if rows is None:
-                return kept(name, df)
+                return kept(name, read(name))
             seen, left = Observation(f"{name} read"), Observation(f"{name} kept")
             rows[name] = (seen, left)
-            count = F.count(F.lit(1)).alias("rows")
-            return kept(name, df.observe(seen, count)).observe(left, count)
-        return cls(spark, {n: (lambda n=n: build(n)) for n in INPUTS}, origin=",".join(sorted(paths.values())))
+            checked = read(name, REASONS).observe(seen, *rejection_counts(schemas.casts(name, layouts[name]), REASONS))
+            return kept(name, checked.drop(REASONS)).observe(left, F.count(F.lit(1)).alias("rows"))
+        out = cls(spark, {n: (lambda n=n: build(n)) for n in INPUTS}, origin=",".join(sorted(paths.values())))
+        out.rejected = lambda name: read(name, REASONS).where(F.size(REASONS) > 0)
+        return out
 
     @classmethod
     def from_directory(cls, spark: SparkSession, path: str, fmt: str = "parquet") -> "RawSources":

@@ -52,3 +52,28 @@ def area_map_schema() -> StructType:
 
 def region_map_schema() -> StructType:
     return _text(("state_abbrev", "state_name", "census_region", "census_division"))
+
+
+# Types that staging casts the text columns to; what does not cast is counted at ingest.
+_MONEY, _RATE = "decimal(18,2)", "decimal(12,2)"
+PRESCRIBER_CASTS = {
+    "tot_clms": "bigint", "tot_benes": "int", "tot_drug_cst": _MONEY, "tot_30day_fills": _RATE,
+    "brnd_tot_clms": "bigint", "gnrc_tot_clms": "bigint", "brnd_tot_drug_cst": _MONEY, "gnrc_tot_drug_cst": _MONEY,
+    "opioid_tot_clms": "bigint", "opioid_tot_benes": "int", "antbtc_tot_clms": "bigint",
+    "bene_avg_age": "decimal(5,1)", "bene_feml_cnt": "int", "bene_male_cnt": "int",
+}
+PRESCRIBER_DRUG_CASTS = {
+    "tot_clms": "bigint", "tot_benes": "int", "tot_day_suply": "bigint", "tot_30day_fills": _RATE, "tot_drug_cst": _MONEY,
+}
+SPENDING_CASTS = {
+    "tot_spndng": _MONEY, "tot_clms": "bigint", "tot_benes": "bigint", "tot_dsg_unts": _MONEY,
+    "avg_spnd_per_clm": _RATE, "avg_spnd_per_bene": _RATE, "avg_spnd_per_dsg_unt_wghtd": _RATE,
+}
+
+
+def casts(name: str, schema: StructType) -> dict[str, str]:
+    """Column -> type of every column of an input that is cast from text."""
+    out = {f.name: f.dataType.simpleString() for f in schema.fields if f.dataType != StringType()}
+    if name == "raw_part_d_spending":
+        return out | {"tot_mftr": "int"} | {f.name: SPENDING_CASTS[f.name[:-5]] for f in schema.fields if f.name[:-5] in SPENDING_CASTS}
+    return out | {"raw_prescribers": PRESCRIBER_CASTS, "raw_prescribers_drug": PRESCRIBER_DRUG_CASTS}.get(name, {})

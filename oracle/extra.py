@@ -45,6 +45,17 @@ q("ingest_prescriber_drugs_in_map", """
           (SELECT upper(trim(generic_name)) FROM seed_therapeutic_area_map)""",
   doubles=("tot_drug_cst",))
 
+_CAST_COLUMNS = ("malformed row", "tot_clms", "tot_benes", "tot_drug_cst", "tot_30day_fills", "brnd_tot_clms", "gnrc_tot_clms",
+                 "brnd_tot_drug_cst", "gnrc_tot_drug_cst", "opioid_tot_clms", "opioid_tot_benes", "antbtc_tot_clms",
+                 "bene_avg_age", "bene_feml_cnt", "bene_male_cnt")
+q("ingest_rejected_casts", f"""
+    WITH bad AS (SELECT count(*) AS n FROM raw_prescribers WHERE CAST(prscrbr_npi AS VARCHAR) LIKE '%7' AND tot_clms IS NOT NULL),
+    c AS (SELECT unnest([{', '.join(repr(c) for c in _CAST_COLUMNS)}]) AS column_name)
+    SELECT column_name, CAST(CASE WHEN column_name = 'tot_clms' THEN n ELSE 0 END AS BIGINT) AS violations,
+           CASE WHEN column_name = 'tot_clms' AND n > 0 THEN 'warn' ELSE 'pass' END AS status,
+           CAST(CASE WHEN column_name = 'tot_clms' THEN n ELSE 0 END AS BIGINT) AS listed
+    FROM c, bad""")
+
 # ------------------------------------------------------------------- generic operators
 
 q("suppressed_cells_drug_spending", """

@@ -179,3 +179,30 @@ def test_delivered_csv_is_bound_by_header(spark, tmp_dir):
         f.write("state_abbrev,state_name\nNY,x\n")
     with pytest.raises(MissingColumnError):
         RawSources.from_csv(spark, paths, years)["seed_state_region_map"]
+
+
+def test_rejected_rows_and_casts_are_counted(spark, tmp_dir):
+    from claimlake.plans.build import ingest_checks, ingest_csv
+    years, paths = _delivery(tmp_dir)
+    with open(paths["raw_prescribers"]) as f:
+        header, first, second = f.read().splitlines()
+    cells = first.split(",")
+    at = header.split(",").index("tot_clms")
+    wrong = [",".join([*cells[:at], "seven", *cells[at + 1:]]), ",".join([*cells[:at], "7.5x", *cells[at + 1:]])]
+    blank = ",".join([*cells[:at], "  ", *cells[at + 1:]])
+    with open(paths["raw_prescribers"], "w") as f:
+        f.write("\n".join([header, first, second, *wrong, blank, "only,three,fields"]) + "\n")
+    with open(paths["seed_therapeutic_area_map"], "a") as f:
+        f.write("perhaps,Pain,Ibuprofen,false\n")
+    out = os.path.join(tmp_dir, "raw")
+    counts = ingest_csv(spark, paths, years, out)
+    assert counts["raw_prescribers"]["rows_read"] == 6
+    found = {(r.model, r.column_name): (r.violations, r.status) for r in ingest_checks(spark, out).collect()}
+    assert {k: v for k, v in found.items() if v[0]} == {
+        ("raw_prescribers", "tot_clms"): (2, "warn"), ("raw_prescribers", "malformed row"): (1, "warn"),
+        ("seed_therapeutic_area_map", "is_focus_area"): (1, "warn")}
+    assert found["raw_prescribers", "tot_benes"] == (0, "pass")
+    rejected = spark.read.parquet(os.path.join(out, "_rejected", "raw_prescribers"))
+    assert sorted(r._rejected_for for r in rejected.collect()) == [["malformed row"], ["tot_clms"], ["tot_clms"]]
+    assert sorted(os.listdir(os.path.join(out, "_rejected"))) == ["raw_prescribers", "seed_therapeutic_area_map"]
+    assert "_rejected_for" not in spark.read.parquet(os.path.join(out, "raw_prescribers")).columns
