@@ -27,14 +27,14 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op6_toxicity", "op9_secret_scan", "op10_url_filter"])
+@pytest.mark.parametrize("name", ["op6_toxicity", "op9_secret_scan", "op10_url_filter", "op13_html_extract"])
 def test_other_queries_cover_their_tables(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
-    table, key = ("pages", "page_id") if name == "op10_url_filter" else ("documents", "doc_id")
+    table, key = ("pages", "page_id") if name in ("op10_url_filter", "op13_html_extract") else ("documents", "doc_id")
     ids = [r[0] for r in df.select(key).collect()]
     assert sorted(ids) == sorted(r[0] for r in spark.read.parquet(f"{SF_SMALL}/{table}.parquet").select(key).collect())
 
