@@ -36,6 +36,8 @@ NO_LANG = "und"
 FILTER_WORDS = 1 << 22
 #: Bytes of text that a task reads at a time (besides one document).
 _BATCH_BYTES = 1 << 24
+#: Words of the relation that a task counts at a time (besides one document).
+_BATCH_WORDS = 1_500_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z lower-cased, every break a full stop, tab a space.
 _FOLD = bytes(46 if c in _BREAKS else 32 if c == 9 else c for c in range(256)).lower()
@@ -176,39 +178,40 @@ def _phrase_counts(occurrences: DataFrame, words: int, frequent: np.ndarray, min
     """The frequent phrases of ``words`` words (``lang``, ``w1``.., ``n``), from the filter of the frequent phrases one shorter."""
     names = [f"w{i + 1}" for i in range(words)]
 
+    def count(langs: list[str], sizes: np.ndarray, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for lang in sorted(set(langs)):
+            own = np.array([x == lang for x in langs])
+            # Documents are kept apart by a 0 after each, like pieces.
+            ids = np.insert(flat[own.repeat(sizes)], np.cumsum(sizes[own]), 0)
+            n = len(ids) - words + 2
+            if n < 2:
+                continue
+            # Occurrences one word shorter, by their first position, semi-joined with the frequent ones ...
+            shorter = [ids[i:i + n] for i in range(words - 1)]
+            at = np.flatnonzero(np.logical_and.reduce([s != 0 for s in shorter]))
+            at = at[_in_filter(frequent, _mix(_lang_bits(lang), [s[at] for s in shorter]))]
+            # ... merge-joined with those at the next position.
+            at = at[:-1][np.diff(at) == 1]
+            if not len(at):
+                continue
+            at = at[np.argsort(_mix(0, [ids[at + i] for i in range(words)]))]
+            found = [ids[at + i] for i in range(words)]
+            # A group ends where a word changes; a chance equality of two phrases' hashes only makes more groups.
+            starts = np.flatnonzero(np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in found])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(lang, pa.string()), len(starts)), *[pa.array(x[starts]) for x in found],
+                 pa.array(np.diff(np.r_[starts, len(at)]))], ["lang", *names, "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists, langs = b.column("ids"), b.column("lang").to_pylist()
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten().to_numpy()
-            # Documents are kept apart by a 0 after each, like pieces.
-            ends = np.cumsum(sizes)
-            lang_of = np.array([langs.index(x) for x in langs], np.int32).repeat(sizes)
-            for lang in sorted(set(lang_of.tolist())):
-                last = ends[[i for i, x in enumerate(langs) if x == langs[lang]]]
-                mine = np.flatnonzero(lang_of == lang)
-                ids = np.insert(flat[mine], np.searchsorted(mine, last), 0)
-                n = len(ids) - words + 2
-                if n < 2:
-                    continue
-                # Occurrences one word shorter, by their first position, semi-joined with the frequent ones ...
-                shorter = [ids[i:i + n] for i in range(words - 1)]
-                here = np.logical_and.reduce([s != 0 for s in shorter])
-                at = np.flatnonzero(here)
-                at = at[_in_filter(frequent, _mix(_lang_bits(langs[lang]), [s[at] for s in shorter]))]
-                # ... merge-joined with those at the next position.
-                at = at[:-1][np.diff(at) == 1]
-                if not len(at):
-                    continue
-                found = [ids[at + i] for i in range(words)]
-                h = _mix(0, found)
-                order = np.argsort(h)
-                found, h = [x[order] for x in found], h[order]
-                # A group ends where a word changes; a chance equality of two phrases' hashes only makes more groups.
-                starts = np.flatnonzero(np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in found])])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(langs[lang], pa.string()), len(starts)), *[pa.array(x[starts]) for x in found],
-                     pa.array(np.diff(np.r_[starts, len(h)]))], ["lang", *names, "n"])
+            ends = b.column("ids").offsets.to_numpy() - b.column("ids").offsets[0].as_py()
+            low = 0
+            while low < b.num_rows:
+                # Rows of about _BATCH_WORDS words, one document at least.
+                high = max(low + 1, int(np.searchsorted(ends, ends[low] + _BATCH_WORDS, "right")) - 1)
+                part = b.slice(low, high - low)
+                yield from count(part.column("lang").to_pylist(), np.diff(ends[low:high + 1]), part.column("ids").flatten().to_numpy())
+                low = high
     schema = ", ".join(["lang string", *[f"{x} long" for x in names], "n long"])
     return (occurrences.mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
             .filter(F.col("n") >= min_count))
