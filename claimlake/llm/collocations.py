@@ -35,9 +35,9 @@ NO_LANG = "und"
 #: 2^22 words are 32 MB.
 FILTER_WORDS = 1 << 22
 #: Bytes of text that a task reads at a time (besides one document).
-_BATCH_BYTES = 1 << 24
+_BATCH_BYTES = 1 << 23
 #: Words of the relation that a task counts at a time (besides one document).
-_BATCH_WORDS = 1_500_000
+_BATCH_WORDS = 600_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z lower-cased, every break a full stop, tab a space.
 _FOLD = bytes(46 if c in _BREAKS else 32 if c == 9 else c for c in range(256)).lower()
