@@ -34,6 +34,21 @@ def distinct_per_group(df: DataFrame, keys: Sequence[str], value: str, out: str)
     return df.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias(out))
 
 
+#: Sketches of 2^14 registers: relative standard error 0.8 %, so 2.5 % is three standard errors.
+SKETCH_LG_K, SKETCH_BOUND = 14, 0.025
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], value: str, out: str, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """One row per ``keys`` group with a HyperLogLog sketch of its distinct non-null ``value``s. Stored beside a
+    table of the same groups, it lets any coarser report count distinct values without the detail rows."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(F.col(value), F.lit(lg_k)).alias(out))
+
+
+def merged_distinct(sketches: DataFrame, keys: Sequence[str], sketch: str, out: str) -> DataFrame:
+    """Distinct values of every coarser ``keys`` group, estimated from the union of its sketches."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(out))
+
+
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Two aggregates of the same rows side by side; null keys match."""
     r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cost_tier, legend_bin, suppress_small_cells
 from ..operators import access, quality
+from ..operators.aggregates import distinct_sketches, merged_distinct
 from ..operators.history import as_of, scd2_apply
 from ..operators.measures import VIEWS, explore, kpi_query, measure_query
 from ..operators.windows import year_over_year
@@ -429,3 +430,17 @@ for _name, _fn in REPORTS.items():
 
 QUERY_FNS = {"check_negative_spending": check_negative_spending,
              "check_brand_generic_sum": check_brand_generic_sum}
+
+
+# ------------------------------------------------------------------- distinct counts that re-aggregate
+
+@query
+def focus_geography_from_sketches(prj):
+    """Focus-area prescribers per state from the sketches of (year, state, area) alone, written and read back; the
+    summed column of the geography mart counts a prescriber once an area."""
+    d = (prj.model("int_prescriber_drug_detail").where((F.col("total_claims") > 0) & F.col("state").isNotNull())
+         .select(F.col("prescriber_drug_year").alias("drug_year"), "state", "therapeutic_area", "is_focus_area", "npi"))
+    path = shared_dir(prj.spark, f"sketches-{uuid.uuid4().hex}")
+    distinct_sketches(d, ["drug_year", "state", "therapeutic_area", "is_focus_area"], "npi", "prescribers").write.parquet(path)
+    stored = prj.spark.read.parquet(path).where("is_focus_area")
+    return merged_distinct(stored, ["state"], "prescribers", "prescriber_count")

@@ -421,6 +421,10 @@ q("report_focus_geography", f"""
     FROM mart_geographic_distribution WHERE is_focus_area = true GROUP BY 1""",
   marts=("mart_geographic_distribution",), doubles=("total_drug_cost",),
   bigints=("total_claims", "prescriber_count"))
+# Sketches of this few values are exact; the error of large ones is tested against its bound.
+q("focus_geography_from_sketches", """
+    SELECT state, count(DISTINCT npi) AS prescriber_count FROM int_prescriber_drug_detail
+    WHERE total_claims > 0 AND state IS NOT NULL AND is_focus_area GROUP BY state""")
 q("report_focus_geography_exact", """
     SELECT state, count(DISTINCT npi) AS prescriber_count
     FROM int_prescriber_drug_detail

@@ -136,6 +136,17 @@ def test_percentile_cuts_of_a_hot_group(spark, capsys):
         assert windows and all("_b" in w for w in windows)
 
 
+def test_distinct_sketches_merge(spark):
+    df = spark.range(400_000).select((F.col("id") % 7).alias("area"), (F.col("id") % 2).alias("state"),
+                                     F.concat(F.lit("npi"), F.col("id") % 90_000).alias("npi"))
+    df = df.unionByName(spark.createDataFrame([(8, 5, None), (9, 5, "x"), (8, 5, "x")], "area long, state long, npi string"))
+    fine = A.distinct_sketches(df, ["area", "state"], "npi", "s")
+    exact = {r.state: r.n for r in df.groupBy("state").agg(F.count_distinct("npi").alias("n")).collect()}
+    got = {r.state: r.n for r in A.merged_distinct(fine, ["state"], "s", "n").collect()}
+    assert got.keys() == exact.keys() and got[5] == 1
+    assert all(abs(got[k] - exact[k]) <= A.SKETCH_BOUND * exact[k] for k in exact)
+
+
 def test_percentile_tiers_global(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (10,), (0,), (None,)], "c int")
     out = A.percentile_tiers(df, "c", "tier", [("High", 0.75), ("Medium", 0.25)], "Low",
