@@ -27,11 +27,12 @@ _FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 @dataclass(frozen=True)
 class Rule:
-    """``group`` of a match must have ``least`` characters, or the match is dropped."""
+    """``group`` of a match must have ``least`` characters, or the match is dropped; group ``span`` is what is found."""
     kind: str
     regex: str
     group: int = 0
     least: int = 0
+    span: int = 0
 
 
 def _either(words: str) -> str:
@@ -50,7 +51,9 @@ MORE_RULES = (
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}+"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}+"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # Of a run of token characters only the first eyJ is tried, once: what follows the run is the same for all of them.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?=eyJ))"
+                r"(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)", span=1),
     Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]{1,30}://[A-Za-z0-9._~%+-]++:[A-Za-z0-9._~%+-]{4,}+@"),
 )
 
@@ -177,7 +180,7 @@ class Scanner:
         postings = self.postings([t.encode("utf-8", "surrogatepass") for t in texts])
         for k, (rule, regex, query) in enumerate(zip(self.rules, self.regex, self.query)):
             for i in np.flatnonzero(_evaluate(query, postings, len(texts))).tolist():
-                out[i] += [(m.start(), k, m.end()) for m in regex.finditer(texts[i])
+                out[i] += [(m.start(rule.span), k, m.end(rule.span)) for m in regex.finditer(texts[i])
                            if m.end(rule.group) - m.start(rule.group) >= rule.least]
         return [sorted(x) for x in out]
 

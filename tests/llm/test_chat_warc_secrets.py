@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pyarrow.fs as pafs
 import pytest
@@ -142,9 +143,40 @@ def test_trigram_queries():
     assert hits == [True, True, True, True, True, False, True]
 
 
+#: The jwt rule as plainly as it can be said (quadratic on long runs).
+PLAIN_JWT = r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
+
+
 def brute_spans(text, rules):
-    return sorted((m.start(), k, m.end()) for k, r in enumerate(rules) for m in re.finditer(r.regex, text, re.A)
-                  if len(m[r.group]) >= r.least)
+    return sorted((m.start(), k, m.end()) for k, r in enumerate(rules)
+                  for m in re.finditer(PLAIN_JWT if r.kind == "jwt" else r.regex, text, re.A)
+                  if r.kind == "jwt" or len(m[r.group]) >= r.least)
+
+
+def test_jwt_equals_the_plain_rule(rng):
+    jwt = secrets.Scanner([r for r in secrets.MORE_RULES if r.kind == "jwt"])
+    parts = ["eyJ", "eyJ", "abcdefgh", "a", ".", ".", "eyJabcdefgh", " ", "-", "é"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(3, 25))) for _ in range(60_000)]
+    found = jwt.spans(texts)
+    assert found == [[(m.start(), 0, m.end()) for m in re.finditer(PLAIN_JWT, t)] for t in texts]
+    assert 300 < sum(map(bool, found)) < 59_000
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJabcdefgh.", "eyJabcdefgh.eyJ", "ghp_", "ghp_a", "xoxb-", "xoxb-1 ", "-----BEGIN ", "-----BEGIN A PRIVATE KEY",
+                                  "a://", "a://b:c", "aa+.", "https://u:", "password ", "token=", "secret: \"", "AKIA", "AKIAx", "0123456789abcdef", "a", " "])
+def test_long_texts_take_linear_time(unit):
+    """Four times the text takes about four times as long with every rule (sixteen times, were it quadratic)."""
+    s = secrets.Scanner(secrets.BASE_RULES + secrets.MORE_RULES)
+
+    def seconds(size):
+        text = unit * (size // len(unit)) + " eyJ ghp_ xoxb- PRIVATE KEY ://"
+        best = []
+        for _ in range(2):
+            start = time.perf_counter()
+            s.spans([text])
+            best.append(time.perf_counter() - start)
+        return min(best)
+    assert seconds(1_000_000) < 8 * seconds(250_000) + 0.5
 
 
 def test_long_secrets_are_found_whole():
