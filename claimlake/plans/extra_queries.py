@@ -25,6 +25,7 @@ from ..sources.sinks import write_csv
 from .project import MODELS, Project, _ensure_loaded
 from .governance import governed_view
 from .reports import REPORTS
+from .maintained import MAINTAINED, maintained_mart, refresh_mart, start_mart
 from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, run_snapshot, snapshot_source
 from .snapshots import history as stored_history
 
@@ -444,3 +445,22 @@ def focus_geography_from_sketches(prj):
     distinct_sketches(d, ["drug_year", "state", "therapeutic_area", "is_focus_area"], "npi", "prescribers").write.parquet(path)
     stored = prj.spark.read.parquet(path).where("is_focus_area")
     return merged_distinct(stored, ["state"], "prescribers", "prescriber_count")
+
+
+# ------------------------------------------------------------------- marts refreshed from changed rows
+
+def _maintained_query(mart: str):
+    def fn(prj: Project) -> DataFrame:
+        early = Project(prj.spark, RawSources.from_driver_tables(prj.spark, prj.sources.origin, FIRST_LOAD_ORDERED_UNTIL), prj.params)
+        root = shared_dir(prj.spark, f"maintained-{uuid.uuid4().hex}")
+        stored, delivered = (p.model(MAINTAINED[mart].source) for p in (early, prj))
+        start_mart(prj, root, mart, FIRST_LOAD_AT, stored)
+        refresh_mart(prj, root, mart, SECOND_LOAD_AT, stored, delivered)
+        return maintained_mart(prj, root, mart)
+    fn.__name__ = mart.replace("mart_", "maintained_", 1)
+    fn.__doc__ = f"{mart} from the orders of the first load, then refreshed from the rows that all orders change."
+    return query(fn)
+
+
+for _m in MAINTAINED:
+    _maintained_query(_m)

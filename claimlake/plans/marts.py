@@ -31,9 +31,12 @@ def _area_or_other() -> F.Column:
 
 
 def _suppressed_drugs(prj: Project) -> DataFrame:
+    return suppressed(prj, prj.model("int_drug_enriched"))
+
+
+def suppressed(prj: Project, drugs: DataFrame) -> DataFrame:
     """Row-form small-group suppression: keep rows describing >= threshold people."""
-    d = prj.model("int_drug_enriched")
-    return d.where(F.col("total_beneficiaries") >= F.lit(prj.params.min_beneficiaries))
+    return drugs.where(F.col("total_beneficiaries") >= F.lit(prj.params.min_beneficiaries))
 
 
 def _with_key(df: DataFrame, key: str, *cols: str) -> DataFrame:
@@ -79,6 +82,11 @@ def mart_drug_spending_trends(prj: Project) -> DataFrame:
         sum_if(~spec, "total_spending", _zero()).alias("non_specialty_spending"),
         sum_if(brand == "Brand", "total_spending", _zero()).alias("brand_spending"),
         sum_if(brand == "Generic", "total_spending", _zero()).alias("generic_spending"))
+    return spending_trends_columns(agg)
+
+
+def spending_trends_columns(agg: DataFrame) -> DataFrame:
+    """The mart's shares and key from its sums."""
     pos = F.col("total_spending") > 0
     out = agg.select(
         "*",
@@ -100,6 +108,11 @@ def mart_therapeutic_area_mix(prj: Project) -> DataFrame:
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         mean("cost_per_claim", 2).alias("avg_cost_per_claim"),
         mean("cost_per_beneficiary_monthly", 2).alias("avg_monthly_cost"))
+    return area_mix_columns(agg)
+
+
+def area_mix_columns(agg: DataFrame) -> DataFrame:
+    """The mart's shares and key from its sums."""
     # Aggregated rows: a handful per year, so the year window is small.
     out = share_of_total(agg, "total_spending", ["drug_year"], "spending_share_pct")
     out = share_of_total(out, "total_claims", ["drug_year"], "claims_share_pct")
@@ -350,14 +363,23 @@ def mart_therapeutic_area_kpis(prj: Project) -> DataFrame:
        grain=("drug_year", "state", "census_region", "therapeutic_area", "is_focus_area"),
        key="geo_key", description="Prescribing volume and cost by state and area")
 def mart_geographic_distribution(prj: Project) -> DataFrame:
-    d = prj.model("int_prescriber_drug_detail").where(
-        (F.col("total_claims") > 0) & F.col("state").isNotNull())
-    d = d.withColumn("therapeutic_area", _area_or_other()).withColumnRenamed("prescriber_drug_year", "drug_year")
+    d = geography_rows(prj.model("int_prescriber_drug_detail"))
     keys = ["drug_year", "state", "census_region", "therapeutic_area", "is_focus_area"]
     totals = ("total_claims", "total_drug_cost", "total_beneficiaries", "total_day_supply")
     agg = (d.groupBy(*keys, "npi").agg(*[F.sum(c).alias(c) for c in totals])
            .groupBy(*keys).agg(F.count("npi").alias("prescriber_count"), *[F.sum(c).alias(c) for c in totals]))
-    agg = join_groups(agg, distinct_per_group(d, keys, "generic_name", "distinct_drugs"), keys).select(
+    return geography_columns(join_groups(agg, distinct_per_group(d, keys, "generic_name", "distinct_drugs"), keys))
+
+
+def geography_rows(detail: DataFrame) -> DataFrame:
+    """The prescriber-drug rows that the geography mart counts."""
+    d = detail.where((F.col("total_claims") > 0) & F.col("state").isNotNull())
+    return d.withColumn("therapeutic_area", _area_or_other()).withColumnRenamed("prescriber_drug_year", "drug_year")
+
+
+def geography_columns(agg: DataFrame) -> DataFrame:
+    """The mart's rates and key from its sums."""
+    agg = agg.select(
         "*", ratio("total_drug_cost", "total_claims", 2).alias("avg_cost_per_claim"),
         ratio("total_drug_cost", "total_beneficiaries", 2).alias("cost_per_beneficiary"),
         ratio("total_claims", "prescriber_count", 0).alias("claims_per_prescriber"))
