@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.clustering import cluster
+
 AUDIT_COLUMN = "_loaded_at"
 
 
@@ -17,7 +19,7 @@ def with_audit(df: DataFrame, column: str = AUDIT_COLUMN) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
-                audit: bool = False) -> str:
+                audit: bool = False, interleave: Sequence[str] = (), files: int | None = None) -> str:
     """Full-replace table write; optional partition columns and clustering sort.
 
     ``partition_by=("drug_year",)`` lets year filters prune whole directories;
@@ -25,10 +27,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     min/max statistics skip files and row groups. Rows are range-partitioned on the partition
     columns followed by the clustering columns (or a row hash), so a year holding a third
     of the table is written by many tasks, each producing its own file in that year's
-    folder, instead of by one.
+    folder, instead of by one. ``interleave`` clusters by several columns at once instead, so that a filter
+    on any of them skips files (``operators/clustering.py``).
     """
     out = with_audit(df) if audit else df
-    if partition_by:
+    if interleave:
+        out = cluster(out, interleave, partition_by, files)
+    elif partition_by:
         tail = [F.col(c) for c in sort_within] or [F.xxhash64(*[F.col(c) for c in df.columns])]
         out = out.repartitionByRange(*[F.col(c) for c in partition_by], *tail)
         out = out.sortWithinPartitions(*partition_by, *sort_within)
