@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -51,18 +51,18 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.substring(F.sha2(F.concat(i, F.lit("\x1f"), t), 256), 1, 32)
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose ``row_key`` is marked ``kept`` in ``decided``.
-
-    ``decided`` has one row per row of ``docs`` (``row_key``, ``kept``). Where a row is
-    repeated, as many of its copies stay as are marked. The columns of ``docs`` come back
-    unchanged; helper columns avoid their names.
-    """
-    k, n, r = (fresh(x, docs.columns) for x in ("__key", "__n", "__rn"))
-    marked = (decided.filter("kept").groupBy(F.col("row_key").alias(k))
-              .agg(F.count(F.lit(1)).alias(n)))
-    w = Window.partitionBy(k).orderBy(k)
-    return (docs.withColumn(k, row_key(id_col, text_col)).join(marked, k)
-            .withColumn(r, F.row_number().over(w)).filter(F.col(r) <= F.col(n))
-            .select(*docs.columns))
+def keep_one(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each ``row_key`` of ``keys`` (which has no other columns of use and may repeat keys).
+
+    Repeated rows are reduced to one in each task before they are shuffled, so no key brings more rows to a task
+    than there are partitions. The columns of ``docs`` come back unchanged."""
+    one = (docs.select(row_key(id_col, text_col).alias("key"), F.struct(*docs.columns).alias("row"))
+           .groupBy("key").agg(F.first("row").alias("row")))
+    return one.join(keys.select(F.col("row_key").alias("key")), "key", "left_semi").select("row.*")
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is not in ``keys``; repeated rows stay or go together."""
+    k = fresh("__key", docs.columns)
+    return (docs.withColumn(k, row_key(id_col, text_col))
+            .join(keys.select(F.col("row_key").alias(k)), k, "left_anti").select(*docs.columns))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_UPPER, keep_rows, row_key
+from .common import ASCII_UPPER, drop_rows, row_key
 
 SHINGLE = 5
 WINDOW = 13
@@ -123,5 +123,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
-    decided = decontaminate(docs, benchmark, **options).select("row_key", (~F.col("contaminated")).alias("kept"))
-    return keep_rows(docs, decided, options.get("id_col", "doc_id"), options.get("text_col", "text"))
+    found = decontaminate(docs, benchmark, **options).filter("contaminated").select("row_key")
+    return drop_rows(docs, found, options.get("id_col", "doc_id"), options.get("text_col", "text"))

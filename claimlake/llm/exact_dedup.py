@@ -1,11 +1,11 @@
 """Exact deduplication with a heavy-hitter split (DataFrame functions only).
 
-1. Each text is normalised and hashed; only (id, length, digest) go on, written once.
+1. Each text is normalised and hashed; only (id, length, digest) and a row number go on, written once.
 2. A Misra-Gries summary (``approx_top_k``, a mergeable frequent-items sketch of fixed size)
    names the digests that may be frequent.
 3. Those candidates are counted exactly. Their verified winners, at most ``heavy`` rows, are
    broadcast and mark all other copies on the map side: a group that holds a third of all
-   rows is never shuffled.
+   rows is never shuffled, even if it is one row repeated (the winner is one row number).
 4. The winners and all other rows go through an ordinary shuffle on the digest.
 
 A digest with more than about ``rows / tracked`` copies is always in the summary, so no
@@ -47,25 +47,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("id"),
         F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("n_points"),
         F.sha2(normalised(F.col(text_col)), 256).alias("digest"),
-        row_key(id_col, text_col).alias("row_key")), "digests")
+        row_key(id_col, text_col).alias("row_key"), F.monotonically_increasing_id().alias("nth")), "digests")
 
     named = frequent(rows, "digest", heavy, tracked)
-    first = F.min(F.struct((-F.col("n_points")).alias("n"), F.isnull("id").alias("no_id"), "id"))
+    first = F.min(F.struct((-F.col("n_points")).alias("n"), F.isnull("id").alias("no_id"), "id", "nth"))
     winners = (rows.join(F.broadcast(named), "digest", "left_semi").groupBy("digest")
                .agg(F.count(F.lit(1)).alias("copies"), first.alias("w"))
                .filter("copies > 1")
-               .select("digest", "copies", F.col("w.id").alias("w_id"),
-                       (-F.col("w.n")).alias("w_points")))
+               .select("digest", "copies", F.col("w.id").alias("w_id"), F.col("w.nth").alias("w_nth")))
 
     marked = rows.join(F.broadcast(winners), "digest", "left")
-    beaten = F.col("copies").isNotNull() & ~(
-        (F.col("n_points") == F.col("w_points")) & F.col("id").eqNullSafe(F.col("w_id")))
+    beaten = F.col("copies").isNotNull() & (F.col("nth") != F.col("w_nth"))
     out = ("id", "keep_id", "group_size", "kept", "digest", "n_points", "row_key")
     removed = (marked.filter(beaten)
                .select("*", F.col("w_id").alias("keep_id"), F.col("copies").alias("group_size"),
                        F.lit(False).alias("kept")).select(*out))
     group = Window.partitionBy("digest")
-    order = group.orderBy(F.desc("n_points"), F.asc_nulls_last("id"))
+    order = group.orderBy(F.desc("n_points"), F.asc_nulls_last("id"), "nth")
     shuffled = (marked.filter(~beaten)
                 .withColumn("kept", F.row_number().over(order) == 1)
                 .withColumn("keep_id", F.first("id").over(order))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_UPPER, keep_rows, row_key, stash
+from .common import ASCII_UPPER, keep_one, row_key, stash
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 BUCKET_ROWS = 1_000_000
@@ -247,5 +247,4 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are their component's keeper, one row for each component."""
     groups = simhash_groups(docs, **options)
-    decided = groups.filter("keeper").select("row_key").distinct().withColumn("kept", F.lit(True))
-    return keep_rows(docs, decided, options.get("id_col", "doc_id"), options.get("text_col", "text"))
+    return keep_one(docs, groups.filter("keeper").select("row_key"), options.get("id_col", "doc_id"), options.get("text_col", "text"))

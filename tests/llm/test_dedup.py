@@ -2,11 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimlake.llm import exact_dedup as ed
 from claimlake.llm import simhash as sh
 from claimlake.llm import suffix_dedup as sd
-from claimlake.llm.common import keep_rows
+from claimlake.llm.common import drop_rows, keep_one
 
 from . import reference as ref
 from .conftest import prose
@@ -33,9 +34,39 @@ def test_exact_dedup(docs_of, rng, heavy):
     got = ed.exact_dedup(docs_of(rows), heavy=heavy, tracked=64).collect()
     assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"], r["text_sha256"]) for r in got) == sorted(
         (str(rows[n][0]), str(k), g, kept, s) for n, (k, g, kept, s) in want.items())
-    kept = keep_rows(docs_of(rows), ed.exact_dedup(docs_of(rows), heavy=heavy, tracked=64).select("row_key", "kept"))
+    decided = ed.exact_dedup(docs_of(rows), heavy=heavy, tracked=64)
+    kept = keep_one(docs_of(rows), decided.filter("kept").select("row_key"))
     assert kept.columns == docs_of(rows).columns
-    assert kept.count() == sum(k for _, _, k, _ in want.values())
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(str(rows[n]) for n, (_, _, k, _) in want.items() if k)
+    # Repeated rows go together.
+    keys = decided.filter("kept").select("row_key")
+    left = drop_rows(docs_of(rows), keys)
+    assert left.columns == docs_of(rows).columns
+    assert {(r["doc_id"], r["text"]) for r in left.collect()}.isdisjoint({(r["doc_id"], r["text"]) for r in kept.collect()})
+
+
+def test_a_row_repeated_in_a_third_of_the_table(spark, docs_of, rng):
+    """Its copies leave on the map side (so they come from many partitions), one stays, and no task gets them all."""
+    rows = [(7, "hot text")] * 600 + [(None, "nobody's")] * 300 + [(1000 + i, prose(rng, 6) + str(i)) for i in range(900)]
+    docs = docs_of(rows, 12)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "8k")
+    try:
+        out = ed.exact_dedup(docs).withColumn("part", F.spark_partition_id())
+        assert out.filter("kept").count() == 902
+        for group, copies in ((600, 599), (300, 299)):
+            parts = [r["count"] for r in out.filter(f"group_size = {group} and not kept").groupBy("part").count().collect()]
+            assert sum(parts) == copies and len(parts) >= 6 and max(parts) <= copies / 3
+        keys = out.filter("kept").select("row_key")
+        kept = keep_one(docs, keys)
+        assert kept.count() == 902 and kept.filter("doc_id = 7").count() == 1 and kept.filter("doc_id is null").count() == 1
+        # Reduced before the shuffle: the partial aggregate stands below the exchange.
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "partial_first" in plan and plan.index("Exchange hashpartitioning(key") < plan.index("partial_first")
+        assert drop_rows(docs, keys.limit(0)).count() == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_heavy_groups_skip_the_shuffle(docs_of, rng):
