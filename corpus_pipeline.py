@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.llm import decontaminate, exact_dedup, mixing, simhash, toxicity
-from claimlake.llm.common import fresh, keep_rows, stash, table
+from claimlake.llm.common import fresh, keep_one, stash, table
 from claimlake.llm.queries import learnable
 
 TOXIC = 0.7
@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return keep_rows(docs, exact_dedup.exact_dedup(docs).select("row_key", "kept"))
+    return keep_one(docs, exact_dedup.exact_dedup(docs).filter("kept").select("row_key"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
