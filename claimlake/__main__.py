@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--select", nargs="*", default=[], help="tags (layer / domain)")
     b.add_argument("--threads", type=int, default=4)
     b.add_argument("--snapshot-at", default=None, help="also run the SCD-2 snapshot at this time")
+    b.add_argument("--database", help="also register the written tables, with comments, in this catalog database")
     r = sub.add_parser("report", help="run a dashboard report over a built warehouse")
     r.add_argument("name")
     r.add_argument("--raw", required=True)
@@ -64,8 +65,11 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     params = params_for(spark, args.raw, args.years, args.release_year)
     if args.cmd == "build":
-        _, times = build(spark, args.raw, args.warehouse, params, tags=tuple(args.select),
+        prj, times = build(spark, args.raw, args.warehouse, params, tags=tuple(args.select),
                          threads=args.threads, snapshot_at=args.snapshot_at)
+        if args.database:
+            from .plans.metadata import register_tables
+            register_tables(prj, args.warehouse, args.database)
         print(json.dumps({k: round(v, 3) for k, v in times.items()}))
     else:
         from .plans.reports import REPORTS
