@@ -1,4 +1,4 @@
-"""Semantic layer: governed KPI catalogue and measure queries over marts.
+"""Semantic layer: measure queries over marts (the KPI catalogue is in ``kpis.py``).
 
 A measure query is ``groupBy(dimensions).agg(measures)`` with optional filters; joined
 views are re-aggregated to the join key first, so a left join never fans rows out.
@@ -62,63 +62,6 @@ VIEWS: dict[str, dict[str, Measure]] = {
     },
 }
 
-@dataclass(frozen=True)
-class KPI:
-    """A governed KPI. ``measure`` computes it over any grain of ``model``; without one it is a column
-    of the model, defined per row (``formula``)."""
-    name: str
-    formula: str
-    grain: str
-    model: str
-    owner: str = "Data & Analytics"
-    exclusions: str = ""
-    measure: Measure | None = None
-
-
-# The governed KPI catalogue (name, formula, grain, model).
-KPI_CATALOG = (
-    KPI("cost_per_claim", "total_spending / total_claims", "drug x year", "mart_cost_per_claim",
-        exclusions="fewer than 11 beneficiaries",
-        measure=Measure("ratio", "total_spending", 2, per="total_claims")),
-    KPI("cost_per_beneficiary_per_month", "total_spending / total_beneficiaries / 12",
-        "drug x year", "mart_cost_per_claim", exclusions="fewer than 11 beneficiaries",
-        measure=Measure("ratio", "total_spending", 2, per="total_beneficiaries", per_scale=12)),
-    KPI("cost_per_day_of_therapy", "sum(total_drug_cost) / sum(total_day_supply)",
-        "drug x state x year", "mart_day_supply_efficiency",
-        measure=Measure("ratio", "total_drug_cost", 2, per="total_day_supply")),
-    KPI("total_claims", "sum(total_claims)", "any", "all marts", measure=Measure("sum", "total_claims")),
-    KPI("fills_per_beneficiary", "sum(total_30day_fills) / sum(total_beneficiaries)",
-        "area x year", "mart_fill_volume_trends",
-        measure=Measure("ratio", "total_30day_fills", 2, per="total_beneficiaries")),
-    KPI("specialty_drug_flag", "mapped flag, else monthly cost per beneficiary > 830",
-        "drug", "int_drug_enriched"),
-    KPI("generic_dispensing_rate", "generic_claims / total_claims * 100", "area x state x year",
-        "mart_brand_generic_ratio", measure=Measure("ratio", "generic_claims", 1, per="total_claims", scale=100)),
-    KPI("brand_prescribing_rate", "brand_claims / (brand_claims + generic_claims) * 100",
-        "prescriber", "mart_prescriber_engagement"),
-    KPI("area_spending_share", "area spending / year spending * 100", "area x year",
-        "mart_therapeutic_area_mix"),
-    KPI("market_share", "drug spending / area spending * 100", "drug x year",
-        "mart_manufacturer_performance_report"),
-    KPI("prescriber_engagement_tier", "claims >= P75 High, >= P25 Medium, else Low",
-        "prescriber", "mart_prescriber_engagement"),
-    KPI("specialty_adoption_rate", "prescribers with specialty rx / prescribers * 100",
-        "specialty x area x year", "mart_specialty_adoption_funnel"),
-    KPI("data_completeness", "non-null rows / rows * 100", "model x column",
-        "mart_dq_completeness"),
-    KPI("spending_anomaly", "|z| of cost per claim or monthly cost > 2 (warn), > 3 (anomaly)",
-        "drug x year", "mart_dq_anomalies"),
-)
-KPIS = {k.name: k for k in KPI_CATALOG}
-
-
-def kpi_query(df: DataFrame, dims: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Catalogue KPIs of ``df`` at the grain of ``dims``."""
-    rowwise = [n for n in names if KPIS[n].measure is None]
-    if rowwise:
-        raise ValueError(f"{rowwise} are defined per row of their model, not over groups")
-    return measure_query(df, dims, {n: KPIS[n].measure for n in names})
-
 
 def measure_query(df: DataFrame, dims: Sequence[str], measures: Mapping[str, Measure],
                   filters: Column | None = None) -> DataFrame:

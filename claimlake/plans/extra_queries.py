@@ -16,7 +16,8 @@ from ..functions.columns import cost_tier, legend_bin, suppress_small_cells
 from ..operators import access, quality
 from ..operators.aggregates import distinct_sketches, merged_distinct
 from ..operators.history import as_of, scd2_apply
-from ..operators.measures import VIEWS, explore, kpi_query, measure_query
+from ..operators.kpis import KPI_CATALOG, evaluate, kpi_query
+from ..operators.measures import VIEWS, explore, measure_query
 from ..operators.windows import year_over_year
 from ..session import shared_dir
 from ..sources import ingest
@@ -406,14 +407,26 @@ def bi_executive_source(prj):
 def kpis_by_area(prj):
     """Governed KPIs evaluated from their catalogue formulas, by year and area."""
     return kpi_query(prj.model("mart_cost_per_claim"), ["drug_year", "therapeutic_area"],
-                     ["cost_per_claim", "cost_per_beneficiary_per_month", "total_claims"])
+                     ["cost_per_claim", "cost_per_beneficiary_per_month", "total_claims"], prj.params)
 
 
 @query
 def kpis_dispensing_by_state(prj):
     """Generic dispensing rate by state, from the catalogue formula."""
     return kpi_query(prj.model("mart_brand_generic_ratio"), ["drug_year", "state"],
-                     ["generic_dispensing_rate"])
+                     ["generic_dispensing_rate"], prj.params)
+
+
+def _kpi_query(name: str, model: str):
+    def fn(prj: Project) -> DataFrame:
+        return evaluate(prj, name, model=model)
+    fn.__name__ = f"kpi_{name}"
+    fn.__doc__ = f"The KPI {name} at its governed grain, from its catalogue text."
+    return query(fn)
+
+
+for _k in KPI_CATALOG:
+    _kpi_query(_k.name, _k.model or "mart_geographic_distribution")
 
 
 @query

@@ -11,7 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.measures import KPI_CATALOG
+from ..operators.kpis import KPI_CATALOG
+from ..params import DEFAULT
 from ..sources.sinks import AUDIT_COLUMN, with_audit
 from .build import LAYOUT
 from .project import MODELS, ModelSpec, Project, _ensure_loaded
@@ -42,7 +43,7 @@ def kpis(spec: ModelSpec) -> list:
 
 
 def exclusions(spec: ModelSpec) -> list[str]:
-    return list(dict.fromkeys(k.exclusions for k in kpis(spec) if k.exclusions))
+    return list(dict.fromkeys(k.exclusions.format_map(vars(DEFAULT)) for k in kpis(spec) if k.exclusions))
 
 
 def properties(spec: ModelSpec) -> dict[str, str]:

@@ -478,3 +478,52 @@ q("extract_pareto_top50", f"""
     SELECT * FROM mart_specialty_vs_generic WHERE drug_year = {REPORT_YEAR}
     ORDER BY total_spending DESC, generic_name, brand_name, manufacturer_name LIMIT 50""",
   marts=("mart_specialty_vs_generic",), doubles=("total_spending",))
+
+# ------------------------------------------------------------------- the KPI catalogue, at each KPI's governed grain
+
+
+def _kpi(name, mart, dims, value, where="true", bigints=()):
+    q(f"kpi_{name}", f"SELECT {dims}, {value} AS {name} FROM {mart} WHERE {where} GROUP BY ALL", marts=(mart,), bigints=bigints)
+
+
+_kpi("cost_per_claim", "mart_cost_per_claim", "drug_year, generic_name",
+     R("sum(total_spending)", "sum(total_claims)", 2), "total_beneficiaries >= 11")
+_kpi("cost_per_beneficiary_per_month", "mart_cost_per_claim", "drug_year, generic_name",
+     R("sum(total_spending)", "(12 * sum(total_beneficiaries))", 2), "total_beneficiaries >= 11")
+_kpi("cost_per_day_of_therapy", "mart_day_supply_efficiency", "drug_year, generic_name, state",
+     R("sum(total_drug_cost)", "sum(total_day_supply)", 2), "total_day_supply > 0")
+_kpi("total_claims", "mart_geographic_distribution", "drug_year, state", "sum(total_claims)", bigints=("total_claims",))
+_kpi("fills_per_beneficiary", "mart_fill_volume_trends", "drug_year, therapeutic_area",
+     R("sum(total_30day_fills)", "sum(total_beneficiaries)", 2), "total_beneficiaries >= 11")
+_kpi("generic_dispensing_rate", "mart_brand_generic_ratio", "drug_year, therapeutic_area, state",
+     R("sum(generic_claims)", "sum(brand_claims) + sum(generic_claims)", 1, "100"), "total_claims > 0")
+_kpi("specialty_adoption_rate", "mart_specialty_adoption_funnel", "drug_year, prescriber_specialty, therapeutic_area",
+     R("sum(prescribers_with_specialty_rx)", "sum(prescriber_count)", 1, "100"))
+q("kpi_specialty_drug_flag", """
+    SELECT drug_year, generic_name, brand_name, manufacturer_name, exceeds_specialty_threshold AS specialty_drug_flag
+    FROM mart_cost_per_claim""", marts=("mart_cost_per_claim",))
+q("kpi_brand_prescribing_rate", """
+    SELECT npi, prescriber_year, brand_prescribing_rate_pct AS brand_prescribing_rate
+    FROM mart_prescriber_engagement""", marts=("mart_prescriber_engagement",))
+q("kpi_area_spending_share", f"""
+    SELECT a.drug_year, a.therapeutic_area, {R('a.s', 'y.s', 1, '100')} AS area_spending_share
+    FROM (SELECT drug_year, therapeutic_area, sum(total_spending) AS s FROM mart_therapeutic_area_mix GROUP BY ALL) a
+    JOIN (SELECT drug_year, sum(total_spending) AS s FROM mart_therapeutic_area_mix GROUP BY ALL) y USING (drug_year)""",
+  marts=("mart_therapeutic_area_mix",))
+q("kpi_market_share", f"""
+    SELECT m.drug_year, m.therapeutic_area, m.generic_name, m.brand_name, m.manufacturer_name,
+           {R('m.total_spending', 't.s', 2, '100')} AS market_share
+    FROM mart_manufacturer_performance_report m
+    JOIN (SELECT drug_year, therapeutic_area, sum(total_spending) AS s
+          FROM mart_manufacturer_performance_report GROUP BY ALL) t USING (drug_year, therapeutic_area)
+    WHERE m.total_beneficiaries >= 11""", marts=("mart_manufacturer_performance_report",))
+q("kpi_prescriber_engagement_tier", """
+    SELECT npi, prescriber_year, engagement_tier AS prescriber_engagement_tier
+    FROM mart_prescriber_engagement""", marts=("mart_prescriber_engagement",))
+q("kpi_data_completeness", " UNION ALL ".join(
+    f"SELECT '{m}' AS source_model, '{c}' AS column_name, {R(f'count({c})', 'count(*)', 2, '100')} AS data_completeness FROM {m}"
+    for m, cs in (("stg_drug_spending", "generic_name total_spending total_claims total_beneficiaries"),
+                  ("stg_prescribers", "npi specialty state total_claims total_drug_cost")) for c in cs.split()))
+q("kpi_spending_anomaly", """
+    SELECT drug_year, generic_name, brand_name, anomaly_status AS spending_anomaly FROM mart_dq_anomalies""",
+  marts=("mart_dq_anomalies",))

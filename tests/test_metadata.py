@@ -2,7 +2,7 @@
 
 import os
 
-from claimlake.operators.measures import KPI_CATALOG
+from claimlake.operators.kpis import KPI_CATALOG
 from claimlake.plans import metadata
 from claimlake.plans.build import build, ingest
 from claimlake.plans.project import MODELS, _ensure_loaded
