@@ -22,10 +22,11 @@ from ..operators.windows import year_over_year
 from ..session import shared_dir
 from ..sources import ingest
 from ..sources.raw import INPUTS, RawSources
-from ..sources.sinks import write_csv
+from ..sources.sinks import write_csv, write_table
 from .project import MODELS, Project, _ensure_loaded
 from .governance import governed_view
 from .reports import REPORTS
+from .role_views import publish_role, register_assignments, role_database
 from .maintained import MAINTAINED, maintained_mart, refresh_mart, start_mart
 from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, run_snapshot, snapshot_source
 from .snapshots import history as stored_history
@@ -275,6 +276,41 @@ def partner_area_kpis(prj):
                          partner_assignments(prj))
 
 
+def _read_as(prj: Project, model: str, role: str, principal: str | None = None) -> DataFrame:
+    """A model, written and registered, as a role's view shows it. The databases go again; the files stay."""
+    spark, name = prj.spark, f"claimlake_{uuid.uuid4().hex}"
+    root = shared_dir(spark, name)
+    own = role_database(name, role, principal)
+    write_table(prj.model(model), f"{root}/{model}")
+    try:
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{root}/_catalog'")
+        spark.sql(f"CREATE TABLE {name}.{model} USING parquet LOCATION '{root}/{model}'")
+        register_assignments(spark, partner_assignments(prj), name, f"{root}/assignments")
+        publish_role(prj, name, role, principal)
+        return spark.table(f"{own}.{model}")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {own} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+@query
+def role_view_partner_report(prj):
+    """Partner A's view of the detail mart: its areas only, summed, small groups left out."""
+    return _read_as(prj, "mart_manufacturer_performance_report", "partner_manufacturer", "A")
+
+
+@query
+def role_view_executive_anomalies(prj):
+    """The executive viewer's view of the anomaly list: counts and sums by area and status, no drug."""
+    return _read_as(prj, "mart_dq_anomalies", "viewer_executive")
+
+
+@query
+def role_view_partner_area_kpis(prj):
+    """Partner B's view of a summary mart: its areas, without competitors' columns."""
+    return _read_as(prj, "mart_therapeutic_area_kpis", "partner_manufacturer", "B")
+
+
 @query
 def engagement_without_pii(prj):
     """Column filter for a role without personal-data access."""

@@ -527,3 +527,18 @@ q("kpi_data_completeness", " UNION ALL ".join(
 q("kpi_spending_anomaly", """
     SELECT drug_year, generic_name, brand_name, anomaly_status AS spending_anomaly FROM mart_dq_anomalies""",
   marts=("mart_dq_anomalies",))
+
+# ------------------------------------------------------------------- role views
+
+q("role_view_partner_report", """
+    SELECT drug_year, therapeutic_area, brand_generic_flag, count(*) AS row_count,
+           sum(total_claims) AS total_claims, sum(total_spending) AS total_spending
+    FROM mart_manufacturer_performance_report WHERE therapeutic_area IN ('Alpha', 'Beta')
+    GROUP BY 1, 2, 3 HAVING sum(total_beneficiaries) >= 11""",
+  marts=("mart_manufacturer_performance_report",), doubles=("total_spending",), bigints=("total_claims",))
+q("role_view_executive_anomalies", """
+    SELECT drug_year, therapeutic_area, anomaly_status, count(*) AS row_count,
+           sum(total_claims) AS total_claims, sum(total_spending) AS total_spending
+    FROM mart_dq_anomalies GROUP BY 1, 2, 3 HAVING sum(total_beneficiaries) >= 11""",
+  marts=("mart_dq_anomalies",), doubles=("total_spending",), bigints=("total_claims",))
+EXTRA["role_view_partner_area_kpis"] = EXTRA["partner_area_kpis"].replace("partner_area_kpis", "role_view_partner_area_kpis")
