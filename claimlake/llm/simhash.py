@@ -30,6 +30,7 @@ from .common import ASCII_UPPER, keep_one, row_key, stash
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 BUCKET_ROWS = 1_000_000
+SALTS = 32
 _BLOCK = 1 << 16
 _LOWER = {ord(c): ord(c.lower()) for c in ASCII_UPPER}
 _SPACES = str.maketrans("\t\n\x0b\f\r", "     ")
@@ -234,10 +235,13 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = F.min(F.struct(F.isnull("id").alias("no_id"), "id", "row_key")).alias("first")
     classes = stash(fps.groupBy("fp").agg(first), "classes")
     roots = components(links(classes.select("fp"), radius, bucket_rows))
-    placed = (classes.join(roots, classes["fp"] == roots["node"], "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    heads = placed.groupBy("root").agg(F.min("first").alias("head"))
-    named = placed.join(heads, "root").select("fp", "head")
+    # A component may hold a third of all fingerprints: its members are dealt over salts, its one head has a copy for each.
+    salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).alias("salt")
+    placed = classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        "fp", "first", "root", F.coalesce("root", "fp").alias("group"), salt)
+    heads = (placed.filter("root is not null").groupBy("group").agg(F.min("first").alias("head"))
+             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
+    named = placed.join(heads, ["group", "salt"], "left").select("fp", F.coalesce("head", "first").alias("head"))
     return fps.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("head.id").alias("component_id"), (F.col("row_key") == F.col("head.row_key")).alias("keeper"),
