@@ -10,12 +10,12 @@ time (a range sort) gives the mix.
 The queue offsets are a distributed prefix sum: the order key (an MD5) is cut into key ranges,
 ranges are summed, and rows are summed inside their range only, so a source that holds a third
 of all rows is spread over as many ranges as any other rows. The number of ranges follows the
-row count and does not change the result.
+row count and does not change the result. Repeated rows are one row with a count until their places are
+known; a range that many rows of one id make large is cut further, by size and row key.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +25,8 @@ from .common import fresh, row_key, stash
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_RANGE = 20_000
+#: Repeats of one row that one task writes at a time.
+REPEATS_PER_ROW = 1_000
 #: Curriculum shapes (time, relative rate): steady, rising and falling.
 STEADY, RISING, FALLING = [(0.0, 1.0), (1.0, 1.0)], [(0.0, 0.5), (1.0, 1.5)], [(0.0, 1.5), (1.0, 0.5)]
 
@@ -52,7 +54,7 @@ def time_of_demand(share: Column, schedule: Column) -> Column:
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float,
                    repeats: float) -> DataFrame:
-    """One row per source (``skey``): its size, weight and target.
+    """One row per source (``skey``) of ``sizes`` (each row counts ``rows`` times): its size, weight and target.
 
     Targets are proportional to the weights, stop at ``repeats`` times the source's size, and
     the excess goes to the others by weight until none is above. Sources sorted by what
@@ -64,7 +66,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float,
     ws = F.array(*[F.lit(float(w)) for w in weights])
     n = len(weights)
     by_name = Window.orderBy(F.asc_nulls_last("source"))
-    src = (sizes.groupBy("skey").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
+    src = (sizes.groupBy("skey").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("rows")).alias("source_size"))
            .withColumn("nth", F.row_number().over(by_name) - 1)
            .withColumn("weight", F.element_at(ws, (F.col("nth") % n + 1).cast("int")))
            .withColumn("cap", F.col("source_size") * F.lit(float(repeats))))
@@ -78,6 +80,38 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float,
             .select("skey", "nth", "source_size", "target"))
 
 
+def in_ranges(sizes: DataFrame, distinct: int, rows_per_range: int) -> DataFrame:
+    """``sizes`` with ``range``, a prefix of each row's place in the queue (order key, size, row key) such that about
+    ``rows_per_range`` rows share it: ranges in order of their names hold the queue in order.
+
+    Order keys are evenly spread but for repeated ids, so a prefix of them is enough; where many rows
+    of one id overfill a range, its rows take a longer prefix, which reaches into the row key."""
+    def digits(rows: Column | int) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.log(16.0, F.greatest(F.lit(1.0), rows / F.lit(float(rows_per_range))))))
+    place = F.concat("okey", F.lpad(F.col("size").cast("string"), 19, "0"), "row_key")
+    sizes = sizes.withColumn("range", F.substring("okey", F.lit(1), digits(F.lit(distinct)).cast("int")))
+    large = stash(sizes.groupBy("range").agg(F.count(F.lit(1)).alias("in_range")).filter(
+        F.col("in_range") > 4 * rows_per_range), "large")
+    if large.isEmpty():
+        return sizes
+    longer = (F.lit(32 + 19) + digits(F.col("in_range"))).cast("int")
+    return (sizes.join(large, "range", "left")
+            .withColumn("range", F.when(F.col("in_range").isNull(), F.col("range")).otherwise(F.substring(place, F.lit(1), longer)))
+            .drop("in_range"))
+
+
+def each_repeat(queued: DataFrame, most: int) -> DataFrame:
+    """One row per repeat of each row of ``queued`` (``rows`` times, one after the other from ``start``). A row with many
+    repeats is first dealt over tasks in blocks of ``REPEATS_PER_ROW``."""
+    if most > REPEATS_PER_ROW:
+        left = F.col("rows") - F.col("block") * REPEATS_PER_ROW
+        queued = (queued.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / REPEATS_PER_ROW))))
+                  .withColumn("start", F.col("start") + F.col("block") * REPEATS_PER_ROW * F.col("size"))
+                  .withColumn("rows", F.least(left, F.lit(REPEATS_PER_ROW))).repartition("row_key", "block").drop("block"))
+    return (queued.withColumn("nth_row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+            .withColumn("start", F.col("start") + F.col("nth_row") * F.col("size")).drop("nth_row"))
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
                 repeats: float = 2.0, schedules: Sequence[Sequence[tuple[float, float]]] = (STEADY, RISING, FALLING),
                 id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -99,24 +133,25 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
         F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n")).alias("skey"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(seed + ":"), ident)).alias("okey"),
-        row_key(id_col, text_col).alias("row_key")), "sizes")
-    rows = sizes.count()
-    digits = max(1, math.ceil(math.log(max(1, rows / rows_per_range), 16)))
-    sizes = sizes.withColumn("range", F.substring("okey", 1, digits))
+        row_key(id_col, text_col).alias("row_key"))
+        .groupBy("id", "source", "skey", "size", "okey", "row_key").agg(F.count(F.lit(1)).alias("rows")), "sizes")
+    seen = sizes.agg(F.count(F.lit(1)).alias("distinct"), F.max("rows").alias("most")).first()
+    sizes = in_ranges(sizes, seen["distinct"], rows_per_range)
     shape = [F.array(*[F.struct(*[F.lit(float(v)).alias(k) for k, v in zip(
         ("time", "before", "rate", "slope", "whole"), s)]) for s in segments(k)]) for k in schedules]
     targets = (source_targets(sizes, weights, share, repeats)
                .withColumn("schedule", F.coalesce(*[
                    F.when(F.col("nth") % len(shape) == i, s) for i, s in enumerate(shape)]))
                .withColumn("budget", F.floor(F.col("target") + 0.5).cast("long")))
-    ranges = sizes.groupBy("skey", "range").agg(F.sum("size").alias("range_size"))
+    ranges = sizes.groupBy("skey", "range").agg(F.sum(F.col("size") * F.col("rows")).alias("range_size"))
     before = Window.partitionBy("skey").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (ranges.withColumn("offset", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
               .join(targets, "skey"))
     inside = (Window.partitionBy("skey", "range").orderBy("okey", "size", "row_key")
               .rowsBetween(Window.unboundedPreceding, 0))
     queued = (sizes.join(ranges, ["skey", "range"])
-              .withColumn("start", F.col("offset") + F.sum("size").over(inside) - F.col("size")))
+              .withColumn("start", F.col("offset") + F.sum(F.col("size") * F.col("rows")).over(inside) - F.col("size") * F.col("rows")))
+    queued = each_repeat(queued, seen["most"] or 0)
     whole = F.col("source_size") > 0
     rounds = F.when(whole, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     left = F.col("budget") - F.col("rounds") * F.col("source_size") - F.col("start")

@@ -174,3 +174,23 @@ def test_counterfactuals_spare_neutral_mentions(spark, docs_of, rng):
     assert sum(fair.score(t) >= 0.7 for t in neutral) == 0
     assert sum((fair.score(t) >= 0.7) == (i % 4 == 0) for i, t in docs) >= 0.97 * len(docs)
     assert toxicity.swapped({"no", "group"}) == [] and {"man", "old"} <= toxicity.swapped({"woman", "young"})[0]
+
+
+def test_hot_ids_and_repeated_rows(docs_of, rng, monkeypatch):
+    """A third of the rows is one row, a third has one id with texts of its own: the queue is the plain one, and no range is large."""
+    monkeypatch.setattr(mixing, "REPEATS_PER_ROW", 7)
+    rows = [(1, "the same words", "a")] * 150 + [(2, prose(rng, 1 + i % 20), "a") for i in range(150)]
+    rows += [(10 + i, prose(rng, 1 + i % 9), "ab"[i % 2]) for i in range(150)]
+    got = mixing.mix_sources(docs_of(rows), rows_per_range=5).collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sources(docs_of(rows, 5), rows_per_range=100_000).collect()))
+    assert len(got) == len(rows)
+    sizes = {s: sum(len(ref.words(t)) for _, t, x in rows if x == s) for s in "ab"}
+    want = ref.targets(sizes)
+    assert sum(r["taken"] for r in got) == sum(math.floor(want[s] + 0.5) for s in sizes)
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in got)
+    # Copies of a source neither overlap nor leave words out: the queue is walked from word to word.
+    firsts = sorted((r["copies"][0]["time"], r["size"]) for r in got if r["copies"] and r["source_size"] == sizes["a"])
+    assert len({t for t, _ in firsts}) == len(firsts)
+    sized = docs_of(rows).selectExpr("doc_id id", "text", "size(split(text, ' ')) size", "md5(string(doc_id)) okey", "md5(text) row_key").drop("text").distinct()
+    filled = mixing.in_ranges(sized, sized.count(), 5).groupBy("range").count().collect()
+    assert max(r["count"] for r in filled) <= 30 and len(filled) > 30
