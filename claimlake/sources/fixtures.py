@@ -56,20 +56,19 @@ def _money(c: Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
-def _order_lines(t: DriverTables, spread: bool = False) -> DataFrame:
+def _order_lines(t: DriverTables) -> DataFrame:
     """Order lines with their customer and ship year (one join on orderkey).
 
-    ``spread``: deal the lines out by order before the joins, so that they run in parallel even
-    where the scan has few splits; the join on the order key reads the same partitions.
+    Both sides are dealt out by order over a number of tasks that grows with the lines: left to the
+    planner, a task takes as many lines as fit its advisory size in compressed bytes, and the join's
+    sort and the extract's partial aggregate (almost a group a line) hold them all at once.
     """
-    lineitem = t.lineitem
-    if spread:
-        lineitem = lineitem.repartition("l_orderkey")
-    lines = lineitem.select(
+    n = t.line_tasks()
+    lines = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_linestatus",
-        F.year("l_shipdate").cast("int").alias("ship_year"))
-    orders = t.orders.select(F.col("o_orderkey"), F.col("o_custkey"))
+        F.year("l_shipdate").cast("int").alias("ship_year")).repartition(n, "l_orderkey")
+    orders = t.orders.select(F.col("o_orderkey"), F.col("o_custkey")).repartition(n, "o_orderkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
 
 
@@ -91,7 +90,7 @@ def _manufacturers(t: DriverTables, max_bytes: int = 64 << 20) -> DataFrame:
     return checked_broadcast(m, ["s_suppkey"], max_bytes, "supplier manufacturers")
 
 
-def line_base(t: DriverTables, spread: bool = False) -> DataFrame:
+def line_base(t: DriverTables) -> DataFrame:
     """Order lines with everything the three extracts need: customer, year, part name,
     generic / brand names and manufacturer. Built once per ingest and written to the
     shared folder; each extract then aggregates that table."""
@@ -100,7 +99,7 @@ def line_base(t: DriverTables, spread: bool = False) -> DataFrame:
         "p_partkey", "p_name",
         F.col("p_name").alias("gnrc_name"),
         _brand_of(p, F.col("p_name")).alias("brnd_name"))
-    return (_order_lines(t, spread)
+    return (_order_lines(t)
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .join(_manufacturers(t), F.col("l_suppkey") == F.col("s_suppkey"))
             .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",

@@ -52,7 +52,7 @@ class RawSources:
         """As ``from_driver_tables``, but the shared order-line join is written once to
         ``base_path`` (a shared folder) and the three extracts aggregate that table."""
         t = DriverTables(spark, sf_dir)
-        fixtures.line_base(t, spread=True).write.mode("overwrite").parquet(base_path)
+        fixtures.line_base(t).write.mode("overwrite").parquet(base_path)
 
         def b():
             return spark.read.parquet(base_path)

@@ -206,3 +206,20 @@ def test_rejected_rows_and_casts_are_counted(spark, tmp_dir):
     assert sorted(r._rejected_for for r in rejected.collect()) == [["malformed row"], ["tot_clms"], ["tot_clms"]]
     assert sorted(os.listdir(os.path.join(out, "_rejected"))) == ["raw_prescribers", "seed_therapeutic_area_map"]
     assert "_rejected_for" not in spark.read.parquet(os.path.join(out, "raw_prescribers")).columns
+
+
+def test_order_lines_are_dealt_by_their_number(spark, tmp_dir, monkeypatch):
+    """Twice the lines go to twice the tasks, each with about as many lines; nothing is lost or repeated."""
+    from claimlake.sources import fixtures, tables
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 50)
+    monkeypatch.setattr(tables, "LEAST_TASKS", 2)
+    for n in (1000, 2000):
+        path = os.path.join(tmp_dir, str(n))
+        k = spark.range(n).repartition(3)
+        k.selectExpr("id div 2 as l_orderkey", "id % 7 as l_partkey", "id % 3 as l_suppkey", "cast(id % 2 as int) as l_linenumber",
+                     "1d as l_quantity", "2d as l_extendedprice", "'R' as l_returnflag", "'F' as l_linestatus",
+                     "timestamp'1996-01-01' as l_shipdate").write.parquet(f"{path}/lineitem.parquet")
+        spark.range(n // 2).selectExpr("id as o_orderkey", "id % 11 as o_custkey").write.parquet(f"{path}/orders.parquet")
+        dealt = [len(x) for x in fixtures._order_lines(tables.DriverTables(spark, path)).rdd.glom().collect()]
+        assert len(dealt) == n // 50 and sum(dealt) == n and max(dealt) < 200
+    assert tables.DriverTables(spark, path).line_tasks() == 40
