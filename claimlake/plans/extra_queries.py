@@ -6,6 +6,7 @@ Every query reads the driver tables (through the fixture adapter and the models)
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -28,7 +29,7 @@ from .governance import governed_view
 from .reports import REPORTS
 from .role_views import publish_role, register_assignments, role_database
 from .maintained import MAINTAINED, maintained_mart, refresh_mart, start_mart
-from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, run_snapshot, snapshot_source
+from .snapshots import SNAPSHOT_CHECK_COLS, SNAPSHOT_KEYS, run_snapshot, snapshot_source, written_once
 from .snapshots import history as stored_history
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,7 +224,7 @@ def snapshot_loads(prj: Project) -> tuple[DataFrame, DataFrame]:
 
 
 def snapshot_history(prj: Project) -> DataFrame:
-    first, second = snapshot_loads(prj)
+    first, second = (written_once(prj.spark, load) for load in snapshot_loads(prj))
     h1 = scd2_apply(None, first, SNAPSHOT_KEYS, SNAPSHOT_CHECK_COLS, F.lit(FIRST_LOAD_AT))
     return scd2_apply(h1, second, SNAPSHOT_KEYS, SNAPSHOT_CHECK_COLS, F.lit(SECOND_LOAD_AT))
 
@@ -501,8 +502,9 @@ def focus_geography_from_sketches(prj):
 def _maintained_query(mart: str):
     def fn(prj: Project) -> DataFrame:
         early = Project(prj.spark, RawSources.from_driver_tables(prj.spark, prj.sources.origin, FIRST_LOAD_ORDERED_UNTIL), prj.params)
-        root = shared_dir(prj.spark, f"maintained-{uuid.uuid4().hex}")
-        stored, delivered = (p.model(MAINTAINED[mart].source) for p in (early, prj))
+        root, source = shared_dir(prj.spark, f"maintained-{uuid.uuid4().hex}"), MAINTAINED[mart].source
+        early.materialize([source], os.path.join(root, "stored"))      # the stored rows are a table, read several times
+        stored, delivered = early.model(source), prj.model(source)
         start_mart(prj, root, mart, FIRST_LOAD_AT, stored)
         refresh_mart(prj, root, mart, SECOND_LOAD_AT, stored, delivered)
         return maintained_mart(prj, root, mart)

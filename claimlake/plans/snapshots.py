@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.history import VALID_TO, as_of, assert_unique_keys, changed_rows, fingerprint, scd2_apply
+from ..session import shared_dir
 from .project import Project
 
 SNAPSHOT_KEYS = ("generic_name", "brand_name", "manufacturer_name", "drug_year")
@@ -40,6 +41,13 @@ def snapshot_source(prj: Project) -> DataFrame:
     return prj.model("stg_drug_spending").select(*SNAPSHOT_COLS)
 
 
+def written_once(spark: SparkSession, load: DataFrame) -> DataFrame:
+    """A load as a table of the shared folder: its key check, comparison and merge read that, not what it is derived from."""
+    path = shared_dir(spark, f"load-{uuid.uuid4().hex}")
+    load.write.parquet(path)
+    return _read(spark, load.schema, [path])
+
+
 def versions(spark: SparkSession, root: str) -> DataFrame:
     """The version log: ``version``, ``load_ts``, ``year`` and ``path`` (one row a year; a version of an empty
     history has one row without a year)."""
@@ -83,7 +91,7 @@ def _read(spark: SparkSession, schema, folders: Sequence[str]) -> DataFrame:
 def run_snapshot(prj: Project, root: str, load_ts: str, load: DataFrame | None = None) -> int:
     """Merge one load at ``load_ts``; return the new version's number. Null years can't be kept and fail."""
     spark = prj.spark
-    src = (load if load is not None else snapshot_source(prj)).select(*SNAPSHOT_COLS)
+    src = written_once(spark, (load if load is not None else snapshot_source(prj)).select(*SNAPSHOT_COLS))
     assert_unique_keys(src, SNAPSHOT_KEYS)
     version = current_version(spark, root)
     folders = _folders(spark, root, version)

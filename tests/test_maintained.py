@@ -124,3 +124,14 @@ def test_untouched_years_are_kept(loads, tmp_dir):
     assert {y for y in after if after[y] != before.get(y)} == {year} and set(after) == set(before)
     with pytest.raises(ValueError, match="already"):
         start_mart(late, tmp_dir, name, "2026-01-01 00:00:00")
+
+
+@pytest.mark.parametrize("name", sorted(MAINTAINED))
+def test_queries_derive_the_stored_rows_once(spark, name, monkeypatch):
+    from claimlake.plans import extra_queries as E
+    given = []
+    monkeypatch.setattr(E, "start_mart", lambda prj, root, mart, at, stored: given.append(stored))
+    monkeypatch.setattr(E, "refresh_mart", lambda prj, root, mart, at, stored, delivered: given.append(stored))
+    monkeypatch.setattr(E, "maintained_mart", lambda prj, root, mart: prj.spark.range(1))
+    E.QUERIES[name.replace("mart_", "maintained_", 1)](spark, SF_SMALL)
+    assert len(given) == 2 and all(files and all("/stored/" in f for f in files) for files in (g.inputFiles() for g in given))

@@ -234,3 +234,33 @@ def test_snapshot_reads_history_and_load_once(spark, tmp_dir):
     assert plan.count("FileScan") == 3 and plan.count("Join") == 1      # open rows, closed rows, load
     assert sorted((r.k, r.v, r.valid_to is None) for r in out.collect()) == [
         ("a", 1, True), ("b", 2, False), ("b", 3, True), ("c", 4, True)]
+
+
+def test_snapshot_derives_a_load_once(spark, tmp_dir):
+    from claimlake.plans import snapshots as S
+    from claimlake.plans.catalog import project
+    from tests.conftest import SF_SMALL
+    derived = spark.sparkContext.accumulator(0)
+
+    def spent(x):
+        derived.add(1)
+        return x
+    spent = F.udf(spent, "long").asNondeterministic()
+    prj, root = project(spark, SF_SMALL), tmp_dir + "/snap"
+    for step, ts in enumerate(("2024-01-01 00:00:00", "2025-01-01 00:00:00")):
+        load = spark.range(20).select(
+            F.concat(F.lit("d"), "id").alias("generic_name"), F.lit("b").alias("brand_name"), F.lit("m").alias("manufacturer_name"),
+            (F.lit(2020) + F.col("id") % 3).cast("int").alias("drug_year"), F.lit(1).cast("bigint").alias("total_claims"),
+            F.lit(1).cast("bigint").alias("total_beneficiaries"), spent(F.col("id") + step).cast("decimal(18,2)").alias("total_spending"),
+            *[F.lit(1).cast("decimal(12,2)").alias(c) for c in ("avg_spending_per_claim", "avg_spending_per_beneficiary")])
+        S.run_snapshot(prj, root, ts, load)
+        assert derived.value == 20 * (step + 1)
+    assert S.history(prj, root).count() == 40
+
+
+def test_snapshot_history_reads_written_loads(spark):
+    from claimlake.plans.catalog import project
+    from claimlake.plans.extra_queries import snapshot_history
+    from tests.conftest import SF_SMALL
+    files = snapshot_history(project(spark, SF_SMALL)).inputFiles()
+    assert files and all("/load-" in f for f in files)
