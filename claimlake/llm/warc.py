@@ -33,6 +33,8 @@ from .common import row_key, shared_path, stash
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FRAME_BYTES, BUNDLE_BYTES, LEAST_SHARED = 1 << 20, 256 << 20, 1000
+#: Records that a reading task holds at a time.
+READ_BYTES = 1 << 20
 INDEX = "record_id string, page string, bundle string, frame int, offset long, length long"
 RECORD = ("page string, url string, record_type string, payload_bytes long, payload_digest string, "
           "refers_to string, payload binary")
@@ -149,6 +151,11 @@ class BundleReader:
         return self.data[offset:offset + length]
 
 
+def one_by_one(payloads: pa.Array) -> Iterator[bytes]:
+    """The values of a column, each copied out of its batch when it is due; no list of all of them is made."""
+    return (x.as_py() for x in payloads)
+
+
 def revisits(pages: DataFrame, id_col: str, html_col: str, least: int) -> DataFrame:
     """(``row_key``, ``refers_to``) of pages whose payload, of ``least`` bytes or more, belongs to
     a page with a larger id. Only digests are shuffled; their maxima are summed up map-side."""
@@ -177,7 +184,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     fs, path = open_shared(folder)
     fs.create_dir(path, recursive=True)
     keyed = pages.select(F.col(id_col).cast("string").alias("page"), F.col(url_col).cast("string").alias("url"),
-                         F.coalesce(F.col(html_col), F.lit("")).alias("html"), row_key(id_col, html_col).alias("row_key"))
+                         F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("html"), row_key(id_col, html_col).alias("row_key"))
     rows = keyed.join(revisits(pages, id_col, html_col, least), "row_key", "left").drop("row_key")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +193,12 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
         bundle, name = None, ""
         for b in batches:
             index = []
-            for page, url, html, to in zip(*(b.column(c).to_pylist() for c in ("page", "url", "html", "refers_to"))):
+            for page, url, html, to in zip(b.column("page").to_pylist(), b.column("url").to_pylist(), one_by_one(b.column("html")),
+                                           b.column("refers_to").to_pylist()):
                 if bundle is None:
                     name = f"{folder}/{uuid.uuid4().hex}.warc.zst"
                     bundle = BundleWriter(name, frame_bytes)
-                ident, record = build_record(page, url, html.encode("utf-8"), to, to is not None, date)
+                ident, record = build_record(page, url, html, to, to is not None, date)
                 index.append((ident, page, name, *bundle.add(record)))
                 if bundle.written >= bundle_bytes:
                     bundle.close()
@@ -216,7 +224,7 @@ def read_warc(index: DataFrame) -> DataFrame:
                     name, bundle = n, BundleReader(n)
                 rows.append(parse_record(bundle.record(frame, offset, length)))
                 size += length
-                if size >= 8 << 20:
+                if size >= READ_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema)
                     rows, size = [], 0
         yield pa.RecordBatch.from_pylist(rows, schema)

@@ -3,7 +3,9 @@
 import hashlib
 import re
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 import zstandard
@@ -114,6 +116,15 @@ def test_warc_round_trip(spark, rng, tmp_path):
     assert warc.read_warc(warc.write_warc(df.limit(0), folder=str(tmp_path / "e"))).count() == 0
 
 
+def test_payloads_are_not_listed_whole():
+    size, column = 100_000, pa.array([b"x" * 100_000] * 200, pa.binary())
+    tracemalloc.start()
+    assert sum(map(len, warc.one_by_one(column))) == 200 * size
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * size and warc.READ_BYTES <= 1 << 20
+
+
 def test_bundles_are_plain_zstandard(tmp_path):
     w = warc.BundleWriter(str(tmp_path / "b.warc.zst"), frame_bytes=500)
     records = [warc.build_record(str(i), "http://x/", b"payload" * i, None, False, "2024-01-01T00:00:00Z")[1] for i in range(40)]
