@@ -226,7 +226,9 @@ def prescribers(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
 def prescriber_drugs(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
     """raw_prescribers_drug: one row per customer x part name x brand."""
     if base is not None:
-        rows = base
+        # A scan's split would hold all its lines in the partial aggregate (almost a group a line); dealt by the
+        # aggregate's own key, which takes the place of its shuffle.
+        rows = base.repartition(t.line_tasks(), "o_custkey", "p_name", "brnd_name", "o_orderkey")
     else:
         parts = t.part.select("p_partkey", "p_name",
                               _brand_of(F.col("p_partkey"), F.col("p_name")).alias("brnd_name"))
