@@ -17,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from .history import changed_rows
 
 SIGN, ROWS, COUNTED, VALUE, SEEN = "_sign", "_rows", "_counted", "_value", "__n"
+OLD, NEW = "_stored", "_delivered"
 
 
 @dataclass(frozen=True)
@@ -89,3 +90,18 @@ def signed_rows(stored: DataFrame | None, changed: DataFrame, key: str, gone: Da
     keys = changed.select(key) if gone is None else changed.select(key).unionByName(gone.select(key))
     old = stored.join(keys, key, "left_semi").select(*changed.columns)
     return new.unionByName(old.withColumn(SIGN, F.lit(-1)))
+
+
+def signed_changes(stored: DataFrame, delivered: DataFrame, key: str, complete: bool = False) -> DataFrame:
+    """What ``signed_rows`` makes of ``changed_sources``, with the stored rows of keys that are not delivered with -1 if the
+    delivery is ``complete``: both tables are read and shuffled once, by ``key``, so give only the columns that count."""
+    cols, over = delivered.columns, Window.partitionBy(key)
+    both = (stored.select(*cols).withColumn(SIGN, F.lit(-1)).unionByName(delivered.withColumn(SIGN, F.lit(1))).repartition(key))
+    equal = both.groupBy(*cols).agg(F.count_if(F.col(SIGN) < 0).alias(OLD), F.count_if(F.col(SIGN) > 0).alias(NEW))
+    # A null key equals none: its delivered rows are new, its stored rows stay.
+    added = (F.col(NEW) > 0) & ((F.col(OLD) == 0) | F.col(key).isNull())
+    leaves = F.max(added).over(over)
+    if complete:
+        leaves = leaves | (F.max(NEW).over(over) == 0)
+    signed = equal.withColumn(SIGN, F.when(added, F.col(NEW)).when(leaves & F.col(key).isNotNull(), -F.col(OLD)).otherwise(0))
+    return signed.select(*cols, F.explode(F.array_repeat(F.signum(SIGN).cast("int"), F.abs(SIGN).cast("int"))).alias(SIGN))

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
-from ..operators.maintained import (COUNTED, SEEN, VALUE, Grouped, changed_sources, grouped_result, merge_state,
-                                    partial_results, signed_rows)
+from ..operators.maintained import (COUNTED, SEEN, VALUE, Grouped, grouped_result, merge_state, partial_results,
+                                    signed_changes, signed_rows)
 from ..session import shared_dir
 from . import marts
 from .project import MODELS, Project
@@ -30,10 +30,11 @@ YEAR = "drug_year"
 
 @dataclass(frozen=True)
 class MaintainedMart:
-    """``rows`` turns rows of the model ``source`` (signed or not) into those that the mart counts; ``spec`` says what is kept;
-    ``finish`` makes the mart of one row per group."""
+    """``rows`` turns rows of the model ``source`` (signed or not) into those that the mart counts, from the columns ``reads``;
+    ``spec`` says what is kept; ``finish`` makes the mart of one row per group."""
     source: str
     source_year: str
+    reads: tuple[str, ...]
     rows: Callable[[Project, DataFrame], DataFrame]
     spec: Callable[[], Grouped]
     finish: Callable[[DataFrame], DataFrame]
@@ -122,12 +123,16 @@ def _scorecard(g: DataFrame) -> DataFrame:
         "focus_area_spending", "focus_area_claims", "total_drugs", "therapeutic_area_count")
 
 
+_DRUG_READS = ("generic_name", "brand_generic_flag", "therapeutic_area", "is_specialty_drug", "is_focus_area", "total_claims",
+               "total_beneficiaries", "total_spending", "cost_per_claim", "cost_per_beneficiary_monthly")
+_GEO_READS = ("npi", "generic_name", "state", "census_region", "therapeutic_area", "is_focus_area", *_GEO_SUMS)
+
 MAINTAINED = {
-    "mart_drug_spending_trends": MaintainedMart("int_drug_enriched", YEAR, _drug_rows_by_area, _trends_spec, _trends),
-    "mart_therapeutic_area_mix": MaintainedMart("int_drug_enriched", YEAR, _drug_rows_by_area, _mix_spec, _mix),
-    "mart_geographic_distribution": MaintainedMart("int_prescriber_drug_detail", "prescriber_drug_year",
+    "mart_drug_spending_trends": MaintainedMart("int_drug_enriched", YEAR, _DRUG_READS, _drug_rows_by_area, _trends_spec, _trends),
+    "mart_therapeutic_area_mix": MaintainedMart("int_drug_enriched", YEAR, _DRUG_READS, _drug_rows_by_area, _mix_spec, _mix),
+    "mart_geographic_distribution": MaintainedMart("int_prescriber_drug_detail", "prescriber_drug_year", _GEO_READS,
                                                    lambda prj, d: marts.geography_rows(d), _geo_spec, _geo),
-    "mart_kpi_scorecard": MaintainedMart("int_drug_enriched", YEAR, _drug_rows, _scorecard_spec, _scorecard),
+    "mart_kpi_scorecard": MaintainedMart("int_drug_enriched", YEAR, _DRUG_READS, _drug_rows, _scorecard_spec, _scorecard),
 }
 
 
@@ -175,20 +180,18 @@ def refresh_mart(prj: Project, root: str, name: str, load_ts: str, stored: DataF
     """Bring a mart's state from the source rows ``stored`` to those after a delivery.
 
     A delivered row replaces the stored row of its key; an equal one changes nothing; stored rows of other keys stay, or
-    go if the delivery is ``complete``. Stored rows are read in full only for the years in which a row changes
-    (and the keys and fingerprints of all of them to find these). The state needs the very
+    go if the delivery is ``complete``. Both tables are read once, in the key and the columns that the mart reads; a row
+    that differs elsewhere only is equal. The state needs the very
     ``stored`` rows it was built from: a change that takes away others than these is an error where it shows."""
     mart, spark = MAINTAINED[name], prj.spark
-    key, year = MODELS[mart.source].key, mart.source_year
+    key = MODELS[mart.source].key
+    # A surrogate key is 32 hex digits; its 16 bytes are half as much to shuffle.
+    counted = [F.unhex(key).alias(key), mart.source_year, *mart.reads]
+    signed = signed_changes(stored.select(*counted), delivered.select(*counted), key, complete).drop(key)
+    # Written once: sums and counted values are read from it apart.
     aside = shared_dir(spark, f"changed-{uuid.uuid4().hex}")
-    changed_sources(stored, delivered, key).write.parquet(aside)
-    changed = spark.read.schema(delivered.schema).parquet(aside)
-    if complete:
-        gone = stored.join(delivered.select(key), key, "left_anti").select(key)
-        return _apply(prj, root, name, signed_rows(stored, changed, key, gone), load_ts)
-    # A key holds its year, so the row that a changed one replaces is of the same year.
-    years = [r[0] for r in changed.select(year).distinct().collect()]
-    return _apply(prj, root, name, signed_rows(stored.where(F.col(year).isin(*years)), changed, key), load_ts)
+    signed.write.parquet(aside)
+    return _apply(prj, root, name, spark.read.schema(signed.schema).parquet(aside), load_ts)
 
 
 def maintained_mart(prj: Project, root: str, name: str, version: int | None = None) -> DataFrame:
