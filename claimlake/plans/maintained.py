@@ -185,8 +185,7 @@ def refresh_mart(prj: Project, root: str, name: str, load_ts: str, stored: DataF
     ``stored`` rows it was built from: a change that takes away others than these is an error where it shows."""
     mart, spark = MAINTAINED[name], prj.spark
     key = MODELS[mart.source].key
-    # A surrogate key is 32 hex digits; its 16 bytes are half as much to shuffle.
-    counted = [F.unhex(key).alias(key), mart.source_year, *mart.reads]
+    counted = [key, mart.source_year, *mart.reads]
     signed = signed_changes(stored.select(*counted), delivered.select(*counted), key, complete).drop(key)
     # Written once: sums and counted values are read from it apart.
     aside = shared_dir(spark, f"changed-{uuid.uuid4().hex}")
