@@ -34,6 +34,8 @@ MIN_COUNT, MAX_WORDS, TOP = 10, 3, 2000
 NO_LANG = "und"
 #: 2^22 words are 32 MB.
 FILTER_WORDS = 1 << 22
+#: Parts that a filter is put together in; a power of two.
+_PIECES = 1 << 10
 #: Bytes of text that a task reads at a time (besides one document).
 _BATCH_BYTES = 1 << 23
 #: Words of the relation that a task counts at a time (besides one document).
@@ -150,22 +152,34 @@ def _bits(h: np.ndarray) -> np.ndarray:
 
 
 def bloom(frequent: DataFrame, keys: list[str], filter_words: int = FILTER_WORDS) -> np.ndarray:
-    """A Bloom filter over the (lang, keys) rows: about 16 bits a row, ``filter_words`` 64-bit words at most."""
-    rows, size = frequent.count(), 1024
+    """A Bloom filter over the (lang, keys) rows: about 16 bits a row, ``filter_words`` 64-bit words at most.
+
+    Its pieces are put together in tasks; the driver gets their bytes, never a row for each word."""
+    rows, size = frequent.count(), _PIECES
     while size < min(filter_words, rows // 4):
         size *= 2
-    shift = np.uint64(64 - (size.bit_length() - 1))
+    shift, each = np.uint64(64 - (size.bit_length() - 1)), size // _PIECES
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             for lang, g in p.groupby("lang", sort=False):
                 h = _mix(_lang_bits(lang), [g[k].to_numpy() for k in keys])
                 yield pd.DataFrame({"at": (h >> shift).astype(np.int64), "bits": _bits(h).view(np.int64)})
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, seen = np.zeros(size, np.uint64), np.zeros(_PIECES, bool)
+        for b in batches:
+            at = b.column("at").to_numpy()
+            np.bitwise_or.at(words, at, b.column("bits").to_numpy().view(np.uint64))
+            seen[at // each] = True
+        for k in np.flatnonzero(seen).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([words[k * each:(k + 1) * each].tobytes()])], ["piece", "words"])
     found = (frequent.select("lang", *keys).mapInPandas(run, "at long, bits long")
-             .groupBy("at").agg(F.bit_or("bits").alias("bits")))
+             .repartition(F.shiftright("at", each.bit_length() - 1)).mapInArrow(put, "piece long, words binary"))
     out = np.zeros(size, np.uint64)
-    set_words = found.toPandas()        # filter_words rows at most
-    out[set_words["at"].to_numpy()] = set_words["bits"].to_numpy().view(np.uint64)
+    for b in found.toArrow().to_batches():
+        for k, words in zip(b.column("piece").to_pylist(), b.column("words")):
+            out[k * each:(k + 1) * each] = np.frombuffer(words.as_buffer(), np.uint64)
     return out
 
 

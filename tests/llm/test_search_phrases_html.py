@@ -115,6 +115,26 @@ def test_words_that_share_a_number_get_another_seed(spark, monkeypatch):
     assert sorted(map(tuple, collocations.mine_phrases(df).collect())) == _phrases(rows)
 
 
+@pytest.mark.parametrize("words", [1, 1 << 14])
+def test_the_driver_gets_a_filter_in_pieces(spark, monkeypatch, words):
+    """Before: a row for each word of the filter, 4 million at its largest; languages apart, the words by brute force."""
+    import numpy as np
+    ids = np.random.default_rng(3).integers(-2**63, 2**63 - 1, 100_000)
+    langs = ["en" if i % 3 else "und" for i in range(len(ids))]
+    frequent = spark.createDataFrame([(x, i) for x, i in zip(langs, ids.tolist())], "lang string, w1 long").repartition(5)
+    sent, frame = [], type(frequent)
+    for name in ("collect", "toPandas", "toArrow"):
+        real = getattr(frame, name)
+        monkeypatch.setattr(frame, name, lambda self, real=real: (out := real(self), sent.append(len(out)))[0])
+    got = collocations.bloom(frequent, ["w1"], words)
+    want = np.zeros(max(1024, words), np.uint64)
+    for lang in ("en", "und"):
+        h = collocations._mix(collocations._lang_bits(lang), [ids[[x == lang for x in langs]]])
+        np.bitwise_or.at(want, (h >> np.uint64(64 - (len(want).bit_length() - 1))).astype(np.int64), collocations._bits(h))
+    assert np.array_equal(got, want) and got.any() and sum(sent) <= 1024
+    assert not collocations.bloom(frequent.limit(0), ["w1"], words).any()
+
+
 def _article(page):
     """Blocks of the one <article> of the test tables' pages."""
     body = re.search(r"<article>(.*?)</article>", page or "", re.S)
