@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from .history import changed_rows
 
-SIGN, ROWS, COUNTED, VALUE, SEEN = "_sign", "_rows", "_counted", "_value", "__n"
+SIGN, ROWS, COUNTED, VALUE, SEEN, HASH = "_sign", "_rows", "_counted", "_value", "__n", "_hash"
 OLD, NEW = "_stored", "_delivered"
 
 
@@ -56,11 +56,16 @@ def partial_results(signed: DataFrame, spec: Grouped) -> DataFrame:
     return out
 
 
-def merge_state(stored: DataFrame | None, change: DataFrame, spec: Grouped) -> DataFrame:
-    """The stored state with a change added; an error if the change takes away rows that are not there."""
+def merge_state(stored: DataFrame | None, change: DataFrame, spec: Grouped, ranged_by: str | None = None) -> DataFrame:
+    """The stored state with a change added; an error if the change takes away rows that are not there.
+
+    The sums need one shuffle. With ``ranged_by``, one of the keys, that shuffle deals the rows in ranges of it (and of a hash of
+    the row's own keys), as a table partitioned by it is written."""
     on, types = [*spec.keys, COUNTED, VALUE], dict(change.dtypes)
-    both = change if stored is None else stored.unionByName(change)
-    summed = both.groupBy(*on).agg(*[F.sum(c).cast(types[c]).alias(c) for c in change.columns if c not in on])
+    both, by = change if stored is None else stored.unionByName(change), on
+    if ranged_by is not None:
+        both, by = both.withColumn(HASH, F.xxhash64(*on)).repartitionByRange(ranged_by, HASH), [*on, HASH]
+    summed = both.groupBy(*by).agg(*[F.sum(c).cast(types[c]).alias(c) for c in change.columns if c not in on])
     checked = F.when(F.col(ROWS) >= 0, F.col(ROWS)).otherwise(
         F.raise_error(F.lit("a change takes away rows that are not stored")).cast("bigint"))
     return summed.withColumn(ROWS, checked).where(F.col(ROWS) > 0).select(*change.columns)
@@ -92,11 +97,14 @@ def signed_rows(stored: DataFrame | None, changed: DataFrame, key: str, gone: Da
     return new.unionByName(old.withColumn(SIGN, F.lit(-1)))
 
 
-def signed_changes(stored: DataFrame, delivered: DataFrame, key: str, complete: bool = False) -> DataFrame:
+def signed_changes(stored: DataFrame, delivered: DataFrame, key: str, complete: bool = False, tasks: int = 0) -> DataFrame:
     """What ``signed_rows`` makes of ``changed_sources``, with the stored rows of keys that are not delivered with -1 if the
-    delivery is ``complete``: both tables are read and shuffled once, by ``key``, so give only the columns that count."""
+    delivery is ``complete``: both tables are read and shuffled once, by ``key``, so give only the columns that count.
+    They are dealt over ``tasks`` tasks, or as many as the session has for a shuffle if that is more."""
     cols, over = delivered.columns, Window.partitionBy(key)
-    both = (stored.select(*cols).withColumn(SIGN, F.lit(-1)).unionByName(delivered.withColumn(SIGN, F.lit(1))).repartition(key))
+    both = stored.select(*cols).withColumn(SIGN, F.lit(-1)).unionByName(delivered.withColumn(SIGN, F.lit(1)))
+    few = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(tasks, key) if tasks > few else both.repartition(key)
     equal = both.groupBy(*cols).agg(F.count_if(F.col(SIGN) < 0).alias(OLD), F.count_if(F.col(SIGN) > 0).alias(NEW))
     # A null key equals none: its delivered rows are new, its stored rows stay.
     added = (F.col(NEW) > 0) & ((F.col(OLD) == 0) | F.col(key).isNull())

@@ -503,7 +503,7 @@ def _maintained_query(mart: str):
     def fn(prj: Project) -> DataFrame:
         early = Project(prj.spark, RawSources.from_driver_tables(prj.spark, prj.sources.origin, FIRST_LOAD_ORDERED_UNTIL), prj.params)
         root, source = shared_dir(prj.spark, f"maintained-{uuid.uuid4().hex}"), MAINTAINED[mart].source
-        early.materialize([source], os.path.join(root, "stored"))      # the stored rows are a table, read several times
+        early.materialize([source], os.path.join(root, "stored"), compression="zstd")      # a table, read several times
         stored, delivered = early.model(source), prj.model(source)
         start_mart(prj, root, mart, FIRST_LOAD_AT, stored)
         refresh_mart(prj, root, mart, SECOND_LOAD_AT, stored, delivered)

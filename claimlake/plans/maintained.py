@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
-from ..operators.maintained import (COUNTED, SEEN, VALUE, Grouped, grouped_result, merge_state, partial_results,
+from ..operators.maintained import (SEEN, Grouped, grouped_result, merge_state, partial_results,
                                     signed_changes, signed_rows)
 from ..session import shared_dir
 from . import marts
@@ -26,6 +26,8 @@ from .project import MODELS, Project
 from .snapshots import _commit, _folders, current_version
 
 YEAR = "drug_year"
+#: A task of a refresh holds its rows twice, to count and to sort them: nothing spills.
+STORED_PER_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -125,7 +127,8 @@ def _scorecard(g: DataFrame) -> DataFrame:
 
 _DRUG_READS = ("generic_name", "brand_generic_flag", "therapeutic_area", "is_specialty_drug", "is_focus_area", "total_claims",
                "total_beneficiaries", "total_spending", "cost_per_claim", "cost_per_beneficiary_monthly")
-_GEO_READS = ("npi", "generic_name", "state", "census_region", "therapeutic_area", "is_focus_area", *_GEO_SUMS)
+#: What goes together stands together: a shuffled row is smaller.
+_GEO_READS = ("npi", "state", "census_region", "generic_name", "therapeutic_area", "is_focus_area", *_GEO_SUMS)
 
 MAINTAINED = {
     "mart_drug_spending_trends": MaintainedMart("int_drug_enriched", YEAR, _DRUG_READS, _drug_rows_by_area, _trends_spec, _trends),
@@ -150,16 +153,15 @@ def _apply(prj: Project, root: str, name: str, signed: DataFrame, load_ts: str)
     schema, target = change.schema, os.path.join(root, f"data-{uuid.uuid4().hex}")
     # The change is written once: its years are read from it, then its rows.
     aside = shared_dir(spark, f"change-{uuid.uuid4().hex}")
-    change.write.parquet(aside)
+    change.write.parquet(aside, compression="zstd")
     change = spark.read.schema(schema).parquet(aside)
     touched = [r[0] for r in change.select(YEAR).distinct().collect()]        # years, not rows
     if None in touched:
         raise ValueError("a changed row has no year")
     if touched:
         before = [folders[y] for y in touched if y in folders]
-        merged = merge_state(_state(spark, before, schema) if before else None, change, spec)
-        (merged.withColumn("_year", F.col(YEAR))
-         .repartitionByRange("_year", F.xxhash64(*spec.keys, COUNTED, VALUE)).write.partitionBy("_year").parquet(target))
+        merged = merge_state(_state(spark, before, schema) if before else None, change, spec, ranged_by=YEAR)
+        merged.withColumn("_year", F.col(YEAR)).write.partitionBy("_year").parquet(target)
         left = {r[0] for r in spark.read.schema(schema).parquet(target).select(YEAR).distinct().collect()}
         folders = {y: p for y, p in folders.items() if y not in touched} | {
             y: os.path.join(target, f"_year={y}") for y in left}
@@ -185,11 +187,13 @@ def refresh_mart(prj: Project, root: str, name: str, load_ts: str, stored: DataF
     ``stored`` rows it was built from: a change that takes away others than these is an error where it shows."""
     mart, spark = MAINTAINED[name], prj.spark
     key = MODELS[mart.source].key
-    counted = [key, mart.source_year, *mart.reads]
-    signed = signed_changes(stored.select(*counted), delivered.select(*counted), key, complete).drop(key)
+    # Keys are compared by 128 bits of them: as text they would be the better part of a shuffled row.
+    counted = [F.unhex(F.md5(F.col(key).cast("string"))).alias(key), mart.source_year, *mart.reads]
+    tasks = -(-stored.count() // STORED_PER_TASK)
+    signed = signed_changes(stored.select(*counted), delivered.select(*counted), key, complete, tasks).drop(key)
     # Written once: sums and counted values are read from it apart.
     aside = shared_dir(spark, f"changed-{uuid.uuid4().hex}")
-    signed.write.parquet(aside)
+    signed.write.parquet(aside, compression="zstd")
     return _apply(prj, root, name, spark.read.schema(signed.schema).parquet(aside), load_ts)
 
 

@@ -102,8 +102,8 @@ class Project:
         for n in names:
             self._models[n] = self.model(n).checkpoint(eager=True)
 
-    def materialize(self, names: Sequence[str], path: str, fmt: str = "parquet") -> dict[str, str]:
-        """Write models as tables under ``path`` and read them back from there.
+    def materialize(self, names: Sequence[str], path: str, fmt: str = "parquet", **options: str) -> dict[str, str]:
+        """Write models as tables under ``path``, with the writer's ``options``, and read them back from there.
 
         Later models then scan the written table instead of recomputing its lineage; a
         lost executor costs a re-read, not a recompute.
@@ -111,7 +111,7 @@ class Project:
         written = {}
         for n in names:
             target = os.path.join(path, n)
-            self.model(n).write.mode("overwrite").format(fmt).save(target)
+            self.model(n).write.mode("overwrite").options(**options).format(fmt).save(target)
             self._models[n] = self.spark.read.format(fmt).load(target)
             written[n] = target
         return written

@@ -39,6 +39,9 @@ FOCUS_ADJECTIVES = ("blue", "red", "new")
 UNMAPPED_NATION = 24
 DIVISIONS = 9
 
+#: Tasks that a customer's lines are dealt to, by drug.
+DEALS = 4
+
 # Wide measure stubs of the spending extract, in file order.
 SPENDING_STUBS = ("tot_spndng", "tot_clms", "tot_benes", "tot_dsg_unts", "avg_spnd_per_clm",
                   "avg_spnd_per_bene", "avg_spnd_per_dsg_unt_wghtd", "outlier_flag")
@@ -224,23 +227,30 @@ def prescribers(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
 
 
 def prescriber_drugs(t: DriverTables, base: DataFrame | None = None) -> DataFrame:
-    """raw_prescribers_drug: one row per customer x part name x brand."""
+    """raw_prescribers_drug: one row per customer x part name x brand.
+
+    The lines are shuffled once, by customer and a deal of the drug, for the aggregate and the join with the customers
+    above it: almost every line is a group, so a shuffle of partial results would move as many rows again. A
+    customer's lines go to ``DEALS`` tasks, which get a copy of the customer each.
+    """
     if base is not None:
-        # A scan's split would hold all its lines in the partial aggregate (almost a group a line); dealt by the
-        # aggregate's own key, which takes the place of its shuffle.
-        rows = base.repartition(t.line_tasks(), "o_custkey", "p_name", "brnd_name", "o_orderkey")
+        rows = base
     else:
         parts = t.part.select("p_partkey", "p_name",
                               _brand_of(F.col("p_partkey"), F.col("p_name")).alias("brnd_name"))
         rows = _order_lines(t).join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    per = rows.groupBy("o_custkey", "p_name", "brnd_name").agg(
+    n = t.line_tasks()
+    rows = rows.select("o_custkey", F.pmod(F.hash("p_name", "brnd_name"), F.lit(DEALS)).alias("deal"), "p_name", "brnd_name",
+                       "o_orderkey", "l_quantity", "l_extendedprice").repartition(n, "o_custkey", "deal")
+    per = rows.groupBy("o_custkey", "deal", "p_name", "brnd_name").agg(
         F.count(F.lit(1)).alias("tot_clms"),
         F.count_distinct("o_orderkey").alias("tot_benes"),
         F.sum("l_quantity").cast("long").alias("tot_day_suply"),
         ratio(F.sum("l_quantity"), F.lit(30), 2).alias("tot_30day_fills"),
         _money(F.sum(_money(F.col("l_extendedprice")))).alias("tot_drug_cst"))
-    c = _customers(t)
-    return per.join(c, per.o_custkey == c.c_custkey).select(
+    c = (_customers(t).withColumn("c_deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
+         .repartition(n, "c_custkey", "c_deal").hint("merge"))
+    return per.join(c, (per.o_custkey == c.c_custkey) & (per.deal == c.c_deal)).select(
         F.col("c_custkey").cast("string").alias("prscrbr_npi"),
         F.col("c_name").alias("prscrbr_last_org_name"),
         F.lit(None).cast("string").alias("prscrbr_first_name"),

@@ -165,3 +165,31 @@ def test_a_refresh_shuffles_each_source_row_once(loads, tmp_dir, monkeypatch):
     assert pass_._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert len(pass_.columns) == 13 and "Join" not in applied._jdf.queryExecution().executedPlan().toString()
     assert applied.isEmpty()                # no column that the mart reads differs
+
+
+def test_a_refresh_compares_keys_by_16_bytes(loads, tmp_dir, monkeypatch):
+    """Before: the key as text, 32 characters of 83 bytes a shuffled row; many stored rows are dealt over more tasks."""
+    from claimlake.plans import maintained as M
+    _, late = loads
+    name, passes = "mart_geographic_distribution", []
+    detail = late.model("int_prescriber_drug_detail")
+    monkeypatch.setattr(M, "STORED_PER_TASK", 20)
+    monkeypatch.setattr(M, "_apply", lambda prj, root, mart, signed, at: passes.append(signed))
+    monkeypatch.setattr(M, "signed_changes", lambda *a: passes.append(signed_changes(*a)) or passes[0])
+    changed = detail.withColumn("total_claims", F.when(F.col("npi") > "2", F.col("total_claims") + 1).otherwise(F.col("total_claims")))
+    refresh_mart(late, tmp_dir, name, "2025-01-01 00:00:00", detail, changed)
+    pass_, applied = passes
+    assert pass_.schema["prescriber_drug_key"].dataType.typeName() == "binary" and pass_.agg(F.max(F.length("prescriber_drug_key"))).first()[0] == 16
+    n = detail.where("npi > '2'").count()
+    assert 0 < n < detail.count() and pass_.rdd.getNumPartitions() == -(-detail.count() // 20) > 4
+    assert {(r[0], r[1]) for r in applied.groupBy(SIGN).count().collect()} == {(1, n), (-1, n)}
+
+
+def test_a_state_is_merged_and_dealt_by_year_in_one_shuffle(spark):
+    """Before: a shuffle for the sums and one for the folders of the years."""
+    rng = random.Random(9)
+    old, new = (partial_results(frame(spark, made(rng, 60)).withColumn(SIGN, F.lit(1)), spec()).localCheckpoint() for _ in range(2))
+    plain, dealt = merge_state(old, new, spec()), merge_state(old, new, spec(), ranged_by="y")
+    assert rows(dealt) == rows(plain) and dealt.dtypes == plain.dtypes
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning(y") == 1

@@ -223,3 +223,44 @@ def test_order_lines_are_dealt_by_their_number(spark, tmp_dir, monkeypatch):
         dealt = [len(x) for x in fixtures._order_lines(tables.DriverTables(spark, path)).rdd.glom().collect()]
         assert len(dealt) == n // 50 and sum(dealt) == n and max(dealt) < 200
     assert tables.DriverTables(spark, path).line_tasks() == 40
+
+
+def test_prescriber_lines_are_shuffled_once(spark):
+    """Before: by order, by drug and by customer. Null and unknown customers, null drugs, a hot customer, repeated customers."""
+    import random
+    from types import SimpleNamespace
+
+    from claimlake.sources import fixtures
+    rng = random.Random(2)
+    people = [(i, f"C{i}", i % 3, "X") for i in range(1, 9)] + [(3, "C3", 0, "X"), (None, "none", 1, "X")]
+    lines = [(rng.choice([1, 1, 1, 2, 3, 4, 99, None]), rng.choice(["red ring", "old bolt", "", None]), rng.choice([None, "b", " Brand c"]),
+              rng.choice([1, 2, 3, 3, None]), rng.choice([1.0, 2.0, None]), rng.choice([10.25, 3.0, None])) for _ in range(600)]
+    t = SimpleNamespace(line_tasks=lambda: 8, customer=spark.createDataFrame(people, "c_custkey long, c_name string, c_nationkey long, c_mktsegment string"),
+                        nation=spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey long, n_name string"))
+    base = spark.createDataFrame(lines, "o_custkey long, p_name string, brnd_name string, o_orderkey long, l_quantity double, l_extendedprice double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = fixtures.prescriber_drugs(t, base)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = sorted(repr((r.prscrbr_npi, r.prscrbr_last_org_name, r.prscrbr_state_abrvtn, r.gnrc_name, r.brnd_name, r.tot_clms, r.tot_benes,
+                           r.tot_day_suply, r.tot_drug_cst and float(r.tot_drug_cst))) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    groups = {}
+    for cust, *rest in lines:
+        groups.setdefault((cust, *rest[:2]), []).append(rest[2:])
+
+    def total(values):
+        seen = [v for v in values if v is not None]
+        return sum(seen) if seen else None
+    want = []
+    for key, name, nation, _ in people:
+        for (cust, drug, brand), own in groups.items():
+            if cust == key and key is not None and nation < 2:
+                days, cost = total(q for _, q, _ in own), total(p for _, _, p in own)
+                want.append(repr((str(key), name, "AB"[nation], drug, brand, len(own), len({o for o, _, _ in own if o is not None}),
+                                  days if days is None else int(days), cost)))
+    assert got == sorted(want) != []
+    # The lines' shuffle and the customers'.
+    assert plan.count("Exchange hashpartitioning") == 2
