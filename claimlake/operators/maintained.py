@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from .history import changed_rows
 
-SIGN, ROWS, COUNTED, VALUE, SEEN, HASH = "_sign", "_rows", "_counted", "_value", "__n", "_hash"
+SIGN, ROWS, COUNTED, VALUE, SEEN = "_sign", "_rows", "_counted", "_value", "__n"
 OLD, NEW = "_stored", "_delivered"
 
 
@@ -59,13 +59,13 @@ def partial_results(signed: DataFrame, spec: Grouped) -> DataFrame:
 def merge_state(stored: DataFrame | None, change: DataFrame, spec: Grouped, ranged_by: str | None = None) -> DataFrame:
     """The stored state with a change added; an error if the change takes away rows that are not there.
 
-    The sums need one shuffle. With ``ranged_by``, one of the keys, that shuffle deals the rows in ranges of it (and of a hash of
-    the row's own keys), as a table partitioned by it is written."""
+    The sums need one shuffle. With ``ranged_by``, one of the keys, that shuffle deals the rows in ranges of it and of the other
+    keys, as a table partitioned by it is written; rows of a group and their values come together, so they are small."""
     on, types = [*spec.keys, COUNTED, VALUE], dict(change.dtypes)
-    both, by = change if stored is None else stored.unionByName(change), on
+    both = change if stored is None else stored.unionByName(change)
     if ranged_by is not None:
-        both, by = both.withColumn(HASH, F.xxhash64(*on)).repartitionByRange(ranged_by, HASH), [*on, HASH]
-    summed = both.groupBy(*by).agg(*[F.sum(c).cast(types[c]).alias(c) for c in change.columns if c not in on])
+        both = both.repartitionByRange(ranged_by, *[k for k in on if k != ranged_by])
+    summed = both.groupBy(*on).agg(*[F.sum(c).cast(types[c]).alias(c) for c in change.columns if c not in on])
     checked = F.when(F.col(ROWS) >= 0, F.col(ROWS)).otherwise(
         F.raise_error(F.lit("a change takes away rows that are not stored")).cast("bigint"))
     return summed.withColumn(ROWS, checked).where(F.col(ROWS) > 0).select(*change.columns)

@@ -240,14 +240,14 @@ def prescriber_drugs(t: DriverTables, base: DataFrame | None = None) -> DataFram
                               _brand_of(F.col("p_partkey"), F.col("p_name")).alias("brnd_name"))
         rows = _order_lines(t).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     n = t.line_tasks()
-    rows = rows.select("o_custkey", F.pmod(F.hash("p_name", "brnd_name"), F.lit(DEALS)).alias("deal"), "p_name", "brnd_name",
-                       "o_orderkey", "l_quantity", "l_extendedprice").repartition(n, "o_custkey", "deal")
+    rows = rows.select("o_custkey", "o_orderkey", "l_quantity", _money(F.col("l_extendedprice")).alias("l_extendedprice"),
+                       F.pmod(F.hash("p_name", "brnd_name"), F.lit(DEALS)).alias("deal"), "p_name", "brnd_name").repartition(n, "o_custkey", "deal")
     per = rows.groupBy("o_custkey", "deal", "p_name", "brnd_name").agg(
         F.count(F.lit(1)).alias("tot_clms"),
         F.count_distinct("o_orderkey").alias("tot_benes"),
         F.sum("l_quantity").cast("long").alias("tot_day_suply"),
         ratio(F.sum("l_quantity"), F.lit(30), 2).alias("tot_30day_fills"),
-        _money(F.sum(_money(F.col("l_extendedprice")))).alias("tot_drug_cst"))
+        _money(F.sum("l_extendedprice")).alias("tot_drug_cst"))
     c = (_customers(t).withColumn("c_deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
          .repartition(n, "c_custkey", "c_deal").hint("merge"))
     return per.join(c, (per.o_custkey == c.c_custkey) & (per.deal == c.c_deal)).select(
